@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The event types the checks accept.
@@ -34,34 +34,38 @@ HOUR_FILE = r"(\d{4}-\d{2}-\d{2}-\d{1,2}\.json\.gz)"
 HOUR_FILE_PARTS = r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})"
 
 # Every payload member any event type reads, so that a payload is parsed once.
-PAYLOAD_SHAPE = (
-    "action STRING, ref STRING, ref_type STRING, size STRING, number STRING, "
-    "pull_request STRUCT<number: STRING>, issue STRUCT<number: STRING>, "
-    "_corrupt_record STRING"
-)
-STRICT_JSON = {"allowSingleQuotes": "false"}
+PAYLOAD_MEMBERS = ["action", "ref", "ref_type", "size", "number", "pull_request", "issue"]
+PARSED = [f"p_{member}" for member in PAYLOAD_MEMBERS]
 
 
-def parse_payload(payload: Column | str) -> Column:
-    """One parse of the payload text; `_corrupt_record` is set when it did not fit."""
-    return F.from_json(payload, PAYLOAD_SHAPE, STRICT_JSON)
+def with_payload(df: DataFrame) -> DataFrame:
+    """Add the payload members as `p_*` texts, NULL where absent or not JSON.
+
+    json_tuple is a generator: Spark evaluates it once per row and cannot copy it into
+    a filter below, which it would do with a JSON expression in a plain column.
+    """
+    return df.select("*", F.json_tuple("payload", *PAYLOAD_MEMBERS).alias(*PARSED))
 
 
 def is_blank(column: Column) -> Column:
     return column.isNull() | (column == "")
 
 
-def is_malformed_payload(payload: Column, parsed: Column) -> Column:
-    """The text is not JSON. Valid JSON of another shape is not malformed.
+def is_broken_json(text: Column, *members: str) -> Column:
+    """The text is not JSON. `members` are what json_tuple found in it.
 
-    `parsed` settles nearly every row; only those it could not fit (broken text,
-    or a number or list where an object was expected) are parsed a second time.
+    A row with any member was read to its end, so only the rows without one are read a
+    second time. Valid JSON of any shape passes. Differences from a strict reader: NaN
+    is not accepted; text after the first value and single quotes are.
     """
-    unfit = parsed["_corrupt_record"].isNotNull()
-    return F.when(
-        ~F.coalesce(payload, F.lit("")).isin("", "{}") & unfit,
-        F.try_parse_json(payload).isNull(),
-    ).otherwise(False)
+    nothing_found = F.coalesce(*members).isNull()
+    return F.when(nothing_found, F.get_json_object(text, "$").isNull()).otherwise(False)
+
+
+def is_malformed_payload(payload: Column) -> Column:
+    """A payload that is not JSON; NULL, empty and {} payloads are fine."""
+    present = ~F.coalesce(payload, F.lit("")).isin("", "{}")
+    return present & is_broken_json(payload, *PARSED)
 
 
 def error_reason(
@@ -83,21 +87,21 @@ def to_bigint(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), F.when(whole.cast("double") == number, whole))
 
 
-def payload_columns(type_: Column, parsed: Column) -> dict[str, Column]:
-    """The six typed columns, by event type; other types get NULLs."""
-    has_action = type_.isin(
-        "PullRequestEvent", *REVIEW_TYPES, *ISSUE_TYPES, *ACTION_ONLY_TYPES
-    )
-    pr_number = F.when(type_ == "PullRequestEvent", parsed["number"]).when(
-        type_.isin(REVIEW_TYPES), parsed["pull_request"]["number"]
+def payload_columns() -> dict[str, Column]:
+    """The six typed columns by event type, over `with_payload`; else NULLs."""
+    type_ = F.col("type")
+    has_action = type_.isin("PullRequestEvent", *REVIEW_TYPES, *ISSUE_TYPES, *ACTION_ONLY_TYPES)
+    pr_number = F.when(type_ == "PullRequestEvent", F.col("p_number")).when(
+        type_.isin(REVIEW_TYPES), F.get_json_object("p_pull_request", "$.number")
     )
+    issue_number = F.when(type_.isin(ISSUE_TYPES), F.get_json_object("p_issue", "$.number"))
     return {
-        "action": F.when(has_action, parsed["action"]),
-        "ref": F.when(type_.isin("PushEvent", *REF_TYPES), parsed["ref"]),
-        "ref_type": F.when(type_.isin(REF_TYPES), parsed["ref_type"]),
-        "commit_count": to_bigint(F.when(type_ == "PushEvent", parsed["size"])),
+        "action": F.when(has_action, F.col("p_action")),
+        "ref": F.when(type_.isin("PushEvent", *REF_TYPES), F.col("p_ref")),
+        "ref_type": F.when(type_.isin(REF_TYPES), F.col("p_ref_type")),
+        "commit_count": to_bigint(F.when(type_ == "PushEvent", F.col("p_size"))),
         "pr_number": to_bigint(pr_number),
-        "issue_number": to_bigint(F.when(type_.isin(ISSUE_TYPES), parsed["issue"]["number"])),
+        "issue_number": to_bigint(issue_number),
     }
 
 

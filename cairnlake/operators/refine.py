@@ -15,16 +15,14 @@ WHOLE_TABLE_ORDER = ("file_date", "file_hour", "row_pos")
 
 
 def classify(bronze: DataFrame) -> DataFrame:
-    """Add `error_reason` (NULL when clean) and the parsed payload.
+    """Add `error_reason` (NULL when clean) and the payload members.
 
     Priority: malformed_record, missing_id, missing_type, malformed_payload.
     """
     corrupt = F.col("corrupt_record") if "corrupt_record" in bronze.columns else None
-    parsed = bronze.withColumn("payload_fields", ev.parse_payload("payload"))
-    malformed = ev.is_malformed_payload(F.col("payload"), F.col("payload_fields"))
-    return parsed.withColumn(
-        "error_reason", ev.error_reason(F.col("id"), F.col("type"), malformed, corrupt)
-    )
+    malformed = ev.is_malformed_payload(F.col("payload"))
+    reason = ev.error_reason(F.col("id"), F.col("type"), malformed, corrupt)
+    return ev.with_payload(bronze).withColumn("error_reason", reason)
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
@@ -61,15 +59,13 @@ def silver(
     keep = keep or []
     stamp = F.lit(transformed_at) if isinstance(transformed_at, dt.datetime) else transformed_at
     stamp = F.current_timestamp() if stamp is None else stamp
-    if "payload_fields" not in classified.columns:
-        classified = classified.withColumn("payload_fields", ev.parse_payload("payload"))
-    typed = clean_rows(classified).select(
+    clean = clean_rows(classified)
+    if not set(ev.PARSED) <= set(clean.columns):
+        clean = ev.with_payload(clean)
+    typed = clean.select(
         *KEPT,
         F.to_date("created_at").alias("event_date"),
-        *[
-            c.alias(name)
-            for name, c in ev.payload_columns(F.col("type"), F.col("payload_fields")).items()
-        ],
+        *[column.alias(name) for name, column in ev.payload_columns().items()],
         "ingested_at",
         stamp.cast("timestamp").alias("transformed_at"),
         "source_file",

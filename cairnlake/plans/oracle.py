@@ -268,10 +268,12 @@ STATEMENTS = {
   CASE WHEN NOT is_corrupt THEN payload END AS payload FROM bronze""",
     "declared_scan": """SELECT id, type, actor_login, actor_id, repo_name, repo_id, created_at,
   payload, TRUE AS public FROM bronze WHERE json_valid(payload)""",
-    "raw_preview": """SELECT row_pos, type, id, actor_login, repo_name, created_at_text AS created_at,
-  'id,type,actor,repo,created_at,public,payload' AS top_level_keys
-  FROM (SELECT *, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS created_at_text
-   FROM bronze WHERE json_valid(payload)) ORDER BY row_pos LIMIT 100""",
+    "raw_preview": """SELECT row_pos, CASE WHEN ok THEN type END AS type,
+  CASE WHEN ok THEN id END AS id, CASE WHEN ok THEN actor_login END AS actor_login,
+  CASE WHEN ok THEN repo_name END AS repo_name,
+  CASE WHEN ok THEN strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') END AS created_at,
+  CASE WHEN ok THEN 'id,type,actor,repo,created_at,public,payload' END AS top_level_keys
+  FROM (SELECT *, json_valid(payload) AS ok FROM bronze) ORDER BY row_pos LIMIT 100""",
     "quarantine_records": "SELECT * FROM quarantine",
     "quarantine_by_reason": f"""SELECT error_reason, n, {_SHARE} AS percent FROM
   (SELECT error_reason, COUNT(*) AS n FROM quarantine GROUP BY error_reason)""",

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairnlake import fixtures, schemas
-from cairnlake.functions import events as ev
 from cairnlake.operators import halflife, history, quality, refine, reports, rollups
 from cairnlake.session import use_utc, work_dir
 from cairnlake.sources import raw
@@ -117,16 +116,11 @@ def bronze_flatten(t: Tables) -> DataFrame:
 
 def declared_scan(t: Tables) -> DataFrame:
     shape = raw.DECLARED_SHAPE + ", _corrupt_record STRING"
-    parsed = t.lines.select(F.from_json("value", shape, ev.STRICT_JSON).alias("r")).select("r.*")
+    parsed = t.lines.select(F.inline(F.array(F.from_json("value", shape))))
     fits = parsed.where("_corrupt_record IS NULL").drop("_corrupt_record")
     return raw.flatten_declared(fits)
 
 
-def raw_preview(t: Tables) -> DataFrame:
-    fits = t.lines.where(F.try_parse_json("value").isNotNull())
-    return raw.preview(fits, 100)
-
-
 def explorer(t: Tables) -> DataFrame:
     return reports.explorer_matches(t.silver, "PushEvent", "[bot]")
 
@@ -215,7 +209,7 @@ def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 OVER_TABLES = {
     "bronze_flatten": bronze_flatten,
     "declared_scan": declared_scan,
-    "raw_preview": raw_preview,
+    "raw_preview": lambda t: raw.preview(t.lines, 100),
     "quarantine_records": lambda t: t.quarantine.drop("raw_record", "quarantined_at"),
     "quarantine_by_reason": lambda t: reports.quarantine_reasons(t.quarantine),
     "silver_events": lambda t: t.silver.select(*SILVER_PUBLIC),

@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 
 from cairnlake.functions import events as ev
 
-LINE_SHAPE = (
-    "id STRING, type STRING, actor STRUCT<login: STRING, id: STRING>, "
-    "repo STRUCT<name: STRING, id: STRING>, created_at STRING, payload STRING, "
-    "_corrupt_record STRING"
-)
+LINE_MEMBERS = ["id", "type", "actor", "repo", "created_at", "payload"]
 DECLARED_SHAPE = (
     "id STRING, type STRING, actor STRUCT<id: STRING, login: STRING>, "
     "repo STRUCT<id: STRING, name: STRING>, created_at STRING, payload STRING, public BOOLEAN"
@@ -59,30 +55,42 @@ def with_positions(lines: DataFrame) -> DataFrame:
     )
 
 
+def _with_members(lines: DataFrame) -> DataFrame:
+    """The top-level members of every line, then those of its actor and repo."""
+    return (
+        lines.select("*", F.json_tuple("value", *LINE_MEMBERS).alias(*LINE_MEMBERS))
+        .select("*", F.json_tuple("actor", "login", "id").alias("actor_login", "actor_id"))
+        .select("*", F.json_tuple("repo", "name", "id").alias("repo_name", "repo_id"))
+    )
+
+
 def to_bronze(lines: DataFrame, ingested_at: Column | dt.datetime) -> DataFrame:
     """Flatten lines to bronze columns; lineage columns of `lines` are carried along.
 
-    Every line yields a row. A line that is not a JSON object has NULL fields and
-    its text in `corrupt_record`. An unreadable time is NULL.
+    Every line yields a row. A line that is not JSON has NULL fields and its text in
+    `corrupt_record`. An unreadable time is NULL.
     """
     stamp = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
     carried = [c for c in lines.columns if c not in ("value", "ingested_at")]
-    parsed = lines.withColumn("parsed", F.from_json("value", LINE_SHAPE, ev.STRICT_JSON))
-    corrupt = F.col("parsed._corrupt_record")
-    # A broken line may still give the fields ahead of the break: take none of them.
-    whole = parsed.withColumn("line", F.when(corrupt.isNull(), F.col("parsed")))
-    return whole.select(
-        F.col("line.id").alias("id"),
-        F.col("line.type").alias("type"),
-        F.col("line.actor.login").alias("actor_login"),
-        F.col("line.actor.id").alias("actor_id"),
-        F.col("line.repo.name").alias("repo_name"),
-        F.col("line.repo.id").alias("repo_id"),
-        F.try_to_timestamp("line.created_at").alias("created_at"),
-        F.when(corrupt.isNull(), F.coalesce("line.payload", F.lit("{}"))).alias("payload"),
-        stamp.cast("timestamp").alias("ingested_at"),
-        *carried,
-        corrupt.alias("corrupt_record"),
+    broken = ev.is_broken_json(F.col("value"), *LINE_MEMBERS)
+    return (
+        _with_members(lines)
+        .withColumn("corrupt_record", F.when(broken, F.col("value")))
+        .select(
+            "id",
+            "type",
+            "actor_login",
+            "actor_id",
+            "repo_name",
+            "repo_id",
+            F.try_to_timestamp("created_at").alias("created_at"),
+            F.when(
+                F.col("corrupt_record").isNull(), F.coalesce("payload", F.lit("{}"))
+            ).alias("payload"),
+            stamp.cast("timestamp").alias("ingested_at"),
+            *carried,
+            "corrupt_record",
+        )
     )
 
 
@@ -108,20 +116,10 @@ def flatten_declared(raw: DataFrame) -> DataFrame:
 
 def preview(lines: DataFrame, n: int) -> DataFrame:
     """The first n records with their identity and top-level keys."""
-    line = F.from_json("value", LINE_SHAPE, ev.STRICT_JSON)
-    return (
-        lines.orderBy("row_pos")
-        .limit(n)
-        .select("row_pos", "value", line.alias("line"))
-        .select(
-            "row_pos",
-            F.col("line.type").alias("type"),
-            F.col("line.id").alias("id"),
-            F.col("line.actor.login").alias("actor_login"),
-            F.col("line.repo.name").alias("repo_name"),
-            F.col("line.created_at").alias("created_at"),
-            F.array_join(F.json_object_keys("value"), ",").alias("top_level_keys"),
-        )
+    keys = F.array_join(F.json_object_keys("value"), ",")
+    return _with_members(lines.orderBy("row_pos").limit(n)).select(
+        "row_pos", "type", "id", "actor_login", "repo_name", "created_at",
+        keys.alias("top_level_keys"),
     )
 
 
