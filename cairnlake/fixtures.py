@@ -135,14 +135,13 @@ def lines_from(bronze: DataFrame) -> DataFrame:
     )
 
 
-def write_hour_files(lines: DataFrame, root: str, parts_per_hour: int = 1) -> None:
+def write_hour_files(lines: DataFrame, root: str) -> None:
     """Land the lines as gzip parts, one folder per hour named like an hourly file.
 
-    `parts_per_hour` above 1 splits an hour that is too large for one task.
+    The rebalance hint keeps an hour together, or splits it when it is very large.
     """
-    salt = F.pmod(F.col("row_pos"), F.lit(parts_per_hour))
     (
-        lines.repartition("source_file", salt)
+        lines.hint("rebalance", F.col("source_file"))
         .sortWithinPartitions("source_file", "row_pos")
         .select("value", "source_file")
         .write.partitionBy("source_file")

@@ -395,6 +395,12 @@ STATEMENTS = {
   CASE WHEN id IS NULL OR id = '' THEN 'missing_id' END AS new_reason
   FROM (SELECT source_file, row_pos, id, type AS old_type, error_reason AS old_reason
    FROM classified WHERE error_reason IS NOT NULL)""",
+    "incremental_resume": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
+  quarantine_rows, duplicate_rows FROM audit""",
+    "stored_repo_daily": "SELECT * FROM repo_daily",
+    "corrupt_file_guard": "SELECT source_file, CAST(NULL AS VARCHAR) AS fault FROM audit",
+    "streaming_ingest": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
+  quarantine_rows, duplicate_rows FROM audit""",
     "activity_half_life": """SELECT repo_name, release_date, peak_date, peak, half_date,
   date_diff('day', peak_date, half_date) AS half_life_days FROM (
    SELECT p.repo_name, ANY_VALUE(p.release_date) AS release_date, ANY_VALUE(p.peak_date)

@@ -14,8 +14,11 @@ from pyspark.sql import types as T
 
 from cairnlake import fixtures, schemas
 from cairnlake.operators import halflife, history, quality, refine, reports, rollups
+from cairnlake.plans import ingest
 from cairnlake.session import use_utc, work_dir
 from cairnlake.sources import raw
+from cairnlake.sources.lake import Lake
+from cairnlake.streaming import files, hourly
 
 NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
@@ -39,6 +42,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.bronze = fixtures.bronze(spark, sf_dir)
 
     @property
@@ -197,13 +201,87 @@ def quarantine_replay(t: Tables) -> DataFrame:
 
 
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = (
+    listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .load(sf_dir)
         .select("path", "length")
     )
-    return reports.storage(files, F.regexp_extract("path", r"([^/]+)\.parquet$", 1))
+    return reports.storage(listed, F.regexp_extract("path", r"([^/]+)\.parquet$", 1))
+
+
+# ---- queries that go through stored files -----------------------------------
+
+
+def once_per_session(make):
+    """Queries over the same folder share the files one of them has written."""
+    made: dict[tuple, object] = {}
+
+    def get(t: Tables):
+        key = (t.spark.sparkContext.applicationId, t.sf_dir)
+        if key not in made:
+            made[key] = make(t)
+        return made[key]
+
+    return get
+
+
+@once_per_session
+def landed(t: Tables) -> str:
+    """The fixture written out as raw hourly gzip files; returns their folder."""
+    root = work_dir(t.spark, "raw") + "/raw"
+    fixtures.write_hour_files(t.lines, root)
+    return root
+
+
+def ledger_rows(lake: Lake) -> DataFrame:
+    return lake.ledger().select(
+        "source_file", "status", "bronze_rows", "silver_rows", "quarantine_rows", "duplicate_rows"
+    )
+
+
+@once_per_session
+def resumed_lake(t: Tables) -> Lake:
+    """Half of the days, then a batch that crashes before its commit, then the rest."""
+    raw_root = landed(t)
+    lake = Lake(t.spark, work_dir(t.spark, "lake") + "/lake")
+    ingest.backfill(lake, raw_root, FIRST_DAY, "2024-01-15", NOW)
+    some = reports.expected_files(reports.date_list(t.spark, ["2024-01-16"]))
+    paths = raw.list_files(t.spark, raw_root).join(some, "source_file", "left_semi")
+    lines = raw.read_lines(t.spark, [r.path for r in paths.select("path").collect()])
+    ingest.stage_batch(lake, lake.last_seq() + 1, lines, NOW)
+    ingest.backfill(lake, raw_root, FIRST_DAY, LAST_DAY, NOW)
+    return lake
+
+
+def stored_repo_daily(t: Tables) -> DataFrame:
+    return resumed_lake(t).gold("repo_daily").drop("aggregated_at")
+
+
+def corrupt_file_guard(t: Tables) -> DataFrame:
+    listed = raw.list_files(t.spark, landed(t))
+    faults = raw.gzip_faults(t.spark, listed).select("source_file", "fault")
+    return listed.select("source_file").distinct().join(faults, "source_file", "left")
+
+
+def streaming_ingest(t: Tables) -> DataFrame:
+    base = work_dir(t.spark, "stream")
+    lake = Lake(t.spark, f"{base}/lake")
+    stream = files.start_ingest(lake, landed(t), f"{base}/checkpoint", with_gold=False)
+    stream.awaitTermination()
+    return ledger_rows(lake)
+
+
+def streaming_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table read as a stream; late and future rows are counted, none dropped."""
+    base = work_dir(use_utc(spark), "hourly")
+    shape = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = (
+        spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+    counts = hourly.hourly_counts(fixtures.bronze_from(stream), watermark="40 days")
+    hourly.write_updates(counts, f"{base}/updates", f"{base}/checkpoint").awaitTermination()
+    return naive(hourly.latest(spark.read.parquet(f"{base}/updates")))
 
 
 OVER_TABLES = {
@@ -266,6 +344,10 @@ OVER_TABLES = {
     "schema_evolved_union": schema_evolved_union,
     "partition_scan_compare": partition_scan_compare,
     "quarantine_replay": quarantine_replay,
+    "incremental_resume": lambda t: ledger_rows(resumed_lake(t)),
+    "stored_repo_daily": stored_repo_daily,
+    "corrupt_file_guard": corrupt_file_guard,
+    "streaming_ingest": streaming_ingest,
     "activity_half_life": lambda t: halflife.half_life(t.silver),
 }
 
@@ -276,5 +358,6 @@ def _over_tables(build):
 
 def queries():
     registered = {name: _over_tables(build) for name, build in OVER_TABLES.items()}
+    registered["streaming_hourly_counts"] = streaming_hourly_counts
     registered["storage_report"] = lambda spark, sf_dir: storage_report(use_utc(spark), sf_dir)
     return registered

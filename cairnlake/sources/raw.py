@@ -31,12 +31,12 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select(_hour_of(F.col("path")).alias("source_file"), "path", "length")
+        .select(hour_of(F.col("path")).alias("source_file"), "path", "length")
         .where(F.col("source_file") != "")
     )
 
 
-def _hour_of(path: Column) -> Column:
+def hour_of(path: Column) -> Column:
     return F.regexp_extract(path, ev.HOUR_FILE, 1)
 
 
@@ -50,7 +50,7 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 def with_positions(lines: DataFrame) -> DataFrame:
     return lines.select(
         "value",
-        _hour_of(F.col("_metadata.file_path")).alias("source_file"),
+        hour_of(F.col("_metadata.file_path")).alias("source_file"),
         F.monotonically_increasing_id().alias("row_pos"),
     )
 
@@ -186,7 +186,7 @@ def gzip_faults(spark: SparkSession, files: DataFrame) -> DataFrame:
         finally:
             spark.conf.set(key, before)
         found = found.union(spark.createDataFrame(rows, "path STRING, fault STRING"))
-    return found.select(_hour_of(F.col("path")).alias("source_file"), "path", "fault")
+    return found.select(hour_of(F.col("path")).alias("source_file"), "path", "fault")
 
 
 def _scan_fault(spark: SparkSession, path: str) -> str | None:
