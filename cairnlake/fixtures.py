@@ -14,6 +14,7 @@ from cairnlake.functions import events as ev
 from cairnlake.session import use_utc
 
 COPY_OFFSET = 1_000_000_000
+ROWS_PER_PART = 5_000_000
 
 ID = """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN ''
         WHEN event_id % 139 = 0 THEN 'None' ELSE CAST(event_id AS STRING) END"""
@@ -138,10 +139,13 @@ def lines_from(bronze: DataFrame) -> DataFrame:
 def write_hour_files(lines: DataFrame, root: str) -> None:
     """Land the lines as gzip parts, one folder per hour named like an hourly file.
 
-    The rebalance hint keeps an hour together, or splits it when it is very large.
+    Rows are dealt out by hour and by block of positions, so a normal hour is one part
+    and an hour with very many rows is written by several tasks.
     """
+    block = F.floor(F.pmod(F.col("row_pos"), F.lit(COPY_OFFSET)) / ROWS_PER_PART)
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        lines.hint("rebalance", F.col("source_file"))
+        lines.repartition(tasks, "source_file", block)
         .sortWithinPartitions("source_file", "row_pos")
         .select("value", "source_file")
         .write.partitionBy("source_file")

@@ -118,8 +118,8 @@ def _measure(check: Check, now: dt.datetime) -> Column:
 
 def _repeated_keys(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     known = reduce(operator.and_, [F.col(c).isNotNull() for c in columns])
-    counted = df.where(known).groupBy(*columns).agg(F.count("*").alias("n"))
-    return counted.agg(F.count_if(F.col("n") > 1).alias("value"))
+    counted = df.where(known).groupBy(*columns).agg(F.count("*").alias("_rows"))
+    return counted.agg(F.count_if(F.col("_rows") > 1).alias("value"))
 
 
 def _outcome(check: Check, value: Column) -> Column:

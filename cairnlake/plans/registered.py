@@ -245,12 +245,14 @@ def resumed_lake(t: Tables) -> Lake:
     """Half of the days, then a batch that crashes before its commit, then the rest."""
     raw_root = landed(t)
     lake = Lake(t.spark, work_dir(t.spark, "lake") + "/lake")
-    ingest.backfill(lake, raw_root, FIRST_DAY, "2024-01-15", NOW)
-    some = reports.expected_files(reports.date_list(t.spark, ["2024-01-16"]))
-    paths = raw.list_files(t.spark, raw_root).join(some, "source_file", "left_semi")
-    lines = raw.read_lines(t.spark, [r.path for r in paths.select("path").collect()])
+    first_half = reports.date_range(t.spark, FIRST_DAY, "2024-01-15")
+    ingest.ingest_pending(lake, raw_root, first_half, NOW)
+    next_day = reports.expected_files(reports.date_list(t.spark, ["2024-01-16"]))
+    files_of_day = raw.list_files(t.spark, raw_root).join(next_day, "source_file", "left_semi")
+    lines = raw.read_lines(t.spark, [r.path for r in files_of_day.select("path").collect()])
     ingest.stage_batch(lake, lake.last_seq() + 1, lines, NOW)
-    ingest.backfill(lake, raw_root, FIRST_DAY, LAST_DAY, NOW)
+    ingest.ingest_pending(lake, raw_root, t.days, NOW)
+    ingest.refresh_gold(lake, run_at=NOW)
     return lake
 
 
