@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from cairnlake import schemas
@@ -26,8 +26,8 @@ class UnbalancedBatch(RuntimeError):
 # ---- one batch --------------------------------------------------------------
 
 
-def stage_batch(lake: Lake, seq: int, lines: DataFrame, run_at: dt.datetime) -> DataFrame:
-    """Write bronze, silver and quarantine of a batch; returns rows per source file.
+def stage_batch(lake: Lake, seq: int, lines: DataFrame, run_at: dt.datetime) -> list[Row]:
+    """Write bronze, silver and quarantine of a batch; returns one count row per file.
 
     Bronze is classified as it is written. Silver and quarantine then come from the
     stored batch, not from a second parse of the raw files: quarantine reads the few
@@ -50,7 +50,7 @@ def _sized_by_date(silver: DataFrame) -> DataFrame:
     return silver.hint("rebalance", F.col("event_date"))
 
 
-def _batch_counts(lake: Lake, seq: int, stored: DataFrame) -> DataFrame:
+def _batch_counts(lake: Lake, seq: int, stored: DataFrame) -> list[Row]:
     """Rows per file as found in each written table; duplicates counted from bronze."""
 
     def written(table: str, name: str) -> DataFrame:
@@ -64,43 +64,31 @@ def _batch_counts(lake: Lake, seq: int, stored: DataFrame) -> DataFrame:
         .join(written("quarantine", "quarantine_rows"), "source_file", "left")
         .na.fill(0, ["silver_rows", "quarantine_rows"])
     )
-    # One small row per file of the batch: kept, because the ledger needs it several times.
-    balanced = refine.balanced(counts)
-    return lake.spark.createDataFrame(balanced.collect(), balanced.schema)
+    return refine.balanced(counts).collect()
 
 
-def commit_batch(lake: Lake, seq: int, counts: DataFrame, run_at: dt.datetime) -> None:
+def commit_batch(lake: Lake, seq: int, counts: list[Row], run_at: dt.datetime) -> None:
     """Enter a batch in the ledger. Nothing of it is visible to readers before."""
-    off = counts.where(~F.col("balanced")).select("source_file").take(5)
+    off = [c.source_file for c in counts if not c.balanced]
     if off:
-        raise UnbalancedBatch(f"rows in and out differ for {[r.source_file for r in off]}")
-    lake.commit(
-        counts.select(
-            F.lit(seq).cast("bigint").alias("batch_seq"),
-            "source_file",
-            F.lit("done").alias("status"),
-            F.lit(run_at).cast("timestamp").alias("ingested_at"),
-            "bronze_rows",
-            "silver_rows",
-            "quarantine_rows",
-            "duplicate_rows",
-            F.lit(None).cast("string").alias("reason"),
-        )
-    )
+        raise UnbalancedBatch(f"rows in and out differ for {off[:5]}")
+    rows = [
+        (seq, c.source_file, "done", run_at, c.bronze_rows, c.silver_rows, c.quarantine_rows,
+         c.duplicate_rows, None)
+        for c in counts
+    ]
+    lake.commit(lake.spark.createDataFrame(rows, schemas.LEDGER))
 
 
-def reject_files(lake: Lake, faults: DataFrame, run_at: dt.datetime) -> None:
+def reject_files(lake: Lake, faults: dict[str, str], run_at: dt.datetime) -> set[str]:
     """Enter files that could not be read. They stay pending for the next run."""
-    lake.commit(
-        faults.groupBy("source_file")
-        .agg(F.min("fault").alias("reason"))
-        .select(
-            "source_file",
-            F.lit("rejected").alias("status"),
-            F.lit(run_at).cast("timestamp").alias("ingested_at"),
-            "reason",
-        )
-    )
+    if faults:
+        rows = [
+            (None, name, "rejected", run_at, None, None, None, None, reason)
+            for name, reason in faults.items()
+        ]
+        lake.commit(lake.spark.createDataFrame(rows, schemas.LEDGER))
+    return set(faults)
 
 
 # ---- runs -------------------------------------------------------------------
@@ -121,24 +109,34 @@ def ingest_pending(
     others go on; by default files are tested only when reading them failed, so that
     good files are decompressed once.
     """
-    spark, run_at = lake.spark, run_at or run_stamp()
-    listed = raw.list_files(spark, raw_root)
-    if days is not None:
-        listed = listed.join(
-            reports.expected_files(days).select("source_file"), "source_file", "left_semi"
-        )
+    run_at = run_at or run_stamp()
+    listed = raw.list_files(lake.spark, raw_root)
     refused: set[str] = set()
+    if days is not None:
+        expected = reports.expected_files(days).select("source_file")
+        refused = _reject_empty(lake, raw_root, expected, listed, run_at)
+        listed = listed.join(expected, "source_file", "left_semi")
     batches = 0
-    while batch := _next_batch(listed, lake, refused, files_per_batch):
-        files = spark.createDataFrame(batch, "source_file STRING, path STRING, length BIGINT")
-        good, bad = _ingest_files(lake, files, run_at, check_first)
+    while parts := _next_batch(listed, lake, refused, files_per_batch):
+        made, bad = _ingest_parts(lake, parts, run_at, check_first)
         refused |= bad
-        batches += good
+        batches += made
     return batches
 
 
-def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> list:
-    """The parts of the next n pending files, oldest first."""
+def _reject_empty(
+    lake: Lake, raw_root: str, expected: DataFrame, listed: DataFrame, run_at: dt.datetime
+) -> set[str]:
+    """Refuse hours of the requested days that are there, but without a byte."""
+    absent = reports.pending_files(
+        expected.join(listed, "source_file", "left_anti"), lake.ledger()
+    )
+    names = [r.source_file for r in absent.collect()]
+    return reject_files(lake, raw.zero_byte_files(lake.spark, raw_root, names), run_at)
+
+
+def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> list[Row]:
+    """The parts (source_file, path, length) of the next n pending files, oldest first."""
     pending = reports.pending_files(listed, lake.ledger())
     if refused:
         pending = pending.where(~F.col("source_file").isin(*refused))
@@ -148,52 +146,50 @@ def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> lis
         F.col("source_file"),
     ]
     names = pending.select("source_file").distinct().orderBy(*order).limit(n)
-    return pending.join(names, "source_file", "left_semi").select(
-        "source_file", "path", "length"
-    ).collect()
+    return pending.join(names, "source_file", "left_semi").collect()
 
 
-def _ingest_files(
-    lake: Lake, files: DataFrame, run_at: dt.datetime, check_first: bool
+def _ingest_parts(
+    lake: Lake, parts: list[Row], run_at: dt.datetime, check_first: bool
 ) -> tuple[int, set[str]]:
     """Try a batch; when reading fails, leave the faulty files out and try again."""
     bad: set[str] = set()
     if check_first:
-        bad = _reject_faulty(lake, files, run_at)
+        bad = _reject_faulty(lake, parts, run_at)
+    good = [p for p in parts if p.source_file not in bad]
     try:
-        return _ingest_good(lake, files, bad, run_at)
+        made, empty = _ingest_good(lake, good, run_at)
     except Exception:
-        found = _reject_faulty(lake, files.where(~F.col("source_file").isin(*bad)), run_at)
-        if not found:
+        faulty = _reject_faulty(lake, good, run_at)
+        if not faulty:
             raise  # the files are sound, so the failure is about something else
-        return _ingest_good(lake, files, bad | found, run_at)
+        bad |= faulty
+        made, empty = _ingest_good(
+            lake, [p for p in good if p.source_file not in faulty], run_at
+        )
+    return made, bad | empty
 
 
-def _reject_faulty(lake: Lake, files: DataFrame, run_at: dt.datetime) -> set[str]:
-    faults = raw.gzip_faults(lake.spark, files)
-    names = {r.source_file for r in faults.select("source_file").collect()}
-    if names:
-        reject_files(lake, faults, run_at)
-    return names
+def _reject_faulty(lake: Lake, parts: list[Row], run_at: dt.datetime) -> set[str]:
+    files = lake.spark.createDataFrame(parts, "source_file STRING, path STRING, length BIGINT")
+    faults = raw.gzip_faults(lake.spark, files).collect()
+    return reject_files(lake, {f.source_file: f.fault for f in faults}, run_at)
 
 
 def _ingest_good(
-    lake: Lake, files: DataFrame, bad: set[str], run_at: dt.datetime
+    lake: Lake, parts: list[Row], run_at: dt.datetime
 ) -> tuple[int, set[str]]:
-    good = files.where(~F.col("source_file").isin(*bad))
-    paths = [r.path for r in good.select("path").collect()]
-    if not paths:
-        return 0, bad
+    """Stage and commit; files that gave no record are rejected."""
+    if not parts:
+        return 0, set()
     seq = lake.last_seq() + 1
-    counts = stage_batch(lake, seq, raw.read_lines(lake.spark, paths), run_at)
-    empty = raw.rejected_files(good, counts).withColumn("fault", F.lit("no records"))
-    names = {r.source_file for r in empty.collect()}
-    if names:
-        reject_files(lake, empty, run_at)
-    if not counts.take(1):
-        return 0, bad | names
-    commit_batch(lake, seq, counts, run_at)
-    return 1, bad | names
+    lines = raw.read_lines(lake.spark, [p.path for p in parts])
+    counts = stage_batch(lake, seq, lines, run_at)
+    silent = {p.source_file for p in parts} - {c.source_file for c in counts}
+    empty = reject_files(lake, dict.fromkeys(sorted(silent), "no records"), run_at)
+    if counts:
+        commit_batch(lake, seq, counts, run_at)
+    return int(bool(counts)), empty
 
 
 # ---- gold -------------------------------------------------------------------
@@ -283,7 +279,3 @@ def check_lake(
     results = quality.run_checks(lake.spark, tables, declared, now, layer, fail_fast)
     results.coalesce(1).write.mode("append").parquet(lake.checks_path)
     return results
-
-
-def open_lake(spark: SparkSession, root: str) -> Lake:
-    return Lake(spark, root)

@@ -52,7 +52,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     """The Parquet table at `path`, or a typed empty frame when there is none."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -123,20 +123,28 @@ def preview(lines: DataFrame, n: int) -> DataFrame:
     )
 
 
-def rejected_files(listed: DataFrame, yielded: DataFrame) -> DataFrame:
-    """Hours that were read but gave no row at all."""
-    return listed.select("source_file").distinct().join(
-        yielded.select("source_file").distinct(), "source_file", "left_anti"
-    )
+# ---- gzip integrity ---------------------------------------------------------
 
 
-# ---- gzip integrity ---------------------------------------------------------
+def zero_byte_files(spark: SparkSession, root: str, names: list[str]) -> dict[str, str]:
+    """The named hours that lie below `root` as a file without a single byte.
+
+    Spark's listings leave such files out, so the file system is asked for each name.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for name in names:
+        place = hadoop.Path(f"{root.rstrip('/')}/{name}")
+        if fs.exists(place):
+            status = fs.getFileStatus(place)
+            if status.isFile() and status.getLen() == 0:
+                found[name] = "empty file"
+    return found
 
 
 def _inflates_fully(data: bytes, step: int = 1 << 20) -> str | None:
     """None when every gzip member of `data` is complete, else the fault."""
-    if not data:
-        return "empty file"
     view, pos = memoryview(data), 0
     while pos < len(view):
         member = zlib.decompressobj(wbits=31)

@@ -24,6 +24,8 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            # without checksum side files; local writes are slow where Hadoop has no native code
+            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
         },
     )
     session.sparkContext.setLogLevel("OFF")
