@@ -7,7 +7,7 @@ some rows are given an exact copy in the same file. Nothing is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import events as ev
@@ -45,18 +45,14 @@ INGESTED = """CASE WHEN event_id % 131 = 0 THEN created_at + INTERVAL 30 HOUR
               ELSE created_at + INTERVAL 2 HOUR END"""
 
 
-def _type_column() -> Column:
-    chain = F.expr(
-        """CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN ''
-           WHEN event_id % 109 = 0 THEN 'DownloadEvent' END"""
+def _type_sql() -> str:
+    kinds = " ".join(
+        f"WHEN event_type = '{kind}' THEN element_at(array({', '.join(map(repr, types))}), "
+        "CAST(event_id % 3 AS INT) + 1)"
+        for kind, types in TYPES_OF_KIND.items()
     )
-    special = F.expr("event_id % 103 = 0 OR event_id % 107 = 0 OR event_id % 109 = 0")
-    choice = F.when(special, chain)
-    for kind, types in TYPES_OF_KIND.items():
-        names = F.array(*[F.lit(t) for t in types])
-        by_id = F.element_at(names, (F.col("event_id") % 3 + 1).cast("int"))
-        choice = choice.when(F.col("event_type") == kind, by_id)
-    return choice
+    return f"""CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN ''
+        WHEN event_id % 109 = 0 THEN 'DownloadEvent' {kinds} END"""
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +86,7 @@ def bronze_from(events: DataFrame) -> DataFrame:
     ).otherwise(F.array(F.lit(0)))
     return base.withColumn("copy_offset", F.explode(offsets)).select(
         F.expr(ID).alias("id"),
-        _type_column().alias("type"),
+        F.expr(_type_sql()).alias("type"),
         F.expr(LOGIN).alias("actor_login"),
         F.col("user_id").cast("string").alias("actor_id"),
         F.expr("CASE WHEN k = 13 THEN NULL ELSE concat('org/repo', CAST(k AS STRING)) END").alias(

@@ -99,7 +99,10 @@ class Lake:
     # ---- generations: a full refresh builds beside the old data, then switches ----
 
     def _current_generation(self) -> int:
-        known = read_or_empty(self.spark, f"{self.root}/generations", _GENERATIONS)
+        path = f"{self.root}/generations"
+        if not path_exists(self.spark, path):
+            return 0
+        known = self.spark.read.schema(_GENERATIONS).parquet(path)
         return known.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
 
     def next_generation(self) -> Lake:
@@ -115,6 +118,8 @@ class Lake:
         return read_or_empty(self.spark, self.path("ledger"), schemas.LEDGER)
 
     def last_seq(self) -> int:
+        if not path_exists(self.spark, self.path("ledger")):
+            return 0
         done = self.ledger().where("status = 'done'")
         return done.agg(F.coalesce(F.max("batch_seq"), F.lit(0))).first()[0]
 
@@ -128,9 +133,13 @@ class Lake:
 
     def schema(self, table: str) -> T.StructType:
         default = {**VERSIONED, **REPLACED}[table]
-        changes = read_or_empty(self.spark, f"{self.root}/schemas", _SCHEMAS)
+        path = f"{self.root}/schemas"
+        if not path_exists(self.spark, path):
+            return default
         latest = (
-            changes.where(F.col("table_name") == table)
+            self.spark.read.schema(_SCHEMAS)
+            .parquet(path)
+            .where(F.col("table_name") == table)
             .agg(F.max_by("definition", "schema_id"))
             .first()[0]
         )
