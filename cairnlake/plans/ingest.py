@@ -96,7 +96,7 @@ def reject_files(lake: Lake, faults: dict[str, str], run_at: dt.datetime) -> set
 
 def ingest_pending(
     lake: Lake,
-    raw_root: str,
+    raw_root: str | list[str],
     days: DataFrame | None = None,
     run_at: dt.datetime | None = None,
     files_per_batch: int = FILES_PER_BATCH,
@@ -139,7 +139,8 @@ def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> lis
     """The parts (source_file, path, length) of the next n pending files, oldest first."""
     pending = reports.pending_files(listed, lake.ledger())
     if refused:
-        pending = pending.where(~F.col("source_file").isin(*refused))
+        left_out = lake.spark.createDataFrame([(f,) for f in refused], "source_file STRING")
+        pending = pending.join(left_out, "source_file", "left_anti")
     order = [
         ev.file_date(F.col("source_file")),
         ev.file_hour(F.col("source_file")),

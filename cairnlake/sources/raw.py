@@ -21,9 +21,11 @@ DECLARED_SHAPE = (
 BINARY_LIMIT = 2**31 - 1
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """(source_file, path, length) of every landed part; no content is read.
 
+    `root` is the landing folder, or the places of single hours.
+
     An hour is landed as one file of that name, or as a folder of that name with
     several gzip parts, which lets one very large hour be read by many tasks.
     """

@@ -4,45 +4,62 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cairnlake.operators import reports
+from cairnlake.functions import events as ev
 from cairnlake.plans import ingest
-from cairnlake.sources import raw
 from cairnlake.sources.lake import Lake, run_stamp
 
+FILE_SHAPE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
+def arrivals(lake: Lake, raw_root: str, max_files: int) -> DataFrame:
+    """A stream of (place, source_file): where an hour has landed. No content is read."""
+    return (
+        lake.spark.readStream.format("binaryFile")
+        .schema(FILE_SHAPE)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files)
+        .load(raw_root)
+        .select(
+            F.regexp_extract("path", f"^(.*?{ev.HOUR_FILE})", 1).alias("place"),
+            F.regexp_extract("path", ev.HOUR_FILE, 1).alias("source_file"),
+        )
+        .where("place <> ''")
+    )
+
 
 def start_ingest(
     lake: Lake, raw_root: str, checkpoint: str, max_files: int = 1000, with_gold: bool = True
 ) -> StreamingQuery:
     """Process all landed files and stop (availableNow).
 
-    A micro-batch that is replayed after a crash finds its files done in the ledger
-    and skips them, so each file is committed once. Gold is recomputed for the dates a
-    micro-batch touched: an exact distinct count cannot be kept as stream state.
+    The stream only tells which hours have landed; each of them is then ingested whole,
+    so an hour of several parts may be spread over micro-batches. A micro-batch that is
+    replayed after a crash finds its hours done in the ledger and skips them. Gold is
+    recomputed for the dates a micro-batch touched: an exact distinct count cannot be
+    kept as stream state.
     """
-    lines = (
-        lake.spark.readStream.format("text")
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files)
-        .load(raw_root)
-        .select("value", raw.hour_of(F.col("_metadata.file_path")).alias("source_file"))
-    )
 
-    def process(rows: DataFrame, _epoch: int) -> None:
-        fresh = reports.pending_files(
-            rows.withColumn("row_pos", F.monotonically_increasing_id()), lake.ledger()
-        )
-        if not fresh.take(1):
+    def process(landed: DataFrame, _epoch: int) -> None:
+        places = [r.place for r in landed.select("place").distinct().collect()]  # <= max_files
+        if not places:
             return
         before, run_at = lake.last_seq(), run_stamp()
-        counts = ingest.stage_batch(lake, before + 1, fresh, run_at)
-        ingest.commit_batch(lake, before + 1, counts, run_at)
-        if with_gold:
+        if ingest.ingest_pending(lake, places, run_at=run_at) and with_gold:
             ingest.refresh_gold(lake, since=before, run_at=run_at)
 
     return (
-        lines.writeStream.foreachBatch(process)
+        arrivals(lake, raw_root, max_files)
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

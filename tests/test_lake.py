@@ -257,6 +257,17 @@ def test_stream_and_batch_ingest_agree(spark, tmp_path, raw_root):
     assert ledger_of(lake) == EXPECTED and lake.silver().count() == 120
 
 
+def test_stream_keeps_an_hour_of_several_parts_whole(spark, tmp_path):
+    hour = tmp_path / "raw" / "2024-01-01-5.json.gz"
+    for part in range(3):
+        write_hour(hour, 1, part, [event(f"{part}")]).rename(hour / f"part-{part}.gz")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    files.start_ingest(
+        lake, str(tmp_path / "raw"), str(tmp_path / "chk"), max_files=1, with_gold=False
+    ).awaitTermination()
+    assert ledger_of(lake) == [("2024-01-01-5.json.gz", 3, 3, 0, 0)]
+
+
 def test_catalog_tables(spark, tmp_path):
     where = str(tmp_path / "cat")
     storage.ensure_namespace(spark, "cairn_test", where)
