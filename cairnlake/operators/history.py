@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NULL_SLOTS = 256
 SAMPLE_COLUMNS = ["id", "type", "actor_login", "repo_name", "created_at"]
 
 
@@ -162,10 +163,17 @@ def type_diff(before: DataFrame, after: DataFrame, top_n: int | None = None) ->
 def new_rows(before: DataFrame, after: DataFrame, key: str = "id") -> DataFrame:
     """Rows of `after` whose key is not in `before`; a NULL key counts as new.
 
-    The known keys are reduced to one row each ahead of the shuffle the join uses.
+    The known keys are reduced to one row each ahead of the shuffle the join uses. Rows
+    without a key match nothing; they are dealt out over slots so that very many of
+    them do not meet in one task. (Silver holds an id at most once per source file.)
     """
+    slot = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*after.columns), F.lit(NULL_SLOTS)))
     known = before.where(F.col(key).isNotNull()).select(key).distinct()
-    return after.join(known, key, "left_anti")
+    return (
+        after.withColumn("_slot", F.coalesce(slot, F.lit(0)))
+        .join(known.withColumn("_slot", F.lit(0).cast("bigint")), [key, "_slot"], "left_anti")
+        .select(*after.columns)
+    )
 
 
 def rows_since(table: DataFrame, version: int, key: str = "id") -> DataFrame:

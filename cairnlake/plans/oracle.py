@@ -283,6 +283,9 @@ STATEMENTS = {
   bronze_rows = silver_rows + quarantine_rows + duplicate_rows AS balanced FROM audit""",
     "gold_repo_daily": "SELECT * FROM repo_daily",
     "gold_actor_daily": "SELECT * FROM actor_daily",
+    "gold_repo_presented": "SELECT * FROM repo_daily ORDER BY event_date, total_events DESC, repo_name",
+    "gold_actor_presented": """SELECT * FROM actor_daily
+  ORDER BY event_date, total_events DESC, actor_login""",
     "top_repos": """SELECT event_date, repo_name, total_events, push_count, stars, forks
   FROM repo_daily ORDER BY total_events DESC, repo_name, event_date LIMIT 10""",
     "top_actors": """SELECT event_date, actor_login, total_commits, push_count, repos_touched
@@ -326,6 +329,8 @@ STATEMENTS = {
     "late_events": """SELECT * FROM (SELECT id, type, created_at, transformed_at,
    epoch_us(transformed_at) - epoch_us(created_at) AS lag_micros FROM silver)
   WHERE lag_micros > 86400000000""",
+    "future_events": """SELECT row_pos, id, created_at, ingested_at FROM bronze
+  WHERE created_at > ingested_at""",
     "layer_totals": """SELECT 'bronze' AS table_name, COUNT(*) AS n FROM bronze
   UNION ALL SELECT 'silver', COUNT(*) FROM silver
   UNION ALL SELECT 'quarantine', COUNT(*) FROM quarantine
@@ -342,6 +347,12 @@ STATEMENTS = {
     "file_status": """SELECT s.day, s.hour, s.source_file,
   COALESCE(d.status, 'pending') AS status, d.bronze_rows, d.silver_rows, d.quarantine_rows,
   d.duplicate_rows, d.ingested_at FROM spine s LEFT JOIN done d USING (source_file)""",
+    "ledger_totals": """SELECT COUNT(*) AS files_done,
+  CAST(COALESCE(SUM(bronze_rows), 0) AS BIGINT) AS bronze_rows,
+  CAST(COALESCE(SUM(silver_rows), 0) AS BIGINT) AS silver_rows,
+  CAST(COALESCE(SUM(quarantine_rows), 0) AS BIGINT) AS quarantine_rows,
+  CAST(COALESCE(SUM(duplicate_rows), 0) AS BIGINT) AS duplicate_rows,
+  MAX(ingested_at) AS last_ingested FROM done""",
     "ledger_by_day": """SELECT day, COUNT(*) FILTER (WHERE status = 'done') AS files_done,
   MAX(ingested_at) FILTER (WHERE status = 'done') AS last_ingested,
   CAST(COALESCE(SUM(bronze_rows) FILTER (WHERE status = 'done'), 0) AS BIGINT) AS bronze_rows,

@@ -200,6 +200,12 @@ def quarantine_replay(t: Tables) -> DataFrame:
     )
 
 
+def future_events(t: Tables) -> DataFrame:
+    """The rows behind a failed check, not only their number."""
+    check = next(c for c in quality.bronze_checks() if c.name == "no future events in bronze")
+    return quality.bad_rows(t.bronze, check).select("row_pos", "id", "created_at", "ingested_at")
+
+
 def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = (
         spark.read.format("binaryFile")
@@ -299,6 +305,8 @@ OVER_TABLES = {
     "duplicate_audit": lambda t: refine.balanced(t.audit),
     "gold_repo_daily": lambda t: t.repo_daily,
     "gold_actor_daily": lambda t: t.actor_daily,
+    "gold_repo_presented": lambda t: rollups.presented(t.repo_daily),
+    "gold_actor_presented": lambda t: rollups.presented(t.actor_daily),
     "top_repos": lambda t: reports.top_repo_days(t.repo_daily),
     "top_actors": lambda t: reports.top_actor_days(t.actor_daily),
     "top_repos_15": lambda t: reports.top_repo_days(t.repo_daily, 15),
@@ -320,6 +328,7 @@ OVER_TABLES = {
     "distinct_types": lambda t: reports.distinct_types(t.silver),
     "bot_flag": bot_flag,
     "late_events": lambda t: reports.late_events(t.silver),
+    "future_events": future_events,
     "layer_totals": layer_totals,
     "checks_bronze": lambda t: _checks(t, "bronze"),
     "checks_silver": lambda t: _checks(t, "silver"),
@@ -330,6 +339,7 @@ OVER_TABLES = {
     "pending_files": lambda t: reports.pending_files(t.audit.select("source_file"), t.ledger),
     "missing_hours": lambda t: reports.missing_hours(t.days, t.ledger),
     "file_status": lambda t: reports.file_status(t.days, t.ledger),
+    "ledger_totals": lambda t: reports.ledger_totals(t.ledger),
     "ledger_by_day": lambda t: reports.ledger_by_day(t.ledger),
     "freshness_by_day": lambda t: reports.freshness_by_day(t.ledger, NOW),
     "version_history": lambda t: history.version_history(t.committed),

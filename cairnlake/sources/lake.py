@@ -177,6 +177,10 @@ class Lake:
     def quarantine(self, version: int | None = None) -> DataFrame:
         return self.versioned("quarantine", version).drop("batch_seq")
 
+    def head(self, table: str, n: int, version: int | None = None) -> DataFrame:
+        """Any n rows of a versioned table, also of an earlier version of it."""
+        return self.versioned(table, version).limit(n)
+
     def gold(self, table: str) -> DataFrame:
         return read_or_empty(self.spark, self.path(table), self.schema(table))
 

@@ -229,6 +229,10 @@ def test_reports_over_the_lake(spark, tmp_path, raw_root):
     one = reports.scan_cost(stored.where("event_date = DATE '2024-01-01'")).first()
     assert one.rows_scanned == 60 and whole.rows_scanned == 120
     assert one.files_read < whole.files_read and one.bytes_read < whole.bytes_read
+    measured = reports.measured_scans(stored, "2024-01-01").collect()
+    assert [(m.scan, m.rows_scanned) for m in measured] == [("full", 120), ("one_day", 60)]
+    assert reports.ledger_totals(lake.ledger()).first().silver_rows == 120
+    assert lake.head("silver", 5, version=1).count() == 5
     totals = reports.table_totals({"silver": lake.silver(), "gold": lake.gold("repo_daily")})
     assert totals.where("table_name = 'silver'").first().n == 120
 
