@@ -43,23 +43,56 @@ def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("_position", position).where("_position = 1").drop("_position")
 
 
+def repeated_ids(classified: DataFrame) -> DataFrame:
+    """(source_file, id, first_pos) of the ids that occur more than once in a file.
+
+    A narrow aggregate: however often an id is repeated, it is one row here.
+    """
+    return (
+        clean_rows(classified)
+        .groupBy("source_file", "id")
+        .agg(F.count("*").alias("n"), F.min("row_pos").alias("first_pos"))
+        .where("n > 1")
+        .drop("n")
+    )
+
+
+def drop_later_copies(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`keep_first` without moving a row: the repeated ids go to the rows instead.
+
+    Only for a `repeated` whose number of rows has been checked by the caller.
+    """
+    return (
+        rows.join(F.broadcast(repeated), ["source_file", "id"], "left")
+        .where("first_pos IS NULL OR row_pos = first_pos")
+        .drop("first_pos")
+    )
+
+
 def silver(
     classified: DataFrame,
     transformed_at: Column | dt.datetime | None = None,
     per_file: bool = True,
     keep: list[str] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Clean, deduplicated, typed events in silver column order.
 
     Duplicates are the later rows of an id inside one source file, or in the
     whole table when `per_file` is false. The payload is turned into typed columns
     ahead of the shuffle, which then moves those and not the JSON text. `keep`
-    names further columns (lineage) to carry to the end.
+    names further columns (lineage) to carry to the end. With `repeated` (the ids
+    repeated inside a file, few enough to be sent to every task) copies are dropped
+    ahead of the parse and no row is shuffled.
     """
+    if repeated is not None and not per_file:
+        raise ValueError("repeated ids are counted inside a file")
     keep = keep or []
     stamp = F.lit(transformed_at) if isinstance(transformed_at, dt.datetime) else transformed_at
     stamp = F.current_timestamp() if stamp is None else stamp
     clean = clean_rows(classified)
+    if repeated is not None:
+        clean = drop_later_copies(clean, repeated)
     if not set(ev.PARSED) <= set(clean.columns):
         clean = ev.with_payload(clean)
     typed = clean.select(
@@ -72,7 +105,9 @@ def silver(
         "row_pos",
         *[c for c in keep if c not in ("source_file", "row_pos")],
     )
-    if per_file:
+    if repeated is not None:
+        first = typed
+    elif per_file:
         first = keep_first(typed, ["source_file", "id"], ["row_pos"])
     else:
         dated = typed.withColumn("file_date", ev.file_date(F.col("source_file"))).withColumn(
@@ -124,7 +159,7 @@ def replay(quarantined: DataFrame, fix=None) -> DataFrame:
 
 
 def file_audit(classified: DataFrame) -> DataFrame:
-    """Rows in and out per source file.
+    """Rows in and out per source file, and how many ids are repeated in it.
 
     Grouping by (file, id) first spreads a very large file over many tasks and
     counts repeated ids without moving any row.
@@ -142,6 +177,7 @@ def file_audit(classified: DataFrame) -> DataFrame:
         ),
         (F.coalesce(F.sum(F.when(F.col("clean_id").isNotNull(), F.col("n"))), F.lit(0)) - kept)
         .alias("duplicate_rows"),
+        F.count_if(F.col("clean_id").isNotNull() & (F.col("n") > 1)).alias("repeated_ids"),
     )
 
 

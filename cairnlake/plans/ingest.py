@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ FILES_PER_BATCH = 10_000
 MAX_TOUCHED_DATES = 10_000
 
 
+# Up to this many repeated ids (tens of MB) a batch is deduplicated without a shuffle of
+# its rows; a batch with more is shuffled. Either way gives the same rows.
+MAX_REPEATED_IDS = 500_000
+MAX_DAYS_AS_THEY_LIE = 2
+
+
 class UnbalancedBatch(RuntimeError):
     pass
 
@@ -26,7 +33,25 @@ class UnbalancedBatch(RuntimeError):
 # ---- one batch --------------------------------------------------------------
 
 
-def stage_batch(lake: Lake, seq: int, lines: DataFrame, run_at: dt.datetime) -> list[Row]:
+class FileCounts(NamedTuple):
+    source_file: str
+    bronze_rows: int
+    silver_rows: int
+    quarantine_rows: int
+    duplicate_rows: int
+
+    @property
+    def balanced(self) -> bool:
+        return self.bronze_rows == self.silver_rows + self.quarantine_rows + self.duplicate_rows
+
+
+def stage_batch(
+    lake: Lake,
+    seq: int,
+    lines: DataFrame,
+    run_at: dt.datetime,
+    max_repeated: int = MAX_REPEATED_IDS,
+) -> list[FileCounts]:
     """Write bronze, silver and quarantine of a batch; returns one count row per file.
 
     Bronze is classified as it is written. Silver and quarantine then come from the
@@ -38,36 +63,58 @@ def stage_batch(lake: Lake, seq: int, lines: DataFrame, run_at: dt.datetime) ->
     )
     lake.write_batch("bronze", seq, bronze)
     stored = lake.spark.read.schema(schemas.BRONZE_STORED).parquet(lake.batch_path("bronze", seq))
-
-    silver = refine.silver(stored, run_at, keep=["source_file"])
-    lake.write_batch("silver", seq, _sized_by_date(silver))
+    audit = refine.file_audit(stored).collect()  # one row per file of the batch
+    lake.write_batch("silver", seq, _silver_of(stored, audit, run_at, max_repeated))
     lake.write_batch("quarantine", seq, refine.quarantine(stored, run_at))
-    return _batch_counts(lake, seq, stored)
+    return _batch_counts(lake, seq, audit)
 
 
-def _sized_by_date(silver: DataFrame) -> DataFrame:
-    """Few files per date, and several tasks for a date with very many rows."""
+def _silver_of(
+    stored: DataFrame, audit: list[Row], run_at: dt.datetime, max_repeated: int
+) -> DataFrame:
+    """Few repeated ids are sent to the rows; with many, the rows are shuffled by id.
+
+    A batch of a day or two is then written as it lies, each task a file or two. In a
+    longer one every task holds rows of many dates: those are dealt out by date, so
+    that a date becomes few files, and one with very many rows still several.
+    """
+    few = sum(a.repeated_ids for a in audit) <= max_repeated
+    silver = refine.silver(
+        stored,
+        run_at,
+        keep=["source_file"],
+        repeated=refine.repeated_ids(stored) if few else None,
+    )
+    days = {a.source_file[: len("2024-01-01")] for a in audit}
+    if few and len(days) <= MAX_DAYS_AS_THEY_LIE:
+        return silver
     return silver.hint("rebalance", F.col("event_date"))
 
 
-def _batch_counts(lake: Lake, seq: int, stored: DataFrame) -> list[Row]:
-    """Rows per file as found in each written table; duplicates counted from bronze."""
+def _batch_counts(lake: Lake, seq: int, audit: list[Row]) -> list[FileCounts]:
+    """Rows per file as found in each written table; duplicates as counted in bronze."""
 
-    def written(table: str, name: str) -> DataFrame:
+    def written(table: str) -> dict[str, int]:
         rows = lake.spark.read.schema(lake.schema(table)).parquet(lake.batch_path(table, seq))
-        return rows.groupBy("source_file").agg(F.count("*").alias(name))
-
-    counts = (
-        refine.file_audit(stored)
-        .select("source_file", "bronze_rows", "duplicate_rows")
-        .join(written("silver", "silver_rows"), "source_file", "left")
-        .join(written("quarantine", "quarantine_rows"), "source_file", "left")
-        .na.fill(0, ["silver_rows", "quarantine_rows"])
-    )
-    return refine.balanced(counts).collect()
+        counted = rows.groupBy("source_file").agg(F.count("*").alias("n")).collect()
+        return {r.source_file: r.n for r in counted}
+
+    silver, quarantine = written("silver"), written("quarantine")
+    return [
+        FileCounts(
+            a.source_file,
+            a.bronze_rows,
+            silver.get(a.source_file, 0),
+            quarantine.get(a.source_file, 0),
+            a.duplicate_rows,
+        )
+        for a in audit
+    ]
 
 
-def commit_batch(lake: Lake, seq: int, counts: list[Row], run_at: dt.datetime) -> None:
+def commit_batch(
+    lake: Lake, seq: int, counts: list[FileCounts], run_at: dt.datetime
+) -> None:
     """Enter a batch in the ledger. Nothing of it is visible to readers before."""
     off = [c.source_file for c in counts if not c.balanced]
     if off:

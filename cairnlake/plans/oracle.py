@@ -102,12 +102,17 @@ CTES = {
   COUNT(*) FILTER (WHERE type IN ('IssuesEvent','IssueCommentEvent')) AS issue_count,
   COUNT(DISTINCT repo_name) AS repos_touched, COUNT(*) AS total_events
   FROM silver WHERE actor_login IS NOT NULL GROUP BY event_date, actor_login""",
+    "repeated": """SELECT source_file, id, MIN(row_pos) AS first_pos FROM classified
+  WHERE error_reason IS NULL GROUP BY source_file, id HAVING COUNT(*) > 1""",
     "audit": """SELECT c.source_file, COUNT(*) AS bronze_rows,
-  COUNT(DISTINCT CASE WHEN error_reason IS NULL THEN id END) AS silver_rows,
+  COUNT(DISTINCT CASE WHEN error_reason IS NULL THEN c.id END) AS silver_rows,
   COUNT(*) FILTER (WHERE error_reason IS NOT NULL) AS quarantine_rows,
   COUNT(*) FILTER (WHERE error_reason IS NULL)
-   - COUNT(DISTINCT CASE WHEN error_reason IS NULL THEN id END) AS duplicate_rows
-  FROM classified c GROUP BY c.source_file""",
+   - COUNT(DISTINCT CASE WHEN error_reason IS NULL THEN c.id END) AS duplicate_rows,
+  COUNT(DISTINCT r.id) AS repeated_ids
+  FROM classified c LEFT JOIN repeated r
+   ON r.source_file = c.source_file AND r.id = c.id AND c.error_reason IS NULL
+  GROUP BY c.source_file""",
     "ledger0": """SELECT *, CAST(regexp_extract(source_file, '^(\\d{4}-\\d{2}-\\d{2})', 1) AS DATE)
    AS day, CAST(regexp_extract(source_file, '-(\\d{1,2})\\.json', 1) AS INT) AS hour FROM audit""",
     "ledger": """SELECT *,
@@ -281,6 +286,7 @@ STATEMENTS = {
     "silver_events_global_dedup": f"SELECT {SILVER_COLUMNS} FROM silver_global",
     "duplicate_audit": """SELECT *,
   bronze_rows = silver_rows + quarantine_rows + duplicate_rows AS balanced FROM audit""",
+    "repeated_ids": "SELECT * FROM repeated",
     "gold_repo_daily": "SELECT * FROM repo_daily",
     "gold_actor_daily": "SELECT * FROM actor_daily",
     "gold_repo_presented": "SELECT * FROM repo_daily ORDER BY event_date, total_events DESC, repo_name",

@@ -303,6 +303,7 @@ OVER_TABLES = {
         t.classified, F.col("ingested_at"), per_file=False
     ).select(*SILVER_PUBLIC),
     "duplicate_audit": lambda t: refine.balanced(t.audit),
+    "repeated_ids": lambda t: refine.repeated_ids(t.classified),
     "gold_repo_daily": lambda t: t.repo_daily,
     "gold_actor_daily": lambda t: t.actor_daily,
     "gold_repo_presented": lambda t: rollups.presented(t.repo_daily),
