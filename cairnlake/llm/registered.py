@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from cairnlake.llm.substring_dedup import op1_substring_dedup
+from cairnlake.llm.suffix_dedup import op7_suffix_array_dedup
+from cairnlake.llm.token_counts import op8_token_counts
 
-QUERIES = [op1_substring_dedup]
+QUERIES = [
+    op1_substring_dedup,
+    op4_line_dedup,
+    op7_suffix_array_dedup,
+    op8_token_counts,
+]
+SQL = {op4_line_dedup: OP4_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {query.__name__: sql for query, sql in SQL.items()}
