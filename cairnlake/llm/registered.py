@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnlake.llm.decontamination import OP6_SQL, op6_benchmark_decontamination
+from cairnlake.llm.jaccard_join import op2_ngram_jaccard_join
 from cairnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from cairnlake.llm.substring_dedup import op1_substring_dedup
 from cairnlake.llm.suffix_dedup import op7_suffix_array_dedup
@@ -13,11 +15,13 @@ from cairnlake.llm.token_counts import op8_token_counts
 
 QUERIES = [
     op1_substring_dedup,
+    op2_ngram_jaccard_join,
     op4_line_dedup,
+    op6_benchmark_decontamination,
     op7_suffix_array_dedup,
     op8_token_counts,
 ]
-SQL = {op4_line_dedup: OP4_SQL}
+SQL = {op4_line_dedup: OP4_SQL, op6_benchmark_decontamination: OP6_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
