@@ -139,11 +139,12 @@ def _induce_scan(t: np.ndarray, rises: np.ndarray, lms: np.ndarray) -> np.ndarra
     larger[0] = -1
     larger = larger.tolist()
     head = (end - size).tolist()
-    for i in sa_walk(sa):
-        c = larger[i]
-        if c >= 0:
-            sa[head[c]] = i - 1
-            head[c] += 1
+    for i in sa:  # entries written meanwhile are met in their turn; -1 stands where none is yet
+        if i >= 0:
+            c = larger[i]
+            if c >= 0:
+                sa[head[c]] = i - 1
+                head[c] += 1
     smaller = np.where(goes, left, -1)
     smaller[0] = -1
     smaller = smaller.tolist()
@@ -158,11 +159,6 @@ def _induce_scan(t: np.ndarray, rises: np.ndarray, lms: np.ndarray) -> np.ndarra
     return np.array(sa, np.int32)
 
 
-def sa_walk(sa: list):
-    """The entries from left to right, those written meanwhile included."""
-    return (i for i in sa if i >= 0)
-
-
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each position, in text order: the symbols its suffix shares with the one before it in
     `sa`, counted up to `most`. Symbols fit into 16 bits; 4 of them are compared at a time."""

@@ -105,7 +105,7 @@ def drop_earlier_strings(
         out = {}
         for shard, s in P.by_shard(P.shard_of(f, shards)):
             own = _gather(data, at[s], sizes[s])
-            out[shard] = P.pack(sizes[s].astype(np.uint8), docs_[s].view(np.uint64), own)
+            out[shard] = P.pack(sizes[s].astype(np.uint8), docs_[s].view(np.uint64), own, P.deltas(f[s] >> np.uint64(24)))
         return P.sent(group[0].as_py(), out)
 
     def match(group, table):
@@ -114,6 +114,7 @@ def drop_earlier_strings(
             np.concatenate([a[0] for _, a in held]).astype(np.int64),
             np.concatenate([a[1] for _, a in held]).view(np.int64),
             np.concatenate([a[2] for _, a in held]),
+            np.concatenate([P.undelta(a[3]) for _, a in held]),
             length,
         )
         out, lo = {}, 0
@@ -257,8 +258,12 @@ def _fragments(rows: pa.Table, known: np.ndarray, split: np.ndarray, length: int
     }
 
 
-def _matched(size: np.ndarray, doc: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
-    """For each fragment a bit for each of its strings: does a smaller document have it?"""
+def _matched(size: np.ndarray, doc: np.ndarray, data: np.ndarray, route: np.ndarray, length: int) -> np.ndarray:
+    """For each fragment a bit for each of its strings: does a smaller document have it?
+
+    Fragments that are equal in whole are one before they are sorted, and where an anchor has no other
+    fragment left, its strings have nothing to be compared with.
+    """
     at = np.cumsum(size) - size
     values = P.byte_table()[data]
     h1 = P.range_hash(values, at, at + size, 0)
@@ -268,14 +273,25 @@ def _matched(size: np.ndarray, doc: np.ndarray, data: np.ndarray, length: int) -
     fresh[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
     lead = order[fresh]  # of equal fragments, that of the smallest document
     group = np.cumsum(fresh) - 1
+    _, anchor, contents = np.unique(route[lead], return_inverse=True, return_counts=True)
+    several = contents[anchor] > 1
     mask = np.zeros(len(lead), np.uint32)
+    mask[several] = _smaller_strings(size[lead][several], at[lead][several], doc[lead][several], data, length)
+    out = np.empty(len(size), np.uint32)
+    out[order] = np.where(doc[order] > doc[lead][group], np.uint32(0xFFFFFFFF), mask[group])
+    return out
 
-    sizes = size[lead]
-    t = np.ones(int(sizes.sum()) + len(lead) + 1, np.int32)
+
+def _smaller_strings(sizes, at, docs, data, length) -> np.ndarray:
+    """For different fragments data[at:at+size]: which strings does one of a smaller document have?"""
+    mask = np.zeros(len(sizes), np.uint32)
+    if not len(sizes):
+        return mask
+    t = np.ones(int(sizes.sum()) + len(sizes) + 1, np.int32)
     t[-1] = 0
     begin = np.cumsum(sizes + 1) - sizes - 1
     place = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    t[place] = _gather(data, at[lead], sizes).astype(np.int32) + 2
+    t[place] = _gather(data, at, sizes).astype(np.int32) + 2
     # symbols in use only, in their order: fewer buckets
     used = np.zeros(258, bool)
     used[t] = True
@@ -296,13 +312,11 @@ def _matched(size: np.ndarray, doc: np.ndarray, data: np.ndarray, length: int) -
     fresh_run[1:] = breaks[1:] != breaks[:-1]
     if len(ranked):
         first = np.flatnonzero(fresh_run)
-        docs = doc[lead][owner[ranked]]
-        least = np.repeat(np.minimum.reduceat(docs, first), np.diff(np.r_[first, len(ranked)]))
-        hit = ranked[docs > least]
+        own = docs[owner[ranked]]
+        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.r_[first, len(ranked)]))
+        hit = ranked[own > least]
         np.bitwise_or.at(mask, owner[hit], np.uint32(1) << offset[hit].astype(np.uint32))
-    out = np.empty(len(size), np.uint32)
-    out[order] = np.where(doc[order] > doc[lead][group], np.uint32(0xFFFFFFFF), mask[group])
-    return out
+    return mask
 
 
 def _cut(rows: pa.Table, found: dict, mask: np.ndarray, length: int) -> pa.Table:
