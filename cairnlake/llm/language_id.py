@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairnlake.llm import packed as P
+from cairnlake.llm.shared import others, unused
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -184,7 +185,7 @@ def predicted_languages(
     text if no net could be trained. Ties go to the first language in alphabetical order. Other
     columns stay as they are; an empty table stays empty.
     """
-    other = [c for c in docs.columns if c not in (lang, score)]
+    other = others(docs.columns, lang, score)
     readable = F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}")
     if net is None:
         return docs.select(*other, F.lit(UNKNOWN).alias(lang), F.lit(0.0).alias(score))
@@ -199,11 +200,12 @@ def predicted_languages(
         )
 
     judge = F.arrow_udf(judge, "lang string, score double")
-    rows = docs.select(*(F.col(c) for c in other), judge(F.col(text)).alias("_judged"), readable.alias("_readable"))
+    judged, known = unused(docs.columns, "judged"), unused(docs.columns, "readable")
+    rows = docs.select(*other, judge(F.col(text)).alias(judged), readable.alias(known))
     return rows.select(
         *other,
-        F.when(F.col("_readable"), F.col("_judged.lang")).otherwise(UNKNOWN).alias(lang),
-        F.when(F.col("_readable"), F.col("_judged.score")).otherwise(0.0).alias(score),
+        F.when(F.col(known), F.col(f"{judged}.lang")).otherwise(UNKNOWN).alias(lang),
+        F.when(F.col(known), F.col(f"{judged}.score")).otherwise(0.0).alias(score),
     )
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnlake.llm.shared import others
+
 MIN_CHARS = 20
 MIN_DOCS = 3
 
@@ -83,7 +85,7 @@ def drop_shared_lines(
     kept = F.when(F.col("gone._places").isNull(), F.col(f"d.{text}")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     )
-    other = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    other = others(docs.columns, "n_lines", "n_dropped")
     return joined.select(
         *(kept.alias(c) if c == text else F.col(f"d.{c}") for c in other),
         n_lines.cast("long").alias("n_lines"),

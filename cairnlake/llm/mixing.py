@@ -12,11 +12,12 @@ which is a broadcast if Spark finds them small; cells number sources times langu
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnlake.llm.shared import written
+from cairnlake.llm.shared import others, unused, written
 
 ROUNDS = 12
 #: Rounds in which probabilities above one are cut and the rest scaled up again.
@@ -111,17 +112,15 @@ def mixed(
     blank has no tokens; where all of a cell's are such, p is 0 and none is kept. Rows with equal keys
     draw alike. Other columns stay as they are; an empty table stays empty.
     """
-    other = [c for c in docs.columns if c not in ("n_tokens", "p", "kept")]
+    other = others(docs.columns, "n_tokens", "p", "kept")
     rows = docs.select(*other, token_count(F.col(text)).alias("n_tokens"))
     kind = length_topic(F.col("n_tokens")) if topic is None else F.col(topic)
     dims = {"source": F.col(source), "lang": F.col(lang), "topic": kind}
     cells = rows.groupBy(*(d.alias(c) for c, d in dims.items())).agg(F.sum("n_tokens").alias("tokens"))
     cells = with_probabilities(raked_cells(written(cells, "cells"), targets), budget)
-    cells = cells.select(*(F.col(c).alias(f"_{c}") for c in dims), "p").alias("cells")
-    on = None
-    for c, d in dims.items():
-        same = d.eqNullSafe(F.col(f"_{c}"))
-        on = same if on is None else on & same
+    names = {c: unused(docs.columns, f"_{c}") for c in dims}
+    cells = cells.select(*(F.col(c).alias(names[c]) for c in dims), "p")
+    on = reduce(lambda x, y: x & y, (d.eqNullSafe(F.col(names[c])) for c, d in dims.items()))
     return rows.join(cells, on).select(
         *other, "n_tokens", F.round("p", 6).alias("p"), (drawn(F.col(key)) < F.col("p")).alias("kept")
     )

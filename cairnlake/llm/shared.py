@@ -15,6 +15,19 @@ def written(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, with as many underscores before it as it takes to be none of `columns`."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def others(columns: list[str], *replaced: str) -> list[str]:
+    """The columns but those that an operator puts anew."""
+    return [c for c in columns if c.lower() not in {r.lower() for r in replaced}]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for each node with an edge.
 
