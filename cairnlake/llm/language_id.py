@@ -23,6 +23,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDED = 8
 PER_LANG = 400
+AMPLE = 4
 STRETCH = 2048
 EPOCHS = 12
 BATCH = 64
@@ -156,17 +157,23 @@ def trained(
 ) -> ByteNet | None:
     """A net for the languages of `labelled`, from at most `per_lang` rows of each; None without any.
 
-    The rows are those with the smallest hash of key and text; the limit is applied before the shuffle.
+    The rows are those with the smallest hash of key and text. Rows whose hash is far too large, by
+    the number of rows of their language, are left out before the shuffle, so that about AMPLE times
+    as many rows as needed arrive, however many there are. Languages are the net's classes, a few.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0))
     h = F.xxhash64(F.col(key), F.col(text))
     begin = F.pmod(h, F.greatest(F.lit(1), F.length(text) - STRETCH)).cast("int") + 1
     rows = rows.select(F.col(lang).alias("lang"), h.alias("h"), F.substring(F.col(text), begin, F.lit(STRETCH)).alias("text"))
+    many = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    bound = [x for v, n in many.items() for x in (F.lit(v), F.lit(min(1.0, AMPLE * per_lang / n)))]
+    if not bound:
+        return None
+    spread = F.col("h").cast("double") / F.lit(float(1 << 64)) + 0.5  # from 0 to 1
+    rows = rows.where(spread <= F.create_map(*bound)[F.col("lang")])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     sample = rows.withColumn("place", place).where(F.col("place") <= per_lang).orderBy("lang", "place").collect()
     langs = sorted({r.lang for r in sample})
-    if not langs:
-        return None
     texts = [r.text.encode() for r in sample]
     bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
     windows, row, length = cut(np.frombuffer(b"".join(texts), np.uint8), bounds)

@@ -4,7 +4,7 @@ Lines are exploded and hashed (128 bits of their key), documents are counted for
 places of lines to drop go back to their documents, which are put together again by position. Only
 hashes and places are shuffled besides the texts themselves, and those once. A line in a third of all
 documents is spread by document while it is made distinct and counted in partial sums; the join that
-finds its places is one that adaptive execution splits.
+finds its places is salted, and its shuffles are its own, so that adaptive execution can split it.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.llm.shared import others
+from cairnlake.llm.shared import others, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+SALTS = 4
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -56,6 +57,7 @@ def drop_shared_lines(
             F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(1), "_line").alias("_h2"),
         )
     )
+    places = written(places, "places")  # hashes and places only, read twice
     shared = (
         places.where(F.col("_key").isNotNull())
         .select("_h1", "_h2", "_key")
@@ -64,9 +66,11 @@ def drop_shared_lines(
         .agg(F.count("*").alias("_docs"), F.max("_key").alias("_last"))
         .where(F.col("_docs") >= min_docs)
         .drop("_docs")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
     )
     drops = (
-        places.join(shared, ["_h1", "_h2"])
+        places.withColumn("_salt", F.pmod(F.xxhash64("_same", "_key", "_place"), F.lit(SALTS)))
+        .join(shared, ["_h1", "_h2", "_salt"])
         .where(~F.col("_key").eqNullSafe(F.col("_last")))
         .groupBy("_key", "_same")
         .agg(F.collect_set("_place").alias("_places"))

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LIMIT = 1024
-#: Texts of more characters are split piecemeal; so many pre-tokens are remembered by a task.
+#: Texts of more characters are split piecemeal; so many pre-tokens are counted together, and
+#: so many different ones remembered by a task.
 LONG_TEXT = 1 << 20
+GROUP = 1 << 18
 REMEMBERED = 300_000
 NONE = np.iinfo(np.int32).max
 
@@ -126,21 +128,31 @@ def count_tokens(
         special = regex.compile("|".join(map(regex.escape, table.special))) if table.special else None
         known: dict[str, int] = {}
         for batch in batches:
-            totals = []
-            for whole in batch.column("text").to_pylist():
+            totals = [0] * len(batch)
+            held, size = [], 0
+
+            def settle():
+                """Count the pre-tokens at hand; those not met before are merged together."""
+                if len(known) > REMEMBERED:
+                    known.clear()
+                fresh = {p for _, piece in held for p in piece if p not in known}
+                fresh = sorted(fresh)
+                known.update(zip(fresh, merged_counts(fresh, table).tolist(), strict=True))
+                for row, piece in held:
+                    totals[row] += sum(map(known.__getitem__, piece))
+                held.clear()
+
+            for row, whole in enumerate(batch.column("text").to_pylist()):
                 segments = special.split(whole) if special and special.search(whole) else [whole]
-                n = len(segments) - 1
+                totals[row] = len(segments) - 1
                 for segment in segments:
                     for piece in _pieces(segment, pattern):
-                        try:
-                            n += sum(map(known.__getitem__, piece))
-                        except KeyError:
-                            if len(known) > REMEMBERED:
-                                known.clear()
-                            fresh = [p for p in dict.fromkeys(piece) if p not in known]
-                            known.update(zip(fresh, merged_counts(fresh, table).tolist(), strict=True))
-                            n += sum(map(known.__getitem__, piece))
-                totals.append(n)
+                        held.append((row, piece))
+                        size += len(piece)
+                        if size >= GROUP:
+                            settle()
+                            size = 0
+            settle()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("n_bytes"), pa.array(totals, pa.int64())],
                 ["key", "n_bytes", "n_tokens"],
