@@ -107,6 +107,7 @@ def unpacked(table: pa.Table) -> pa.Table:
 
 def chunks(column, size: int = CHUNK_BYTES):
     """(first row, bytes of the rows' texts end to end, where each begins and the last ends)."""
+    base = 0
     for piece in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         if not len(piece):
             continue
@@ -117,8 +118,9 @@ def chunks(column, size: int = CHUNK_BYTES):
         lo = 0
         while lo < len(piece):
             hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
-            yield lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            yield base + lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             lo = hi
+        base += len(piece)
 
 
 # ---- hashes ----------------------------------------------------------------------------------
