@@ -209,8 +209,7 @@ def _fragments(rows: pa.Table, known: np.ndarray, split: np.ndarray, length: int
     group, doc, start, chunk: of each fragment; route, least, size, at: of each group of equal ones,
     by rising route; data: the bytes that `at` points into.
     """
-    keys = rows.column("key").to_pandas()
-    keys = keys.fillna(NO_KEY).astype(np.int64).to_numpy() if keys.isna().any() else keys.to_numpy().astype(np.int64)
+    keys = rows.column("key").fill_null(NO_KEY).to_numpy().astype(np.int64)
     got: dict[str, list] = {k: [] for k in ("route", "h1", "h2", "doc", "start", "size", "at", "chunk")}
     pieces, total = [], 0
     for number, (lo, data, bounds) in enumerate(P.chunks(rows.column("text"), CHUNK)):
