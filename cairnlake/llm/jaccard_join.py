@@ -61,7 +61,11 @@ def similar_documents(
     an empty table.
     """
     members, links = _links(docs, key, text, words, percent)
-    found = components(links)
+    # a key of several texts connects the nodes of their sets
+    several = members.where("node is not null").groupBy("node").agg(F.min("ref").alias("b"), F.max("ref").alias("hi"))
+    several = several.where("b < hi").drop("hi")
+    same = members.join(several, "node").select(F.col("ref").alias("a"), "b")
+    found = components(links.unionByName(same))
     return members.join(found, members.ref == found.node, "left").select(
         members.node.alias(key),
         members.n.cast("long").alias("n_shingles"),
