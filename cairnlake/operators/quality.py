@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,8 +185,8 @@ def run_checks(
             df = source() if callable(source) else source
             found = check_table(df, name, checks, now).orderBy("check_no").collect()
             rows = [(now, *r, None) for r in found]  # at most one row per declared check
-        except (PySparkException, KeyError) as exc:
-            text = (str(exc).splitlines() or [type(exc).__name__])[0][:300]
+        except (PySparkException, Py4JError, KeyError) as exc:  # of the plan, of a task, or no table
+            text = (str(exc).splitlines() or [type(exc).__name__])[0]
             rows = [
                 (now, name, i, c.name, c.metric, None, "error", text)
                 for i, c in enumerate(checks, start=1)

@@ -16,8 +16,6 @@ from cairnlake.sources.lake import Lake, run_stamp
 
 # Names of one batch's files pass through the driver, as they do in any file read.
 FILES_PER_BATCH = 10_000
-# Beyond this many touched dates gold is recomputed whole, which is just as exact.
-MAX_TOUCHED_DATES = 10_000
 
 
 # Up to this many repeated ids (tens of MB) a batch is deduplicated without a shuffle of
@@ -118,7 +116,7 @@ def commit_batch(
     """Enter a batch in the ledger. Nothing of it is visible to readers before."""
     off = [c.source_file for c in counts if not c.balanced]
     if off:
-        raise UnbalancedBatch(f"rows in and out differ for {off[:5]}")
+        raise UnbalancedBatch(f"rows in and out differ for {off}")
     rows = [
         (seq, c.source_file, "done", run_at, c.bronze_rows, c.silver_rows, c.quarantine_rows,
          c.duplicate_rows, None)
@@ -246,29 +244,29 @@ def _ingest_good(
 def refresh_gold(
     lake: Lake, since: int | None = None, run_at: dt.datetime | None = None
 ) -> None:
-    """Recompute gold from silver.
+    """Recompute gold from silver and mark the version it reflects.
 
-    With `since`, only the dates that batches after that version touched: the date is
-    part of both keys, so other dates cannot change. Otherwise everything.
+    With `since`, only the dates that batches after that version touched, unreadable dates
+    included: the date is part of both keys, so other dates cannot change.
     """
-    run_at = run_at or run_stamp()
-    silver, only_touched = lake.silver(), False
+    run_at, upto = run_at or run_stamp(), lake.last_seq()
+    silver = lake.silver(upto)
     if since is not None:
-        touched = [
-            r.event_date
-            for r in lake.versioned("silver")
-            .where(F.col("batch_seq") > since)
-            .select("event_date")
-            .distinct()
-            .limit(MAX_TOUCHED_DATES + 1)
-            .collect()
-        ]
-        if not touched:
-            return
-        if len(touched) <= MAX_TOUCHED_DATES and None not in touched:
-            silver, only_touched = silver.where(F.col("event_date").isin(*touched)), True
-    lake.replace("repo_daily", rollups.repo_daily(silver, run_at), only_touched)
-    lake.replace("actor_daily", rollups.actor_daily(silver, run_at), only_touched)
+        new = lake.versioned("silver", upto).where(F.col("batch_seq") > since)
+        touched = new.select(F.col("event_date").alias("touched")).distinct()
+        silver = silver.join(touched, F.col("event_date").eqNullSafe(F.col("touched")), "left_semi")
+    lake.replace("repo_daily", rollups.repo_daily(silver, run_at), since is not None)
+    lake.replace("actor_daily", rollups.actor_daily(silver, run_at), since is not None)
+    lake.mark_gold(upto)
+
+
+def owed_gold(lake: Lake, run_at: dt.datetime | None = None) -> bool:
+    """Bring gold up to the last version, whichever run left it behind."""
+    behind = lake.gold_seq()
+    if behind >= lake.last_seq():
+        return False
+    refresh_gold(lake, since=behind or None, run_at=run_at)
+    return True
 
 
 def run(
@@ -278,11 +276,9 @@ def run(
     run_at: dt.datetime | None = None,
     **options,
 ) -> int:
-    """Ingest what is pending and bring gold up to date; nothing new, nothing done."""
-    before = lake.last_seq()
+    """Ingest what is pending and bring gold up to date, also for an earlier run that crashed."""
     batches = ingest_pending(lake, raw_root, days, run_at, **options)
-    if batches:
-        refresh_gold(lake, since=before, run_at=run_at)
+    owed_gold(lake, run_at)
     return batches
 
 

@@ -5,7 +5,7 @@ Layout below the root, for the current generation g:
     gen=g/bronze/batch_seq=N          gen=g/quarantine/batch_seq=N
     gen=g/silver/batch_seq=N/event_date=D
     gen=g/repo_daily/event_date=D     gen=g/actor_daily/event_date=D
-    gen=g/ledger                      generations, schemas, checks
+    gen=g/ledger, gen=g/gold_marks    generations, schemas, checks
 
 Commit protocol (one writer at a time). A batch writes its rows under the number
 after the last committed one, and is committed by the single ledger file appended
@@ -35,6 +35,7 @@ VERSIONED = {
 REPLACED = {"repo_daily": schemas.REPO_DAILY, "actor_daily": schemas.ACTOR_DAILY}
 ROWS_PER_FILE = 5_000_000
 _GENERATIONS = T.StructType([T.StructField("generation", T.LongType())])
+_MARKS = T.StructType([T.StructField("batch_seq", T.LongType())])
 _SCHEMAS = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -67,6 +68,7 @@ def write_verified(writer_input: DataFrame, path: str, partition_by: list[str])
     (
         writer_input.observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # a retry leaves nothing of the attempt before
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*partition_by)
         .parquet(path)
@@ -106,7 +108,11 @@ class Lake:
         return known.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
 
     def next_generation(self) -> Lake:
-        return Lake(self.spark, self.root, self._current_generation() + 1)
+        """An unused one: what a crashed refresh has left behind is never built upon."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/gen=*")
+        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place)
+        used = [int(f.getPath().getName().removeprefix("gen=")) for f in found or []]
+        return Lake(self.spark, self.root, max([self._current_generation(), *used]) + 1)
 
     def make_current(self) -> None:
         row = self.spark.createDataFrame([(self.generation,)], _GENERATIONS)
@@ -129,6 +135,18 @@ class Lake:
             "append"
         ).parquet(self.path("ledger"))
 
+    # ---- gold ----
+
+    def gold_seq(self) -> int:
+        """The version that both gold tables reflect; 0 before the first."""
+        marks = read_or_empty(self.spark, self.path("gold_marks"), _MARKS)
+        return marks.agg(F.coalesce(F.max("batch_seq"), F.lit(0))).first()[0]
+
+    def mark_gold(self, seq: int) -> None:
+        """Written after both gold tables, so a crash before it leaves gold owed."""
+        mark = self.spark.createDataFrame([(seq,)], _MARKS)
+        mark.coalesce(1).write.mode("append").parquet(self.path("gold_marks"))
+
     # ---- schemas ----
 
     def schema(self, table: str) -> T.StructType:

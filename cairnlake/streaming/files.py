@@ -53,9 +53,9 @@ def start_ingest(
         places = [r.place for r in landed.select("place").distinct().collect()]  # <= max_files
         if not places:
             return
-        before, run_at = lake.last_seq(), run_stamp()
-        if ingest.ingest_pending(lake, places, run_at=run_at) and with_gold:
-            ingest.refresh_gold(lake, since=before, run_at=run_at)
+        ingest.ingest_pending(lake, places, run_at=run_stamp())
+        if with_gold:
+            ingest.owed_gold(lake)
 
     return (
         arrivals(lake, raw_root, max_files)

@@ -297,3 +297,22 @@ def test_catalog_tables(spark, tmp_path):
     storage.drop_table(spark, "cairn_test.repo_daily")
     storage.drop_table(spark, "cairn_test.repo_daily")
     assert not spark.catalog.tableExists("cairn_test.repo_daily")
+
+
+def test_gold_owed_by_a_crashed_run_is_made_up_for(spark, tmp_path, raw_root):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest.ingest_pending(lake, str(raw_root), run_at=NOW)  # and no gold: the run died
+    assert ingest.run(lake, str(raw_root), run_at=NOW) == 0
+    whole = lake.gold("repo_daily").agg(F.sum("total_events")).first()[0]
+    assert whole == lake.silver().where("repo_name IS NOT NULL").count()
+    assert lake.gold_seq() == lake.last_seq() and not ingest.owed_gold(lake)
+
+
+def test_full_refresh_after_a_crashed_one(spark, tmp_path, raw_root):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest.run(lake, str(raw_root), run_at=NOW)
+    crashed = lake.next_generation()
+    ingest.ingest_pending(crashed, str(raw_root), run_at=NOW)
+    fresh = ingest.full_refresh(lake, str(raw_root), run_at=NOW)
+    assert fresh.generation > crashed.generation
+    assert fresh.gold("actor_daily").count() == lake.gold("actor_daily").count() > 0
