@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from cairnlake.functions import events as ev
 from cairnlake.session import use_utc
 
-COPY_OFFSET = 1_000_000_000
 ROWS_PER_PART = 5_000_000
 
 ID = """CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN ''
@@ -56,23 +55,14 @@ def _type_sql() -> str:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(use_utc(spark).read.parquet(f"{sf_dir}/events.parquet"))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is dealt out to all of them.
-
-    JSON work per row outweighs moving the rows once. A scan of many files has splits
-    enough and stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
 def bronze_from(events: DataFrame) -> DataFrame:
     """The fixture as stored bronze rows; works on batch and streaming frames.
 
-    The copies come from an `explode` in the same pass, not from a second scan.
+    The copies come from an `explode` in the same pass, not from a second scan. A row lies at
+    twice its event id, its copy right behind it, so positions never meet.
     """
     base = events.select(
         "event_id",
@@ -81,10 +71,9 @@ def bronze_from(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.col("ts").cast("timestamp").alias("created_at"),
     )
-    offsets = F.when(
-        F.col("event_id") % 41 == 0, F.array(F.lit(0), F.lit(COPY_OFFSET))
-    ).otherwise(F.array(F.lit(0)))
-    return base.withColumn("copy_offset", F.explode(offsets)).select(
+    copies = F.when(F.col("event_id") % 41 == 0, F.array(F.lit(0), F.lit(1)))
+    copies = copies.otherwise(F.array(F.lit(0)))
+    return base.withColumn("copy", F.explode(copies)).select(
         F.expr(ID).alias("id"),
         F.expr(_type_sql()).alias("type"),
         F.expr(LOGIN).alias("actor_login"),
@@ -97,7 +86,7 @@ def bronze_from(events: DataFrame) -> DataFrame:
         F.expr(PAYLOAD).alias("payload"),
         F.expr(INGESTED).alias("ingested_at"),
         ev.hour_file_name(F.to_date("created_at"), F.hour("created_at")).alias("source_file"),
-        (F.col("event_id") + F.col("copy_offset")).cast("bigint").alias("row_pos"),
+        (F.col("event_id").cast("bigint") * 2 + F.col("copy")).alias("row_pos"),
     )
 
 
@@ -138,7 +127,7 @@ def write_hour_files(lines: DataFrame, root: str) -> None:
     Rows are dealt out by hour and by block of positions, so a normal hour is one part
     and an hour with very many rows is written by several tasks.
     """
-    block = F.floor(F.pmod(F.col("row_pos"), F.lit(COPY_OFFSET)) / ROWS_PER_PART)
+    block = F.floor(F.col("row_pos") / ROWS_PER_PART)
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         lines.repartition(tasks, "source_file", block)

@@ -31,6 +31,9 @@ ACTION_ONLY_TYPES = ["WatchEvent", "ReleaseEvent", "MemberEvent", "ForkEvent"]
 
 # The shape of an hourly file name, hour without a leading zero.
 HOUR_FILE = r"(\d{4}-\d{2}-\d{2}-\d{1,2}\.json\.gz)"
+# The file of that name, or a gzip part in a folder of that name, and nothing else: a
+# download under way (`….json.gz.tmp`) is not an hour. Groups: the place, the name.
+HOUR_PLACE = rf"^((?:.*[/=])?{HOUR_FILE})(?:/[^/]*\.gz)?$"
 HOUR_FILE_PARTS = r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})"
 
 # Every payload member any event type reads, so that a payload is parsed once.

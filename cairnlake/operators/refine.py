@@ -11,7 +11,7 @@ from cairnlake import schemas
 from cairnlake.functions import events as ev
 
 KEPT = ["id", "type", "actor_login", "actor_id", "repo_name", "repo_id", "created_at"]
-WHOLE_TABLE_ORDER = ("file_date", "file_hour", "row_pos")
+WHOLE_TABLE_ORDER = ("file_date", "file_hour")
 
 
 def classify(bronze: DataFrame) -> DataFrame:
@@ -57,44 +57,27 @@ def repeated_ids(classified: DataFrame) -> DataFrame:
     )
 
 
-def drop_later_copies(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """`keep_first` without moving a row: the repeated ids go to the rows instead.
-
-    Only for a `repeated` whose number of rows has been checked by the caller.
-    """
-    return (
-        rows.join(F.broadcast(repeated), ["source_file", "id"], "left")
-        .where("first_pos IS NULL OR row_pos = first_pos")
-        .drop("first_pos")
-    )
-
-
 def silver(
     classified: DataFrame,
     transformed_at: Column | dt.datetime | None = None,
     per_file: bool = True,
     keep: list[str] | None = None,
-    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Clean, deduplicated, typed events in silver column order.
 
     Duplicates are the later rows of an id inside one source file, or in the
     whole table when `per_file` is false. The payload is turned into typed columns
     ahead of the shuffle, which then moves those and not the JSON text. `keep`
-    names further columns (lineage) to carry to the end. With `repeated` (the ids
-    repeated inside a file, few enough to be sent to every task) copies are dropped
-    ahead of the parse and no row is shuffled.
+    names further columns (lineage) to carry to the end. Inside an hour the order is that
+    of its parts' names, where known, then of the rows in a part.
     """
-    if repeated is not None and not per_file:
-        raise ValueError("repeated ids are counted inside a file")
     keep = keep or []
     stamp = F.lit(transformed_at) if isinstance(transformed_at, dt.datetime) else transformed_at
     stamp = F.current_timestamp() if stamp is None else stamp
     clean = clean_rows(classified)
-    if repeated is not None:
-        clean = drop_later_copies(clean, repeated)
     if not set(ev.PARSED) <= set(clean.columns):
         clean = ev.with_payload(clean)
+    place = [c for c in ("source_part", "row_pos") if c in clean.columns]
     typed = clean.select(
         *KEPT,
         F.to_date("created_at").alias("event_date"),
@@ -102,18 +85,16 @@ def silver(
         "ingested_at",
         stamp.cast("timestamp").alias("transformed_at"),
         "source_file",
-        "row_pos",
-        *[c for c in keep if c not in ("source_file", "row_pos")],
+        *place,
+        *[c for c in keep if c not in ("source_file", *place)],
     )
-    if repeated is not None:
-        first = typed
-    elif per_file:
-        first = keep_first(typed, ["source_file", "id"], ["row_pos"])
+    if per_file:
+        first = keep_first(typed, ["source_file", "id"], place)
     else:
         dated = typed.withColumn("file_date", ev.file_date(F.col("source_file"))).withColumn(
             "file_hour", ev.file_hour(F.col("source_file"))
         )
-        first = keep_first(dated, ["id"], list(WHOLE_TABLE_ORDER))
+        first = keep_first(dated, ["id"], [*WHOLE_TABLE_ORDER, *place])
     return first.select(*schemas.SILVER.fieldNames(), *keep)
 
 

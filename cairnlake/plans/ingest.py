@@ -18,12 +18,6 @@ from cairnlake.sources.lake import Lake, run_stamp
 FILES_PER_BATCH = 10_000
 
 
-# Up to this many repeated ids (tens of MB) a batch is deduplicated without a shuffle of
-# its rows; a batch with more is shuffled. Either way gives the same rows.
-MAX_REPEATED_IDS = 500_000
-MAX_DAYS_AS_THEY_LIE = 2
-
-
 class UnbalancedBatch(RuntimeError):
     pass
 
@@ -44,49 +38,24 @@ class FileCounts(NamedTuple):
 
 
 def stage_batch(
-    lake: Lake,
-    seq: int,
-    lines: DataFrame,
-    run_at: dt.datetime,
-    max_repeated: int = MAX_REPEATED_IDS,
+    lake: Lake, seq: int, lines: DataFrame, run_at: dt.datetime
 ) -> list[FileCounts]:
     """Write bronze, silver and quarantine of a batch; returns one count row per file.
 
     Bronze is classified as it is written. Silver and quarantine then come from the
     stored batch, not from a second parse of the raw files: quarantine reads the few
-    pages that hold a rejected row, silver the rest.
+    pages that hold a rejected row, silver the rest. Silver is dealt out by date as it is
+    written, so that a date becomes few files, and one with very many rows still several.
     """
     bronze = refine.classify(raw.to_bronze(lines, run_at)).select(
         *schemas.BRONZE_STORED.fieldNames()
     )
     lake.write_batch("bronze", seq, bronze)
     stored = lake.spark.read.schema(schemas.BRONZE_STORED).parquet(lake.batch_path("bronze", seq))
-    audit = refine.file_audit(stored).collect()  # one row per file of the batch
-    lake.write_batch("silver", seq, _silver_of(stored, audit, run_at, max_repeated))
+    silver = refine.silver(stored, run_at, keep=["source_file"])
+    lake.write_batch("silver", seq, silver.hint("rebalance", F.col("event_date")))
     lake.write_batch("quarantine", seq, refine.quarantine(stored, run_at))
-    return _batch_counts(lake, seq, audit)
-
-
-def _silver_of(
-    stored: DataFrame, audit: list[Row], run_at: dt.datetime, max_repeated: int
-) -> DataFrame:
-    """Few repeated ids are sent to the rows; with many, the rows are shuffled by id.
-
-    A batch of a day or two is then written as it lies, each task a file or two. In a
-    longer one every task holds rows of many dates: those are dealt out by date, so
-    that a date becomes few files, and one with very many rows still several.
-    """
-    few = sum(a.repeated_ids for a in audit) <= max_repeated
-    silver = refine.silver(
-        stored,
-        run_at,
-        keep=["source_file"],
-        repeated=refine.repeated_ids(stored) if few else None,
-    )
-    days = {a.source_file[: len("2024-01-01")] for a in audit}
-    if few and len(days) <= MAX_DAYS_AS_THEY_LIE:
-        return silver
-    return silver.hint("rebalance", F.col("event_date"))
+    return _batch_counts(lake, seq, refine.file_audit(stored).collect())  # one row per file
 
 
 def _batch_counts(lake: Lake, seq: int, audit: list[Row]) -> list[FileCounts]:
@@ -111,9 +80,13 @@ def _batch_counts(lake: Lake, seq: int, audit: list[Row]) -> list[FileCounts]:
 
 
 def commit_batch(
-    lake: Lake, seq: int, counts: list[FileCounts], run_at: dt.datetime
+    lake: Lake, seq: int, counts: list[FileCounts], run_at: dt.datetime | None = None
 ) -> None:
-    """Enter a batch in the ledger. Nothing of it is visible to readers before."""
+    """Enter a batch in the ledger. Nothing of it is visible to readers before.
+
+    Without a given time the stamp is that of the commit, so every batch has its own.
+    """
+    run_at = run_at or run_stamp()
     off = [c.source_file for c in counts if not c.balanced]
     if off:
         raise UnbalancedBatch(f"rows in and out differ for {off}")
@@ -125,8 +98,11 @@ def commit_batch(
     lake.commit(lake.spark.createDataFrame(rows, schemas.LEDGER))
 
 
-def reject_files(lake: Lake, faults: dict[str, str], run_at: dt.datetime) -> set[str]:
+def reject_files(
+    lake: Lake, faults: dict[str, str], run_at: dt.datetime | None = None
+) -> set[str]:
     """Enter files that could not be read. They stay pending for the next run."""
+    run_at = run_at or run_stamp()
     if faults:
         rows = [
             (None, name, "rejected", run_at, None, None, None, None, reason)
@@ -152,15 +128,17 @@ def ingest_pending(
     `days` restricts the run to the files of those dates. With `files_per_batch=1`
     every file becomes a version of its own. An unreadable file is rejected and the
     others go on; by default files are tested only when reading them failed, so that
-    good files are decompressed once.
+    good files are decompressed once. Without `run_at` every batch is stamped as it is
+    committed, so that versions of one run can be told apart by time.
     """
-    run_at = run_at or run_stamp()
     listed = raw.list_files(lake.spark, raw_root)
-    refused: set[str] = set()
+    empty = raw.zero_byte_files(lake.spark, raw_root)
     if days is not None:
         expected = reports.expected_files(days).select("source_file")
-        refused = _reject_empty(lake, raw_root, expected, listed, run_at)
         listed = listed.join(expected, "source_file", "left_semi")
+    else:
+        expected = None
+    refused = _reject_empty(lake, empty, expected, run_at)
     batches = 0
     while parts := _next_batch(listed, lake, refused, files_per_batch):
         made, bad = _ingest_parts(lake, parts, run_at, check_first)
@@ -170,14 +148,16 @@ def ingest_pending(
 
 
 def _reject_empty(
-    lake: Lake, raw_root: str, expected: DataFrame, listed: DataFrame, run_at: dt.datetime
+    lake: Lake, empty: dict[str, str], expected: DataFrame | None, run_at: dt.datetime | None
 ) -> set[str]:
-    """Refuse hours of the requested days that are there, but without a byte."""
-    absent = reports.pending_files(
-        expected.join(listed, "source_file", "left_anti"), lake.ledger()
-    )
-    names = [r.source_file for r in absent.collect()]
-    return reject_files(lake, raw.zero_byte_files(lake.spark, raw_root, names), run_at)
+    """Refuse hours that are there, but without a byte, among the expected ones if given."""
+    if not empty:
+        return set()
+    names = lake.spark.createDataFrame([(n,) for n in empty], "source_file STRING")
+    if expected is not None:
+        names = names.join(expected, "source_file", "left_semi")
+    open_names = [r.source_file for r in reports.pending_files(names, lake.ledger()).collect()]
+    return reject_files(lake, {n: empty[n] for n in open_names}, run_at)
 
 
 def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> list[Row]:
@@ -196,7 +176,7 @@ def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> lis
 
 
 def _ingest_parts(
-    lake: Lake, parts: list[Row], run_at: dt.datetime, check_first: bool
+    lake: Lake, parts: list[Row], run_at: dt.datetime | None, check_first: bool
 ) -> tuple[int, set[str]]:
     """Try a batch; when reading fails, leave the faulty files out and try again."""
     bad: set[str] = set()
@@ -216,21 +196,21 @@ def _ingest_parts(
     return made, bad | empty
 
 
-def _reject_faulty(lake: Lake, parts: list[Row], run_at: dt.datetime) -> set[str]:
+def _reject_faulty(lake: Lake, parts: list[Row], run_at: dt.datetime | None) -> set[str]:
     files = lake.spark.createDataFrame(parts, "source_file STRING, path STRING, length BIGINT")
     faults = raw.gzip_faults(lake.spark, files).collect()
     return reject_files(lake, {f.source_file: f.fault for f in faults}, run_at)
 
 
 def _ingest_good(
-    lake: Lake, parts: list[Row], run_at: dt.datetime
+    lake: Lake, parts: list[Row], run_at: dt.datetime | None
 ) -> tuple[int, set[str]]:
     """Stage and commit; files that gave no record are rejected."""
     if not parts:
         return 0, set()
     seq = lake.last_seq() + 1
     lines = raw.read_lines(lake.spark, [p.path for p in parts])
-    counts = stage_batch(lake, seq, lines, run_at)
+    counts = stage_batch(lake, seq, lines, run_at or run_stamp())
     silent = {p.source_file for p in parts} - {c.source_file for c in counts}
     empty = reject_files(lake, dict.fromkeys(sorted(silent), "no records"), run_at)
     if counts:

@@ -15,7 +15,7 @@ TYPE_LIST = """'PushEvent','PullRequestEvent','PullRequestReviewEvent',
 CTES = {
     "e": """SELECT event_id, ts, user_id, event_type,
   CAST(json_extract_string(props,'$.k') AS INT) AS k FROM events""",
-    "b": """SELECT event_id AS row_pos,
+    "b": """SELECT event_id * 2 AS row_pos,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN ''
    WHEN event_id % 139 = 0 THEN 'None' ELSE CAST(event_id AS VARCHAR) END AS id,
   CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN ''
@@ -50,7 +50,7 @@ CTES = {
    WHEN event_id % 137 = 0 THEN ts - INTERVAL 1 HOUR ELSE ts + INTERVAL 2 HOUR END AS ingested_at
  FROM e""",
     "bronze": """SELECT * FROM b UNION ALL
-  SELECT * REPLACE (row_pos + 1000000000 AS row_pos) FROM b WHERE row_pos % 41 = 0""",
+  SELECT * REPLACE (row_pos + 1 AS row_pos) FROM b WHERE row_pos // 2 % 41 = 0""",
     "classified": """SELECT *, CASE WHEN id IS NULL OR id = '' THEN 'missing_id'
    WHEN type IS NULL OR type = '' THEN 'missing_type'
    WHEN payload NOT IN ('', '{}') AND NOT json_valid(payload) THEN 'malformed_payload'
@@ -263,7 +263,7 @@ STATEMENTS = {
     # The rows as they come back from JSON lines: a line holding a broken payload is
     # kept whole, with its other fields unknown.
     "bronze_flatten": """SELECT source_file, row_pos, ingested_at,
-  row_pos % 1000000000 % 113 = 0 AS is_corrupt,
+  row_pos // 2 % 113 = 0 AS is_corrupt,
   CASE WHEN NOT is_corrupt THEN id END AS id, CASE WHEN NOT is_corrupt THEN type END AS type,
   CASE WHEN NOT is_corrupt THEN actor_login END AS actor_login,
   CASE WHEN NOT is_corrupt THEN actor_id END AS actor_id,
@@ -271,8 +271,12 @@ STATEMENTS = {
   CASE WHEN NOT is_corrupt THEN repo_id END AS repo_id,
   CASE WHEN NOT is_corrupt THEN created_at END AS created_at,
   CASE WHEN NOT is_corrupt THEN payload END AS payload FROM bronze""",
-    "declared_scan": """SELECT id, type, actor_login, actor_id, repo_name, repo_id, created_at,
-  payload, TRUE AS public FROM bronze WHERE json_valid(payload)""",
+    "declared_scan": """SELECT NOT ok AS is_corrupt, CASE WHEN ok THEN id END AS id,
+  CASE WHEN ok THEN type END AS type, CASE WHEN ok THEN actor_login END AS actor_login,
+  CASE WHEN ok THEN actor_id END AS actor_id, CASE WHEN ok THEN repo_name END AS repo_name,
+  CASE WHEN ok THEN repo_id END AS repo_id, CASE WHEN ok THEN created_at END AS created_at,
+  CASE WHEN ok THEN payload END AS payload, CASE WHEN ok THEN TRUE END AS public
+  FROM (SELECT *, json_valid(payload) AS ok FROM bronze)""",
     "raw_preview": """SELECT row_pos, CASE WHEN ok THEN type END AS type,
   CASE WHEN ok THEN id END AS id, CASE WHEN ok THEN actor_login END AS actor_login,
   CASE WHEN ok THEN repo_name END AS repo_name,

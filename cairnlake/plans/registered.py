@@ -89,18 +89,32 @@ class Tables:
     def committed(self) -> DataFrame:
         return fixtures.committed_from(self.versioned)
 
-    def layer(self, name: str) -> DataFrame:
-        return {
-            "bronze": lambda: self.bronze,
-            "silver": lambda: self.silver,
-            "gold_repo": lambda: self.repo_daily,
-            "gold_actor": lambda: self.actor_daily,
-        }[name]()
+
+def staged(t: Tables, *layers: str) -> dict[str, DataFrame]:
+    """The layers as stored tables, each made once from the one below it."""
+    base = work_dir(t.spark, "layers")
+
+    def kept(name: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{base}/{name}")
+        return t.spark.read.schema(rows.schema).parquet(f"{base}/{name}")
+
+    bronze = kept("bronze", t.classified)
+    made = {"bronze": bronze}
+    if "quarantine" in layers:
+        made["quarantine"] = kept("quarantine", refine.quarantine(bronze, F.col("ingested_at")))
+    if set(layers) & {"silver", "gold_repo", "gold_actor"}:
+        made["silver"] = kept("silver", refine.silver(bronze, F.col("ingested_at")))
+    if "gold_repo" in layers:
+        made["gold_repo"] = kept("gold_repo", rollups.repo_daily(made["silver"]))
+    if "gold_actor" in layers:
+        made["gold_actor"] = kept("gold_actor", rollups.actor_daily(made["silver"]))
+    return {name: made[name] for name in layers}
 
 
 def _checks(t: Tables, *layers: str) -> DataFrame:
     declared = quality.declared_checks()
-    parts = [quality.check_table(t.layer(name), name, declared[name], NOW) for name in layers]
+    stored = staged(t, *layers)
+    parts = [quality.check_table(stored[name], name, declared[name], NOW) for name in layers]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -119,10 +133,9 @@ def bronze_flatten(t: Tables) -> DataFrame:
 
 
 def declared_scan(t: Tables) -> DataFrame:
-    shape = raw.DECLARED_SHAPE + ", _corrupt_record STRING"
-    parsed = t.lines.select(F.inline(F.array(F.from_json("value", shape))))
-    fits = parsed.where("_corrupt_record IS NULL").drop("_corrupt_record")
-    return raw.flatten_declared(fits)
+    parsed = t.lines.select(F.inline(F.array(F.from_json("value", raw.DECLARED_LINE))))
+    rows = raw.flatten_declared(parsed)
+    return rows.withColumn("is_corrupt", F.col("corrupt_record").isNotNull()).drop("corrupt_record")
 
 
 def explorer(t: Tables) -> DataFrame:
@@ -136,15 +149,7 @@ def bot_flag(t: Tables) -> DataFrame:
 
 
 def layer_totals(t: Tables) -> DataFrame:
-    return reports.table_totals(
-        {
-            "bronze": t.bronze,
-            "silver": t.silver,
-            "quarantine": t.quarantine,
-            "gold_repo": t.repo_daily,
-            "gold_actor": t.actor_daily,
-        }
-    )
+    return reports.table_totals(staged(t, "bronze", "silver", "quarantine", "gold_repo", "gold_actor"))
 
 
 def read_as_of(t: Tables) -> DataFrame:
@@ -248,7 +253,7 @@ def ledger_rows(lake: Lake) -> DataFrame:
 
 @once_per_session
 def resumed_lake(t: Tables) -> Lake:
-    """Half of the days, then a batch that crashes before its commit, then the rest."""
+    """Half of the days, then a batch that crashes before its commit, then all that is left."""
     raw_root = landed(t)
     lake = Lake(t.spark, work_dir(t.spark, "lake") + "/lake")
     first_half = reports.date_range(t.spark, FIRST_DAY, "2024-01-15")
@@ -257,7 +262,7 @@ def resumed_lake(t: Tables) -> Lake:
     files_of_day = raw.list_files(t.spark, raw_root).join(next_day, "source_file", "left_semi")
     lines = raw.read_lines(t.spark, [r.path for r in files_of_day.select("path").collect()])
     ingest.stage_batch(lake, lake.last_seq() + 1, lines, NOW)
-    ingest.ingest_pending(lake, raw_root, t.days, NOW)
+    ingest.ingest_pending(lake, raw_root, run_at=NOW)
     ingest.refresh_gold(lake, run_at=NOW)
     return lake
 
@@ -281,13 +286,19 @@ def streaming_ingest(t: Tables) -> DataFrame:
 
 
 def streaming_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table read as a stream; late and future rows are counted, none dropped."""
+    """The event table read as a stream; late and future rows are counted.
+
+    The table is in no order of time, so the watermark is its whole span: it drops no row.
+    """
     base = work_dir(use_utc(spark), "hourly")
-    shape = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = table.agg(F.max(second) - F.min(second)).first()[0] or 0
+    shape = table.schema
     stream = (
         spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
-    counts = hourly.hourly_counts(fixtures.bronze_from(stream), watermark="40 days")
+    counts = hourly.hourly_counts(fixtures.bronze_from(stream), watermark=f"{span + 1} seconds")
     hourly.write_updates(counts, f"{base}/updates", f"{base}/checkpoint").awaitTermination()
     return naive(hourly.latest(spark.read.parquet(f"{base}/updates")))
 

@@ -35,7 +35,8 @@ BRONZE = _fields(
 BRONZE_STORED = _fields(
     "id STRING, type STRING, actor_login STRING, actor_id STRING, repo_name STRING, "
     "repo_id STRING, created_at TIMESTAMP, payload STRING, ingested_at TIMESTAMP, "
-    "source_file STRING, row_pos BIGINT, corrupt_record STRING, error_reason STRING"
+    "source_file STRING, source_part STRING, row_pos BIGINT, corrupt_record STRING, "
+    "error_reason STRING"
 )
 
 SILVER = _fields(

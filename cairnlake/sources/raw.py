@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +18,7 @@ DECLARED_SHAPE = (
     "id STRING, type STRING, actor STRUCT<id: STRING, login: STRING>, "
     "repo STRUCT<id: STRING, name: STRING>, created_at STRING, payload STRING, public BOOLEAN"
 )
+DECLARED_LINE = DECLARED_SHAPE + ", _corrupt_record STRING"
 # Largest file the binary source can hand over as one value.
 BINARY_LIMIT = 2**31 - 1
 
@@ -39,12 +41,12 @@ def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
 
 
 def hour_of(path: Column) -> Column:
-    return F.regexp_extract(path, ev.HOUR_FILE, 1)
+    return F.regexp_extract(path, ev.HOUR_PLACE, 2)
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(value, source_file, row_pos). A gzip part is one split, so positions taken
-    at the scan follow the line order inside each part."""
+    """(value, source_file, source_part, row_pos). A gzip part is one split, so positions
+    taken at the scan follow the line order inside each part; parts follow their names."""
     scan = spark.read.option("recursiveFileLookup", "true").text(paths)
     return with_positions(scan)
 
@@ -53,6 +55,7 @@ def with_positions(lines: DataFrame) -> DataFrame:
     return lines.select(
         "value",
         hour_of(F.col("_metadata.file_path")).alias("source_file"),
+        F.col("_metadata.file_name").alias("source_part"),
         F.monotonically_increasing_id().alias("row_pos"),
     )
 
@@ -70,11 +73,13 @@ def to_bronze(lines: DataFrame, ingested_at: Column | dt.datetime) -> DataFrame:
     """Flatten lines to bronze columns; lineage columns of `lines` are carried along.
 
     Every line yields a row. A line that is not JSON has NULL fields and its text in
-    `corrupt_record`. An unreadable time is NULL.
+    `corrupt_record`. An unreadable time is NULL. A payload that is absent, null or empty of
+    its kind ("", [], 0, false) is {}.
     """
     stamp = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
     carried = [c for c in lines.columns if c not in ("value", "ingested_at")]
     broken = ev.is_broken_json(F.col("value"), *LINE_MEMBERS)
+    empty = F.col("payload").isNull() | F.col("payload").isin("", "[]", "0", "0.0", "false")
     return (
         _with_members(lines)
         .withColumn("corrupt_record", F.when(broken, F.col("value")))
@@ -87,7 +92,8 @@ def to_bronze(lines: DataFrame, ingested_at: Column | dt.datetime) -> DataFrame:
             "repo_id",
             F.try_to_timestamp("created_at").alias("created_at"),
             F.when(
-                F.col("corrupt_record").isNull(), F.coalesce("payload", F.lit("{}"))
+                F.col("corrupt_record").isNull(),
+                F.when(empty, F.lit("{}")).otherwise(F.col("payload")),
             ).alias("payload"),
             stamp.cast("timestamp").alias("ingested_at"),
             *carried,
@@ -98,21 +104,27 @@ def to_bronze(lines: DataFrame, ingested_at: Column | dt.datetime) -> DataFrame:
 
 def read_declared(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Scan with declared nested columns, `created_at` as a timestamp."""
-    raw = spark.read.option("recursiveFileLookup", "true").schema(DECLARED_SHAPE).json(paths)
-    return flatten_declared(raw)
+    read = spark.read.option("recursiveFileLookup", "true").schema(DECLARED_LINE)
+    return flatten_declared(read.json(paths))
 
 
 def flatten_declared(raw: DataFrame) -> DataFrame:
+    """Every line a row; one that does not fit has its text in `corrupt_record`, else NULLs."""
+    fields = {
+        "id": F.col("id"),
+        "type": F.col("type"),
+        "actor_login": F.col("actor.login"),
+        "actor_id": F.col("actor.id"),
+        "repo_name": F.col("repo.name"),
+        "repo_id": F.col("repo.id"),
+        "created_at": F.try_to_timestamp("created_at"),
+        "payload": F.col("payload"),
+        "public": F.col("public"),
+    }
+    fits = F.col("_corrupt_record").isNull()
     return raw.select(
-        "id",
-        "type",
-        F.col("actor.login").alias("actor_login"),
-        F.col("actor.id").alias("actor_id"),
-        F.col("repo.name").alias("repo_name"),
-        F.col("repo.id").alias("repo_id"),
-        F.try_to_timestamp("created_at").alias("created_at"),
-        "payload",
-        "public",
+        *[F.when(fits, value).alias(name) for name, value in fields.items()],
+        F.col("_corrupt_record").alias("corrupt_record"),
     )
 
 
@@ -128,21 +140,25 @@ def preview(lines: DataFrame, n: int) -> DataFrame:
 # ---- gzip integrity ---------------------------------------------------------
 
 
-def zero_byte_files(spark: SparkSession, root: str, names: list[str]) -> dict[str, str]:
-    """The named hours that lie below `root` as a file without a single byte.
+def zero_byte_files(
+    spark: SparkSession, root: str | list[str], names: list[str] | None = None
+) -> dict[str, str]:
+    """The hours (of the named ones, if given) landed at or below `root` as a file without a byte.
 
-    Spark's listings leave such files out, so the file system is asked for each name.
+    Spark's listings leave such files out, so the file system is asked, once a folder level.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     found = {}
-    for name in names:
-        place = hadoop.Path(f"{root.rstrip('/')}/{name}")
-        if fs.exists(place):
-            status = fs.getFileStatus(place)
-            if status.isFile() and status.getLen() == 0:
-                found[name] = "empty file"
-    return found
+    for place in [root] if isinstance(root, str) else root:
+        for below in ("", "/*.json.gz", "/*/*.json.gz"):
+            path = hadoop.Path(place.rstrip("/") + below)
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            for status in fs.globStatus(path) or []:
+                if status.isFile() and status.getLen() == 0:
+                    found[status.getPath().getName()] = "empty file"
+    whole = re.compile(ev.HOUR_FILE)
+    return {n: f for n, f in found.items()
+            if whole.fullmatch(n) and (names is None or n in names)}
 
 
 def _inflates_fully(data: bytes, step: int = 1 << 20) -> str | None:
@@ -203,5 +219,5 @@ def _scan_fault(spark: SparkSession, path: str) -> str | None:
     try:
         spark.read.text(path).agg(F.count("value")).first()
     except Exception as exc:  # the scan's own message is the reason we record
-        return str(exc).splitlines()[0][:200]
+        return str(exc).splitlines()[0]
     return None

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cairnlake.functions import events as ev
 from cairnlake.plans import ingest
-from cairnlake.sources.lake import Lake, run_stamp
+from cairnlake.sources.lake import Lake
 
 FILE_SHAPE = T.StructType(
     [
@@ -30,8 +30,8 @@ def arrivals(lake: Lake, raw_root: str, max_files: int) -> DataFrame:
         .option("maxFilesPerTrigger", max_files)
         .load(raw_root)
         .select(
-            F.regexp_extract("path", f"^(.*?{ev.HOUR_FILE})", 1).alias("place"),
-            F.regexp_extract("path", ev.HOUR_FILE, 1).alias("source_file"),
+            F.regexp_extract("path", ev.HOUR_PLACE, 1).alias("place"),
+            F.regexp_extract("path", ev.HOUR_PLACE, 2).alias("source_file"),
         )
         .where("place <> ''")
     )
@@ -53,7 +53,7 @@ def start_ingest(
         places = [r.place for r in landed.select("place").distinct().collect()]  # <= max_files
         if not places:
             return
-        ingest.ingest_pending(lake, places, run_at=run_stamp())
+        ingest.ingest_pending(lake, places)
         if with_gold:
             ingest.owed_gold(lake)
 

@@ -63,16 +63,36 @@ def test_run_then_nothing_left_to_do(spark, tmp_path, raw_root):
     assert ledger_of(lake) == EXPECTED
 
 
-def test_many_repeated_ids_take_the_other_way(spark, tmp_path, raw_root):
+def test_the_first_part_by_name_wins_however_large_the_others(spark, tmp_path):
+    hour = tmp_path / "raw" / "2024-01-01-5.json.gz"
+    for part, lines in enumerate([[event("x", login="first")],
+                                  [event("x", login="later"), *hour_lines(1, 5, 3000)]]):
+        write_hour(hour, 2, part, lines).rename(hour / f"part-{part}.gz")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest.run(lake, str(tmp_path / "raw"), run_at=NOW)
+    assert [r.actor_login for r in lake.silver().where("id = 'x'").collect()] == ["first"]
+
+
+def test_a_download_under_way_is_not_an_hour(spark, tmp_path, raw_root):
+    (raw_root / "2024-01-03-0.json.gz.tmp").write_bytes(b"\x1f\x8b half of a file")
+    (raw_root / "2024-01-03-1.json.gz").write_bytes(b"")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest.run(lake, str(raw_root), run_at=NOW)
+    assert ledger_of(lake) == EXPECTED
+    rejected = lake.ledger().where("status = 'rejected'").collect()
+    assert [(r.source_file, r.reason) for r in rejected] == [
+        ("2024-01-03-1.json.gz", "empty file")]
+    write_hour(raw_root, 3, 0, hour_lines(3, 0))  # the finished file
+    assert ingest.run(lake, str(raw_root), run_at=NOW) == 1
+    assert lake.silver().count() == 140
+
+
+def test_versions_of_one_run_have_times_of_their_own(spark, tmp_path, raw_root):
     lake = Lake(spark, str(tmp_path / "lake"))
-    lines = raw.read_lines(spark, [str(p) for p in raw_root.iterdir()])
-    few = ingest.stage_batch(lake, 1, lines, NOW)
-    many = ingest.stage_batch(lake, 2, lines, NOW, max_repeated=0)
-    assert few == many or sorted(few) == sorted(many)
-    read = spark.read.schema(lake.schema("silver"))
-    one, two = (sorted(map(str, read.parquet(lake.batch_path("silver", n)).collect()))
-                for n in (1, 2))
-    assert one == two and len(one) == 120
+    ingest.ingest_pending(lake, str(raw_root), files_per_batch=3)
+    stamps = [r.committed_at for r in
+              history.versions(lake.ledger()).orderBy("batch_seq").collect()]
+    assert len(stamps) == 2 and stamps[0] < stamps[1]
 
 
 def test_one_version_per_file(spark, tmp_path, raw_root):
@@ -231,7 +251,8 @@ def test_reports_over_the_lake(spark, tmp_path, raw_root):
     assert [(r.files_done, r.hours_ago, r.status) for r in fresh] == [(3, 30, "Stale")]
     per_table = reports.storage(lake.files(), F.regexp_extract("path", r"gen=\d+/(\w+)/", 1))
     names = {r.table_name for r in per_table.collect()}
-    assert names == {"bronze", "silver", "quarantine", "repo_daily", "actor_daily", "ledger"}
+    assert names == {
+        "bronze", "silver", "quarantine", "repo_daily", "actor_daily", "ledger", "gold_marks"}
     total = reports.storage_total(per_table).first()
     assert total.bytes > 0 and abs(total.monthly_cost - total.bytes / 2**30 * 0.023) < 1e-12
     ingest.run_day(lake, str(raw_root), "2024-01-02", NOW)

@@ -22,6 +22,7 @@ def test_no_cross_join_and_no_python_in_any_query(spark, name):
     text = plan_of(registered.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "Pandas" not in text
+    assert "RoundRobinPartitioning" not in text and "strategy=broadcast" not in text
 
 
 @pytest.fixture(scope="module")

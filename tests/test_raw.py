@@ -20,7 +20,9 @@ def test_flattening(spark):
         {"type": "PushEvent"},
         {"id": "4", "actor": "odd", "payload": {"b": 1.50, "a": [1, {"c": None}]}},
         {"id": "5", "created_at": "not a time", "payload": {}},
+        *[{"id": "6", "payload": nothing} for nothing in ([], "", 0, False)],
     ])
+    assert [r.payload for r in rows[5:]] == ["{}"] * 4
     first = rows[0]
     assert (first.id, first.actor_login, first.actor_id, first.repo_id) == ("123", "ann", "5", "7")
     assert str(first.created_at) == "2024-01-01 00:30:00"
@@ -84,6 +86,9 @@ def test_declared_scan_and_preview(spark, tmp_path):
     rows = raw.read_declared(spark, [str(path)]).orderBy("id").collect()
     assert [(r.id, r.actor_login, r.public) for r in rows] == [("1", "ann", True), ("2", "ann", True)]
     assert json.loads(rows[0].payload)["size"] == 2
+    broken = write_hour(tmp_path, 1, 1, [event("3"), "{half"])
+    rows = raw.read_declared(spark, [str(broken)]).collect()
+    assert sorted((r.id or "", r.corrupt_record or "") for r in rows) == [("", "{half"), ("3", "")]
     head = raw.preview(raw.read_lines(spark, [str(path)]), 1).collect()
     assert len(head) == 1
     assert head[0].top_level_keys == "id,type,actor,repo,public,created_at,payload"
