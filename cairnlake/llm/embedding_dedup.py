@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.llm.shared import components, written
@@ -57,11 +57,7 @@ def near_vectors(
     sound = F.col("key").isNotNull() & F.col("v").isNotNull() & F.forall(
         "v", lambda x: x.isNotNull() & (F.abs(x) < big) & ~F.isnan(x)
     )
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    unit = rows.where(sound & F.exists("v", lambda x: x != 0)).select(
-        "key", F.transform("v", lambda x: x / F.aggregate("v", F.lit(0.0), lambda m, y: F.greatest(m, F.abs(y)))).alias("v")
-    )  # scaled first, so that squares neither vanish nor overflow
-    unit = unit.withColumn("length", length).select("key", F.transform("v", lambda x: x / F.col("length")).alias("v"))
+    unit = rows.where(sound & F.exists("v", lambda x: x != 0)).select("key", _unit(F.col("v")).alias("v"))
     nodes = unit.groupBy("v").agg(F.min("key").alias("node"), F.count("*").alias("copies"))
     nodes = written(nodes, "vectors")
     of = unit.join(nodes.where("copies > 1"), "v").select("key", "node")
@@ -88,6 +84,22 @@ def near_vectors(
     return result.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")) & F.col(key).isNotNull())
 
 
+def _unit(v: Column) -> Column:
+    """The vector of length 1; scaled by its largest component first, so that squares neither vanish nor overflow."""
+    largest = F.aggregate(v, F.lit(0.0), lambda m, y: F.greatest(m, F.abs(y)))
+    scaled = _divided(v, largest)
+    return _bound(scaled, lambda s: _divided(s, F.sqrt(F.aggregate(s, F.lit(0.0), lambda t, x: t + x * x))))
+
+
+def _divided(v: Column, by: Column) -> Column:
+    return _bound(F.struct(v.alias("v"), by.alias("by")), lambda s: F.transform(s["v"], lambda x: x / s["by"]))
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with `value` evaluated once a row; inside a lambda it would be once an element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _linked(nodes: DataFrame, cosine: float, overlap: int, beam: int) -> DataFrame:
     """(node, n_links, roots): links of each node's copies, and smaller nodes of its component."""
     members = written(_members(nodes, overlap), "members")
