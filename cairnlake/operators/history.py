@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_SLOTS = 256
+# The columns of a sample of new rows.
 SAMPLE_COLUMNS = ["id", "type", "actor_login", "repo_name", "created_at"]
 
 

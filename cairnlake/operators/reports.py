@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import events as ev
@@ -16,6 +16,7 @@ from cairnlake.functions import events as ev
 PRICE_PER_GB_MONTH = 0.023  # fixed value: object storage price in the cost report
 MB, GB = 1 << 20, 1 << 30
 DEFAULT_DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]  # fixed values: the default run
+# The columns that the event search shows.
 EXPLORER_COLUMNS = [
     "id", "type", "actor_login", "repo_name", "created_at",
     "action", "ref", "commit_count", "pr_number", "issue_number",
@@ -37,8 +38,8 @@ def counts_by(
 
 
 def with_share(counts: DataFrame, places: int = 6) -> DataFrame:
-    """Percent of the total. The window runs over the few counted rows only."""
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    """Percent of the total, which is one number of its own: no task sees all counted rows."""
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("percent", F.round(F.col("n") * 100.0 / total, places))
 
 

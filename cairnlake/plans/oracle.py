@@ -7,6 +7,7 @@ cast back to BIGINT.
 
 from __future__ import annotations
 
+# The known event types, as the checks and classes must have them.
 TYPE_LIST = """'PushEvent','PullRequestEvent','PullRequestReviewEvent',
  'PullRequestReviewCommentEvent','IssuesEvent','IssueCommentEvent','WatchEvent','ForkEvent',
  'CreateEvent','DeleteEvent','ReleaseEvent','MemberEvent','CommitCommentEvent','GollumEvent',
@@ -159,6 +160,7 @@ def _repeated(table: str, *keys: str) -> str:
 
 _RANGE = "event_date < DATE '2024-01-01' OR event_date > DATE '2024-01-07'"
 _MANY = "v > 0"
+# Order, titles and rules of the checks; results are reported under these titles.
 CHECKS = {
     "bronze": ("bronze", [
         ("bronze has rows", "row_count", "COUNT(*)", "v = 0", _NONE),
