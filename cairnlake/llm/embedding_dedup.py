@@ -1,13 +1,16 @@
 """Operator 3. Vectors with a cosine of at least 0.9, found on a robust-pruned flat graph.
 
 Equal vectors are one node. Centroids are fitted on a bounded sample; every node goes to the shards of
-its OVERLAP nearest centroids. Each shard builds a graph: from a pool of near and random members every
-node keeps neighbours by robust pruning (the nearest first, without those that a kept one is closer to
-by a factor ALPHA). A node's adjacency lists from all its shards are united. Shards then run a greedy
-beam search for each of their members, from the shard's medoid over the united lists, and expand it:
-every vector found in range is opened as well, until none is left. Hits are verified in double
-precision. Recall is audited against brute force over a bounded sample of queries; if it is below
-RECALL, overlap and beam are widened and the search is repeated.
+clusters of its OVERLAP nearest centroids. Centroids that a chain of cosines in range connects are one
+cluster, so a group of near copies is not cut up, however many centroids fall on it. Each shard builds a
+graph: from a pool of near and random members every node keeps neighbours by robust pruning (the nearest
+first, without those that a kept one is closer to by a factor ALPHA). A node's adjacency lists from all
+its shards are united. Shards then run a greedy beam search for each of their members, from the shard's
+medoid over the united lists, and expand it: every vector found in range is opened as well, until none
+is left; where the whole beam is in range, the shard's members are all compared instead. Hits are
+verified in double precision. Recall is audited against brute force over a bounded sample of queries; if
+it is below RECALL, overlap and beam are widened and the search is repeated. If it is below LEAST_RECALL
+at the widest, that is an error.
 
 Pairs never leave a shard: a pair is counted in the first shard that both members share, and of the
 links only a spanning star for each shard goes on to the connected components. A cluster of more than
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 from cairnlake.llm.shared import components, written
 
 COSINE = 0.9
-RECALL = 0.95
+#: Recall that ends the widening, and below which there is no result.
+RECALL, LEAST_RECALL = 0.95, 0.9
 #: Members of a shard at most, and on average.
 SHARD, AIM = 4096, 2048
 OVERLAP = 3
@@ -50,7 +54,8 @@ def near_vectors(
     lengths. n_links: other rows linked directly. component_id: the smallest key reachable by links,
     its own included; kept: whether that is its own key. Equal vectors are linked with each other. A
     row with a null key takes no part and has a null component; keys are expected to be unique. Columns
-    other than key and vector are not read. An empty table gives an empty table.
+    other than key and vector are not read. An empty table gives an empty table. A RuntimeError tells
+    that less than LEAST_RECALL of the audited links were found, even by the widest search.
     """
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v"))
     big = F.lit(1e150)
@@ -69,6 +74,8 @@ def near_vectors(
         if recall >= RECALL or overlap >= 4 * OVERLAP:
             break
         overlap, beam = 2 * overlap, 2 * beam
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"recall of {recall:.4f} on the audited vectors, below {LEAST_RECALL}")
     whole = components(found.select(F.col("node").alias("a"), F.explode("roots").alias("b")))
     count = found.select("node", "n_links")
 
@@ -102,7 +109,7 @@ def _bound(value: Column, use) -> Column:
 
 def _linked(nodes: DataFrame, cosine: float, overlap: int, beam: int) -> DataFrame:
     """(node, n_links, roots): links of each node's copies, and smaller nodes of its component."""
-    members = written(_members(nodes, overlap), "members")
+    members = written(_members(nodes, overlap, cosine), "members")
     lists = members.select("shard", "node", "v").groupBy("shard").applyInArrow(_built, "node long, near array<bigint>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
@@ -119,7 +126,7 @@ def _linked(nodes: DataFrame, cosine: float, overlap: int, beam: int) -> DataFra
     return written(hits, "hits")
 
 
-def _members(nodes: DataFrame, overlap: int) -> DataFrame:
+def _members(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
     """Each node once for each of its shards: (shard, node, home, own, v, copies).
 
     own: the node's clusters; home: the one of this shard, or -1 - home where only pairs of different
@@ -136,10 +143,11 @@ def _members(nodes: DataFrame, overlap: int) -> DataFrame:
     base, at = {}, 0
     for size, c in centroids.items():
         base[size], at = at, at + len(c)
-    held = spark.sparkContext.broadcast((centroids, base))
+    cluster = {size: base[size] + chained(c, cosine) for size, c in centroids.items()}
+    held = spark.sparkContext.broadcast((centroids, cluster))
 
     def assigned(batches):
-        centroids, base = held.value
+        centroids, cluster = held.value
         for batch in batches:
             own = []
             for v in batch.column("v"):
@@ -151,7 +159,7 @@ def _members(nodes: DataFrame, overlap: int) -> DataFrame:
                 near = c @ x
                 k = min(overlap, len(c))
                 best = np.argpartition(-near, k - 1)[:k] if k < len(c) else np.arange(len(c))
-                own.append(sorted((best + base[len(x)]).tolist()))
+                own.append(np.unique(cluster[len(x)][best]).tolist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(own, pa.list_(pa.int32())), batch.column("v"), batch.column("copies")],
                 ["node", "own", "v", "copies"],
@@ -187,6 +195,24 @@ def _centroids(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def chained(c: np.ndarray, cosine: float) -> np.ndarray:
+    """For each row of `c` the first of those that a chain of cosines of at least `cosine` connects it with."""
+    near = c @ c.T >= cosine
+    np.fill_diagonal(near, True)
+    return _least_reachable(near)
+
+
+def _least_reachable(linked: np.ndarray) -> np.ndarray:
+    """The smallest row reachable from each; `linked` is symmetric and links each row with itself."""
+    root = np.arange(len(linked))
+    while True:
+        least = np.concatenate([np.where(linked[i : i + 256], root, len(root)).min(1) for i in range(0, len(root), 256)])
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.combine_chunks()
     return np.asarray(flat.flatten()).reshape(len(flat), -1) if len(flat) else np.zeros((0, 1))
@@ -262,28 +288,23 @@ def _searched(table, cosine, beam):
 
     found = searched(exact, lists, cosine, beam)
     found |= found.T
+    np.fill_diagonal(found, True)
+    root = _least_reachable(found)
     np.fill_diagonal(found, False)
     # the first shard that two members share counts the pair; blocks count pairs across them once
-    wide = max(map(len, own))
-    clusters = np.full((len(own), wide), np.iinfo(np.int32).min)
-    for i, c in enumerate(own):
+    before = [[x for x in c if x < home] for c in own]
+    wide = max(map(len, before))
+    clusters = np.full((len(own), wide), home)
+    for i, c in enumerate(before):
         clusters[i, : len(c)] = c
-    a, b = np.nonzero(found)
-    first = np.full(len(a), True)
-    for j in range(wide):  # a smaller cluster of one that the other has too
-        c = clusters[a, j]
-        smaller = (c < home) & (c != np.iinfo(np.int32).min)
-        first &= ~(smaller & (clusters[b] == c[:, None]).any(1))
-    first &= (side[a] == 0) | (side[a] != side[b])
-    links = np.bincount(a[first], weights=copies[b[first]].astype(np.float64), minlength=len(node)).astype(np.int64)
-    root = np.arange(len(node))
-    while True:  # the smallest member reachable
-        least = root.copy()
-        np.minimum.at(least, a, root[b])
-        least = least[least]
-        if (least == root).all():
-            break
-        root = least
+    links = np.zeros(len(node), np.int64)
+    for lo in range(0, len(node), 256):
+        a = slice(lo, lo + 256)
+        first = found[a] & ((side[a, None] == 0) | (side[a, None] != side))
+        for j in range(wide):  # a smaller cluster of one that the other has too
+            for k in range(wide):
+                first &= ~((clusters[a, j, None] == clusters[:, k]) & (clusters[a, j, None] < home))
+        links[a] = first @ copies
     return pa.table({"node": pa.array(node), "n_links": pa.array(links), "root": pa.array(node[root])})
 
 
@@ -330,6 +351,12 @@ def searched(exact: np.ndarray, lists: np.ndarray, cosine: float, beam: int) ->
             ids[live] = np.take_along_axis(all_ids, best, 1)
             sims[live] = np.take_along_axis(all_sims, best, 1)
             opened[live] = np.take_along_axis(all_opened, best, 1)
+        # a beam all in range: a group of more than it, compared with every member at once
+        dense = np.flatnonzero((sims >= least).all(1))
+        if len(dense):
+            expanded[dense] = True
+            found[q[dense]] = exact[q[dense]] @ exact.T >= cosine
+            hit[dense] = False
         while True:  # what is in range is opened too, beam or not
             r, c = np.nonzero(hit & ~expanded)
             if not len(r):

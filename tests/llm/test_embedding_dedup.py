@@ -62,3 +62,29 @@ def test_pruning_keeps_the_nearest_and_spreads(spark):
     near = op.pruned(x)
     assert near[0][0] == 1  # the nearest one
     assert 2 not in near[0]  # hidden behind it
+
+
+def test_a_dense_group_is_not_cut_up_by_centroids(spark, monkeypatch):
+    """A third of the vectors are different near copies of one: they would get a third of the centroids."""
+    monkeypatch.setattr(op, "AIM", 60)
+    monkeypatch.setattr(op, "SHARD", 150)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    noise = rng.normal(size=(500, 64))
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    x = np.float32(np.concatenate([centre + 0.25 * noise, rng.normal(size=(1000, 64))])).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.9).sum(1) - 1
+    assert (true[:500] == 499).all()
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA).repartition(3)
+    got = sorted(tuple(r) for r in op.near_vectors(df).collect())
+    assert sum(r[1] for r in got) >= 0.99 * true.sum()
+    assert [r[2] for r in got] == [0] * 500 + list(range(500, 1500))
+
+
+def test_a_recall_below_the_contract_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(op, "audited_recall", lambda *_: 0.89)
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors(alone=20)], SCHEMA)
+    with pytest.raises(RuntimeError, match="0.89"):
+        op.near_vectors(df)
