@@ -40,6 +40,8 @@ DEGREE, NEAR, RANDOM, ALPHA = 24, 48, 16, 1.2
 BEAM = 24
 #: Bounds of the samples that centroids are fitted on and that recall is audited with, and of centroids.
 FIT_ROWS, AUDIT_ROWS, CENTROIDS = 16_384, 512, 2048
+#: Queries that an average of the audit takes at least.
+CLASS_ROWS = 16
 
 _MEMBER = "shard string, node long, home int, own array<int>, v array<double>, copies long"
 
@@ -378,7 +380,11 @@ def searched(exact: np.ndarray, lists: np.ndarray, cosine: float, beam: int) ->
 
 
 def audited_recall(nodes: DataFrame, found: DataFrame, cosine: float) -> float:
-    """The share of true links that were found, over a bounded sample of queries against all rows."""
+    """The least share of true links that were found, over a bounded sample of queries against all rows.
+
+    Shares are taken of all links together and as the queries' average in each class of sizes (`least_recall`),
+    so a large group's links don't hide that those of small ones are missed.
+    """
     sample = nodes.orderBy(F.xxhash64("node", F.lit(1))).limit(AUDIT_ROWS).join(found, "node", "left")
     sample = sample.select("node", "v", F.coalesce("n_links", F.col("copies") - 1).alias("n")).toArrow()
     if not sample.num_rows:
@@ -402,9 +408,30 @@ def audited_recall(nodes: DataFrame, found: DataFrame, cosine: float) -> float:
 
     true = nodes.select("v", "copies").mapInArrow(counted, "size long, query long, n long")
     true = true.groupBy("size", "query").agg(F.sum("n").alias("n")).collect()  # AUDIT_ROWS rows at most
-    wanted = sum(r.n - 1 for r in true)
-    met = sum(min(r.n - 1, int(got[r.size][r.query])) for r in true)
-    return met / wanted if wanted else 1.0
+    wanted = np.array([r.n - 1 for r in true])
+    return least_recall(wanted, np.minimum(wanted, [got[r.size][r.query] for r in true]))
+
+
+def least_recall(wanted: np.ndarray, met: np.ndarray) -> float:
+    """The least of the pooled share of links met and the average shares of the classes of queries.
+
+    A class has queries of like numbers of links wanted (by powers of two); it takes in the next larger
+    ones until it has CLASS_ROWS queries, and the last one joins the class before if it has fewer.
+    """
+    order = np.argsort(wanted, kind="stable")
+    order = order[wanted[order] > 0]
+    if not len(order):
+        return 1.0
+    wanted, met = wanted[order], met[order]
+    ends = np.r_[np.flatnonzero(np.diff(np.log2(wanted).astype(int))) + 1, len(wanted)]
+    bounds = [0]
+    for end in ends:
+        if end - bounds[-1] >= CLASS_ROWS:
+            bounds.append(end)
+    bounds = [*bounds[: max(1, len(bounds) - 1)], len(wanted)]
+    share = met / wanted
+    classes = [share[lo:hi].mean() for lo, hi in zip(bounds, bounds[1:])]
+    return float(min(met.sum() / wanted.sum(), *classes))
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,3 +88,19 @@ def test_a_recall_below_the_contract_is_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(i, v, 0) for i, v in vectors(alone=20)], SCHEMA)
     with pytest.raises(RuntimeError, match="0.89"):
         op.near_vectors(df)
+
+
+def test_a_large_group_does_not_hide_missed_links_of_small_ones(spark):
+    unit = np.eye(64)
+    rows = [(i, unit[0].tolist(), 1, 299) for i in range(300)]  # all links of the large group were found
+    rows += [(300 + i, unit[1 + i // 2].tolist(), 1, 0) for i in range(100)]  # and none of 50 pairs
+    df = spark.createDataFrame(rows, "node long, v array<double>, copies long, n_links long")
+    assert op.audited_recall(df.drop("n_links"), df.select("node", "n_links"), 0.9) == 0
+
+
+def test_least_recall_takes_classes_of_enough_queries():
+    assert op.least_recall(np.array([0, 0]), np.array([0, 0])) == 1
+    assert op.least_recall(np.array([4, 1, 0]), np.array([4, 0, 0])) == 0.5  # too few for a class of their own
+    assert op.least_recall(np.r_[np.ones(20), 99.0], np.r_[np.ones(20), 99.0]) == 1
+    wanted = np.r_[np.ones(20), np.full(20, 100)].astype(int)
+    assert op.least_recall(wanted, np.r_[np.ones(10), np.zeros(10), np.full(20, 100)].astype(int)) == 0.5
