@@ -14,6 +14,7 @@ from cairnlake.llm.jaccard_join import similar_documents
 from cairnlake.llm.language_id import held_out, predicted_languages, trained
 from cairnlake.llm.line_dedup import drop_shared_lines
 from cairnlake.llm.mixing import mixed
+from cairnlake.llm.shared import unused, written
 from cairnlake.session import work_dir
 
 #: A document is rejected when no language is found in it, or none with at least this score.
@@ -34,20 +35,38 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one with the smallest doc_id stays.
+    """N-gram Jaccard join: of each group of linked documents one row stays.
 
-    A document without a doc_id, which the join leaves unlinked, stays too.
+    It is the one with the smallest doc_id; rows without a doc_id come after all others. Every row is
+    judged by its own text, also where several bear one doc_id. Texts without a word are linked with
+    nothing; of those that are equal and have equal doc_ids (or none) one stays.
     """
-    groups = similar_documents(docs.select("doc_id", "text"))
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = unused(docs.columns, "_row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = similar_documents(rows.select(row, "text"), row)
+    wordless = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), None).otherwise(F.col("text"))
+    judged = groups.join(rows.select(row, "doc_id", wordless.alias("wordless")), row)
+    linked = F.col("n_shingles") > 0
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    kept = (
+        judged.groupBy(F.when(linked, F.col("component_id")), F.when(~linked, F.col("doc_id")), "wordless")
+        .agg(first.alias("first"))
+        .select(F.col(f"first.{row}"))
+    )
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold three quarters of an item's shingles go."""
+    """Benchmark decontamination: rows whose text holds three quarters of an item's shingles go.
+
+    The text alone decides (by its MD5): a row without a doc_id goes like others, and a clean text
+    stays though another row of its doc_id goes.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = contained_items(docs.select("doc_id", "text"), items).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    mark = unused(docs.columns, "_mark")
+    rows = docs.withColumn(mark, F.md5(F.col("text").cast("binary")))
+    leaks = contained_items(rows.select(mark, "text"), items, mark).select(mark).distinct()
+    return rows.join(leaks, mark, "left_anti").select(*docs.columns)
 
 
 def sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,26 @@ def test_every_stage_against_brute_force(spark, tmp_path):
             assert set(kept[name]) == true and docs.columns == [*columns, "n_tokens", "p"]
 
 
+def test_rows_are_judged_by_their_own_text(spark, tmp_path):
+    """Null and repeated ids: one row of each group stays, whatever its id, and no leak."""
+    rows = documents() + [(90, prose(2, 60)), (90, prose(901, 50)), (None, prose(2, 60) + " end"), (91, " "), (91, " ")]
+    items = tables(spark, str(tmp_path), rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    members = {}
+    for n, size, c in groups([(n, t) for n, (_, t) in enumerate(rows)]):
+        members.setdefault(("linked", c) if size else rows[n], []).append(rows[n])
+    left = sorted((min(r[0] is None for r in g), min((r[0] for r in g if r[0] is not None), default=0)) for g in members.values())
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()]
+    assert sorted((i is None, i or 0) for i, _ in out) == left
+    assert (80, prose(9, 50)) in out and sum(t == prose(1, 120) for _, t in out) == 1 and out.count((91, " ")) == 1
+
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()]
+    leaks = {r[0] for r in contained([(n, t) for n, (_, t) in enumerate(rows)], items)}
+    assert sorted(out, key=repr) == sorted((r for n, r in enumerate(rows) if n not in leaks), key=repr)
+    assert (90, prose(901, 50)) in out and (None, prose(2, 60) + " end") not in out
+
+
 def test_run_goes_through_all_stages(spark, tmp_path):
     tables(spark, str(tmp_path), [(i, prose(i, 40)) for i in range(60)] + [(100, None), (101, prose(2, 60))])
     got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
