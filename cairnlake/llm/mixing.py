@@ -1,8 +1,9 @@
 """Operator 10. Mixing sources to target weights, by iterative proportional fitting.
 
 Tokens are summed for each cell of source, language and topic. Raking multiplies the cells' weights by
-what each marginal lacks, one marginal after another, for ROUNDS rounds. A cell's documents are then
-sampled with a probability in proportion to its weight for each token, scaled so that the budget is
+what each marginal lacks, one marginal after another, for ROUNDS rounds, as the query's SQL does, or with
+`tolerance` ROUNDS at a time until no marginal is off by more than that or the largest error hardly
+falls. A warning tells what error remains. A cell's documents are then sampled with a probability in proportion to its weight for each token, scaled so that the budget is
 met with no probability above one, and drawn by a hash of the key: the same documents on every run.
 
 Only DataFrame operations. Documents are read twice and never shuffled but for the join with the cells,
@@ -11,6 +12,7 @@ which is a broadcast if Spark finds them small; cells number sources times langu
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from cairnlake.llm.shared import others, unused, written
 
 ROUNDS = 12
+#: Share of all tokens that a marginal may be off without a warning; error that another ROUNDS may leave of the last.
+TOLERANCE, FALLS = 1e-4, 0.95
 #: Rounds in which probabilities above one are cut and the rest scaled up again.
 FILLS = 8
 BUDGET = 0.5
@@ -38,12 +42,15 @@ def length_topic(tokens: Column) -> Column:
     return F.when(tokens < 150, "note").when(tokens < 600, "article").otherwise("paper")
 
 
-def raked_cells(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], rounds: int = ROUNDS) -> DataFrame:
+def raked_cells(
+    cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], rounds: int = ROUNDS, tolerance: float | None = None
+) -> DataFrame:
     """`cells` (the columns of `targets`, tokens) with their weight, summing to 1 over all cells.
 
     A target is an exponent for the shares that the column's values have in the corpus, or a map from
     value to share (values that it lacks get none). Null is a value like others. Cells without tokens
-    keep a weight of 0.
+    keep a weight of 0. With a `tolerance`, raking goes on by `rounds` more while a marginal is further
+    off and the error falls. A RuntimeWarning tells of an error above it (or TOLERANCE) that remains.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     state = cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1)))
@@ -60,14 +67,30 @@ def raked_cells(cells: DataFrame, targets: Mapping[str, float | Mapping[str, flo
         values = values.select(F.col(c).alias("_value"), (F.col("want") / F.lit(norm)).alias(f"want_{c}"))
         state = state.join(values, state[c].eqNullSafe(values["_value"])).drop("_value")
     state = written(state, "cells")
-    for _ in range(rounds):
-        for c in targets:
-            have = F.sum("weight").over(Window.partitionBy(c))
-            state = state.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"want_{c}") / have).otherwise(0.0))
-        state = written(state, "cells")  # cuts the plan: a round is one small job
+    error = float("inf")
+    while True:
+        for _ in range(rounds):
+            for c in targets:
+                have = F.sum("weight").over(Window.partitionBy(c))
+                state = state.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"want_{c}") / have).otherwise(0.0))
+            state = written(state, "cells")  # cuts the plan: a round is one small job
+        error, before = largest_error(state, targets), error
+        if error <= (TOLERANCE if tolerance is None else tolerance):
+            break
+        if tolerance is None or error > FALLS * before:
+            warnings.warn(f"raking leaves a marginal {error:.6f} off its target", RuntimeWarning, stacklevel=2)
+            break
     return state.drop(*(f"want_{c}" for c in targets))
 
 
+def largest_error(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]]) -> float:
+    """How far the weights of a value, summed, are from the share wanted (column want_...), at most."""
+    off = [
+        cells.groupBy(c).agg(F.abs(F.sum("weight") - F.max(f"want_{c}")).alias("off")).select("off") for c in targets
+    ]
+    return reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0 if off else 0.0
+
+
 def with_probabilities(cells: DataFrame, budget: float = BUDGET, fills: int = FILLS) -> DataFrame:
     """`cells` (tokens, weight) with the probability `p`: weight for each token, scaled and at most 1.
 
@@ -104,11 +127,12 @@ def mixed(
     topic: str | None = None,
     targets: Mapping[str, float | Mapping[str, float]] = TARGETS,
     budget: float = BUDGET,
+    tolerance: float | None = None,
 ) -> DataFrame:
     """`docs` with n_tokens, p and kept put last (columns of these names are replaced).
 
     Tokens are runs of characters other than white space. `topic` names a column; None takes the
-    length class. Null source, language or topic is a value of its own. A text that is null, empty or
+    length class. `tolerance` is that of `raked_cells`. Null source, language or topic is a value of its own. A text that is null, empty or
     blank has no tokens; where all of a cell's are such, p is 0 and none is kept. Rows with equal keys
     draw alike. Other columns stay as they are; an empty table stays empty.
     """
@@ -117,7 +141,7 @@ def mixed(
     kind = length_topic(F.col("n_tokens")) if topic is None else F.col(topic)
     dims = {"source": F.col(source), "lang": F.col(lang), "topic": kind}
     cells = rows.groupBy(*(d.alias(c) for c, d in dims.items())).agg(F.sum("n_tokens").alias("tokens"))
-    cells = with_probabilities(raked_cells(written(cells, "cells"), targets), budget)
+    cells = with_probabilities(raked_cells(written(cells, "cells"), targets, tolerance=tolerance), budget)
     names = {c: unused(docs.columns, f"_{c}") for c in dims}
     cells = cells.select(*(F.col(c).alias(names[c]) for c in dims), "p")
     on = reduce(lambda x, y: x & y, (d.eqNullSafe(F.col(names[c])) for c, d in dims.items()))

@@ -33,6 +33,26 @@ def test_raking_meets_the_marginals(spark):
     assert share("topic", "p") == pytest.approx(0.5, abs=1e-6)
 
 
+def test_raking_goes_on_until_skewed_marginals_are_met(spark):
+    """Sources of one main language each (98%) and unlike sizes: 12 rounds leave them off."""
+    sizes = [1000.0, 300.0, 80.0, 20.0, 5.0, 1.0]
+    cells = [(f"s{i}", f"l{j}", "t", n * (0.98 if j == i % 3 else 0.01)) for i, n in enumerate(sizes) for j in range(3)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    wanted = {"source": {f"s{i}": 1 / 6 for i in range(6)}, "lang": {"l0": 0.6, "l1": 0.3, "l2": 0.1}, "topic": 1.0}
+    with pytest.warns(RuntimeWarning, match="0.0022"):
+        op.raked_cells(df, wanted)
+    got = op.raked_cells(df, wanted, tolerance=1e-4).collect()
+    for c in ("source", "lang"):
+        for value, share in wanted[c].items():
+            assert sum(r.weight for r in got if r[c] == value) == pytest.approx(share, abs=1e-4)
+
+
+def test_marginals_out_of_reach_are_reported(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 1.0)], "source string, lang string, tokens double")
+    with pytest.warns(RuntimeWarning, match="0.4"):
+        op.raked_cells(df, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.5, "y": 0.5}}, tolerance=1e-4)
+
+
 def test_probabilities_meet_the_budget(spark):
     cells = [("a", 1000, 0.1), ("b", 100, 0.5), ("c", 500, 0.4), ("d", 0, 0.0)]
     df = spark.createDataFrame(cells, "source string, tokens long, weight double")
