@@ -1,4 +1,4 @@
-from conftest import bronze_rows
+from events_cases import bronze_rows
 from pyspark.sql import functions as F
 
 from cairnlake.functions import events as ev

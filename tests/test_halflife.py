@@ -2,7 +2,7 @@ import datetime as dt
 import random
 from collections import Counter
 
-from conftest import NOW
+from events_cases import NOW
 
 from cairnlake.operators import halflife
 

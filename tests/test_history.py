@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import UTC
+from events_cases import UTC
 from pyspark.sql import types as T
 
 from cairnlake.operators import history, reports

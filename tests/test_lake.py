@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import NOW, UTC, event, write_hour
+from events_cases import NOW, UTC, event, write_hour
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 """What the plans must look like to hold at a large scale."""
 
 import pytest
-from conftest import bronze_rows
+from events_cases import bronze_rows
 
 from cairnlake import schemas
 from cairnlake.functions import events as ev

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import NOW, UTC, bronze_rows
+from events_cases import NOW, UTC, bronze_rows
 
 from cairnlake.operators import quality, refine, rollups
 

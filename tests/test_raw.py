@@ -1,7 +1,7 @@
 import gzip
 import json
 
-from conftest import NOW, event, write_hour
+from events_cases import NOW, event, write_hour
 from pyspark.sql import functions as F
 
 from cairnlake.sources import raw

@@ -1,6 +1,6 @@
 import json
 
-from conftest import NOW, bronze_rows
+from events_cases import NOW, bronze_rows
 from pyspark.sql import functions as F
 
 from cairnlake import schemas

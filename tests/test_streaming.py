@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import UTC, bronze_rows
+from events_cases import UTC, bronze_rows
 
 from cairnlake.streaming import hourly
 
