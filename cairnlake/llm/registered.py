@@ -13,6 +13,7 @@ from cairnlake.llm.jaccard_join import op2_ngram_jaccard_join
 from cairnlake.llm.language_id import op9_language_id
 from cairnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
 from cairnlake.llm.mixing import OP10_SQL, op10_source_mixing
+from cairnlake.llm.packing import op11_packing
 from cairnlake.llm.substring_dedup import op1_substring_dedup
 from cairnlake.llm.suffix_dedup import op7_suffix_array_dedup
 from cairnlake.llm.token_counts import op8_token_counts
@@ -29,6 +30,7 @@ QUERIES = [
     op8_token_counts,
     op9_language_id,
     op10_source_mixing,
+    op11_packing,
 ]
 SQL = {
     op4_line_dedup: OP4_SQL,
