@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from cairnlake.llm.alignment import op12_tokenizer_alignment
 from cairnlake.llm.decontamination import OP6_SQL, op6_benchmark_decontamination
 from cairnlake.llm.embedding_dedup import op3_embedding_near_dedup
 from cairnlake.llm.jaccard_join import op2_ngram_jaccard_join
@@ -31,6 +32,7 @@ QUERIES = [
     op9_language_id,
     op10_source_mixing,
     op11_packing,
+    op12_tokenizer_alignment,
 ]
 SQL = {
     op4_line_dedup: OP4_SQL,
