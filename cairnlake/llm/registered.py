@@ -13,6 +13,7 @@ from cairnlake.llm.embedding_dedup import op3_embedding_near_dedup
 from cairnlake.llm.jaccard_join import op2_ngram_jaccard_join
 from cairnlake.llm.language_id import op9_language_id
 from cairnlake.llm.line_dedup import OP4_SQL, op4_line_dedup
+from cairnlake.llm.manifest import OP13_SQL, op13_merkle_manifest
 from cairnlake.llm.mixing import OP10_SQL, op10_source_mixing
 from cairnlake.llm.packing import op11_packing
 from cairnlake.llm.substring_dedup import op1_substring_dedup
@@ -33,12 +34,14 @@ QUERIES = [
     op10_source_mixing,
     op11_packing,
     op12_tokenizer_alignment,
+    op13_merkle_manifest,
 ]
 SQL = {
     op4_line_dedup: OP4_SQL,
     op5_url_filters: OP5_SQL,
     op6_benchmark_decontamination: OP6_SQL,
     op10_source_mixing: OP10_SQL,
+    op13_merkle_manifest: OP13_SQL,
 }
 
 
