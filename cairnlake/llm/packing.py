@@ -24,62 +24,69 @@ from pyspark.sql import functions as F
 
 from cairnlake.llm.prefix_sums import sums_before
 from cairnlake.llm.shared import written
+from cairnlake.llm.token_counts import byte_characters
 
 WINDOW = 2048
 END_ID = 1
-#: A text is taken to words in stretches of about so many characters; so many words are remembered
-#: by a task, and so many new ones given to the library at once.
+#: A text is taken to words in stretches of about so many characters; about so many words are
+#: remembered by a task.
 STRETCH = 1 << 20
-REMEMBERED = 400_000
-LUMP = 2000
-#: A word that stands between words given to the library together.
-BETWEEN = "\x01"
+REMEMBERED = 800_000
+#: The character by which a byte-level vocabulary shows each byte.
+SHOWN = dict(enumerate(byte_characters()))
 
 
-class WordIds:
-    """Ids of texts by a word-wise vocabulary, as bytes: little-endian unsigned, `width` bytes an id."""
+class WordIds(dict):
+    """Ids of texts by a word-wise vocabulary, as bytes: little-endian unsigned, of `kind`.
+
+    Holds the words met so far. Words of printable ASCII and composed Latin letters (which the vocabulary's
+    normal form leaves as they are) are lower-cased and split here, so that one that differs in case or
+    punctuation costs nothing new, and their parts given to the library's model; all others, and those
+    with a special string, go through the library whole.
+    """
 
     def __init__(self, spec: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
-        require_word_wise(spec)
+        pattern = require_word_wise(spec)
         self.library = Tokenizer.from_str(spec)
+        self.model = self.library.model
         self.kind = np.dtype(id_type(self.library.get_vocab_size(with_added_tokens=True)))
-        (self.between,) = self.library.encode(BETWEEN, add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
+        self.parts = regex.compile(pattern).findall
+        special = "".join(f"(?!.*{regex.escape(x['content'])})" for x in json.loads(spec)["added_tokens"])
+        self.plain = regex.compile(special + r"[\t\n\r -~À-ÖØ-öø-įĲ-ſ]*", regex.DOTALL).fullmatch
 
-    def __call__(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
         return b"".join(self._stretch(piece) for piece in stretches(text))
 
     def _stretch(self, piece: str) -> bytes:
-        words = piece.split(" ")
-        if not self.known.keys() >= (new := set(words)):
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-            self._learn([w for w in new if w not in self.known])
-        return b"".join(map(self.known.__getitem__, words))
-
-    def _learn(self, new: list[str]) -> None:
-        apart = [w for w in new if BETWEEN in w]
-        new = [w for w in new if BETWEEN not in w]
-        lumps = [new[i : i + LUMP] for i in range(0, len(new), LUMP)]
-        texts = [f" {BETWEEN} ".join(lump) for lump in lumps]
-        for lump, found in zip(lumps, self._encoded(texts), strict=True):
-            at = np.flatnonzero(found == self.between)
-            if len(at) != len(lump) - 1:
-                raise ValueError("the vocabulary does not encode words one by one")
-            begin, end = np.r_[0, at + 1], np.r_[at, len(found)]
-            self.known.update((w, found[i:j].tobytes()) for w, i, j in zip(lump, begin, end, strict=True))
-        self.known.update(zip(apart, (ids.tobytes() for ids in self._encoded(apart)), strict=True))
-
-    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for found in self.library.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, self.kind)
-
-
-def require_word_wise(spec: str) -> None:
-    """ValueError unless words between spaces are encoded on their own."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        return b"".join(map(self.__getitem__, piece.split(" ")))
+
+    def __missing__(self, word: str) -> bytes:
+        low = word.lower()
+        if word.isascii() and word.isalpha():
+            parts = [low]
+        elif self.plain(word):
+            parts = self.parts(low)
+        else:
+            parts = None
+        if parts is None:
+            found = np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        elif parts == [word]:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(SHOWN)
+            found = np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
+        else:
+            found = b"".join(map(self.__getitem__, parts))
+        self[word] = found
+        return found
+
+
+def require_word_wise(spec: str) -> str:
+    """The pattern of a text's parts; ValueError unless words between spaces are encoded on their own."""
     given = json.loads(spec)
     steps = [given.get("normalizer"), given.get("pre_tokenizer")]
     steps = [s.get("normalizers") or s.get("pretokenizers") or [s] if s else [] for s in steps]
@@ -91,6 +98,7 @@ def require_word_wise(spec: str) -> None:
     cut = given.get("truncation") or given.get("padding")
     if not (plain and dropped and given["model"].get("end_of_word_suffix")) or widened or cut:
         raise ValueError("not a vocabulary that drops white space and encodes words one by one")
+    return first["pattern"]["Regex"]
 
 
 def id_type(size: int) -> str:
@@ -127,7 +135,7 @@ def encoded(docs: DataFrame, vocabulary: str, key: str, text: str, end_id: int)
         coder, before = WordIds(shared.value), 0
         end = np.array([end_id], coder.kind).tobytes()
         for batch in batches:
-            ids = [coder(t.as_py() or "") + end for t in batch.column("text")]
+            ids = [coder.ids(t.as_py() or "") + end for t in batch.column("text")]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // coder.kind.itemsize
             yield pa.RecordBatch.from_arrays(
                 [batch.column("part"), pa.array(before + np.cumsum(n) - n), batch.column("key"), pa.array(n), pa.array(ids, pa.binary())],

@@ -21,7 +21,7 @@ def odd():
     rng = random.Random(2)
     alphabet = "aB ćÅ \x01 \x1c　  Σ'S9½\n\t<|endoftext|>"
     made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(300)]
-    return made + ["\x01", " \x01 ", "a \x01 b\x01", "<|startoftext|>x <|endoftext|>", "e ́", "ΑΣ Σ"]
+    return made + ["\x01", " \x01 ", "a \x01 b\x01", "<|startoftext|>x <|endoftext|>", "e ́", "ΑΣ Σ", "İI ıŉŊſ ÀÖØöøįĲſ×÷ Ç'S Ç", "K Å ẞ ÉÈ'VE"]
 
 
 @pytest.mark.parametrize("stretch", [1 << 20, 7])
