@@ -82,37 +82,36 @@ class Vocabularies:
         self.ids = [np.zeros(0, np.int32)] * 2
         self.many = [np.zeros(0, np.int64)] * 2
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """The numbers of the words; those not met before are encoded."""
-        if fresh := {w for w in words if w not in self.known}:
-            self._learn(sorted(fresh))
+    def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
-    def _learn(self, fresh: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
+        """Encode those of the words that have not been met before."""
+        fresh = sorted(w for w in words if w not in self.known)
         # A takes words that begin and end with no white space in one text, cut again by their bytes
         joined = [w for w in fresh if not w[0].isspace() and not w[-1].isspace()]
         apart = [w for w in fresh if w[0].isspace() or w[-1].isspace()]
         lumps = [joined[i : i + LUMP] for i in range(0, len(joined), LUMP)] + [[w] for w in apart]
         texts = ["".join(f" {w}" for w in lump) for lump in lumps]
+        a_ids, a_many = [], []
         for lump, found in zip(lumps, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.int32)
             ends, bounds = np.cumsum(self.a_long[ids]), np.cumsum([len(w.encode()) + 1 for w in lump])
             at = np.searchsorted(ends, bounds)
             if at[-1] != len(ids) - 1 or (ends[at] != bounds).any():
                 raise ValueError("A does not begin a token at every word")
-            self._keep(0, ids, np.diff(at, prepend=-1))
+            a_ids.append(ids)
+            a_many.append(np.diff(at, prepend=-1))
         words = joined + apart
         found = self.b.encode(words, num_threads=1)
         for w, ids in zip(words, found, strict=True):
             number = self.known[w] = len(self.known)
             if b"".join(map(self.b_bytes.__getitem__, ids)) != b" " + w.encode():
                 self.wrong.add(number)
-        many = np.fromiter(map(len, found), np.int64, len(found))
-        self._keep(1, np.fromiter(chain.from_iterable(found), np.int32, many.sum()), many)
-
-    def _keep(self, side: int, ids: np.ndarray, many: np.ndarray) -> None:
-        self.ids[side] = np.concatenate([self.ids[side], ids])
-        self.many[side] = np.concatenate([self.many[side], many])
+        b_many = np.fromiter(map(len, found), np.int64, len(found))
+        b_ids = np.fromiter(chain.from_iterable(found), np.int32, b_many.sum())
+        self.ids = [np.concatenate([self.ids[0], *a_ids]), np.concatenate([self.ids[1], b_ids])]
+        self.many = [np.concatenate([self.many[0], *a_many]), np.concatenate([self.many[1], b_many])]
 
     def tokens(self, words: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """The words' ids end to end, and how many each has."""
@@ -253,10 +252,7 @@ class _Part:
         for c in self.counts:
             c.append(0)
         for stretch in _stretches(text) if text else ():
-            if len(self.v.known) > REMEMBERED:
-                self.settle()
-                self.v.clear()
-            self.held.append((number, self.v.words(CUT.split(stretch))))
+            self.held.append((number, CUT.split(stretch)))
             self.held_size += len(stretch)
             if self.held_size >= BLOCK:
                 self.settle()
@@ -266,6 +262,10 @@ class _Part:
         """Divide the stretches at hand."""
         held, v = self.held, self.v
         self.held, self.held_size = [], 0
+        if len(v.known) > REMEMBERED:
+            v.clear()
+        v.learn({w for _, words in held for w in words})
+        held = [(number, v.numbers(words)) for number, words in held]
         if v.wrong:
             self.wrong |= {number for number, words in held if not v.wrong.isdisjoint(words.tolist())}
         held = [(number, words) for number, words in held if number not in self.wrong]
