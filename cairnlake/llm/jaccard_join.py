@@ -15,17 +15,27 @@ on what is indexed:
 G must be the same for both sets: it follows from a size class (sizes in steps of 1/t), and a set is
 indexed under its own class and the next one, where any similar set is too.
 
+An index entry also keeps its *reach*: how much of the set had been counted when the prefix got there.
+Sets of n and m tokens that are similar share an entry whose reach is at most what n may lack of m, in
+both sets; so an entry of reach r meets no set above a certain size, and none at all where a set has more
+tokens of its own than any partner could lack. Many texts of one template that are not similar never
+become a pair.
+
 Document frequencies are counted by sorted fingerprints between parts and shards (`packed`). Equal
-sets are one node from then on. Candidates are not all pairs of a posting: a first round verifies
-each node against one centre for each posting (the one with the fewest tokens of its own, as the
-source of a group of copies has); connected components are contracted; only postings that still
-hold several components go into a second round, where their remaining pairs are verified too. So no
-link between components is lost, and a group of thousands of near copies costs a star.
+sets are one node from then on. Candidates are not all pairs of a posting: in a round each posting has
+one centre, verified against its nodes of other components, and connected components are contracted;
+the first centre is the entry of least reach, as the source of a group of copies has, the next ones are
+drawn by hash, until a round finds no link. Postings that then still hold several components are joined
+with themselves by size class and the classes that each entry's reach admits, and the pairs left there
+are verified too. So no link between components is lost, and a group of thousands of near copies costs
+a star.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +48,13 @@ from cairnlake.llm.shared import components, written
 WORDS = 5
 PERCENT = 75
 FREQUENT = 16
+#: Sizes of one class differ by less than this factor.
+CLASS = 1.05
 SHARD_BYTES = 12 << 20
 
-_ROWS = "kind int, node long, n int, ref long, own int, items array<bigint>"
+_ROWS = "kind int, node long, n int, ref long, reach int, items array<bigint>"
 _ARROW = pa.schema(
-    [("kind", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("ref", pa.int64()), ("own", pa.int32()), ("items", pa.list_(pa.int64()))]
+    [("kind", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("ref", pa.int64()), ("reach", pa.int32()), ("items", pa.list_(pa.int64()))]
 )
 MEMBER, SIGNATURE, SET = 0, 1, 2
 
@@ -77,14 +89,16 @@ def _links(docs, key, text, words, percent):
     """Rows (node, n, ref: the smallest key with the same set), and links (a, b) that connect all components."""
     size = P.text_bytes(docs, text)
     shards = max(1, math.ceil(size / SHARD_BYTES))
+    # fingerprints of a token: wide enough that two of the corpus seldom share one
+    drop = np.uint64(max(0, 64 - max(40, size.bit_length() + 8)))
     documents = P.packed_parts(docs.select(F.col(key).cast("long").alias(key), text), key, text, P.part_count(size))
     by_part = documents.groupBy("part")
 
     def tokens(group, table):
         s = _Sets(P.unpacked(table), words)
-        f, times = _counted(s)
+        f, times = _counted(s, drop)
         s1, s2, least = s.s1[s.lead], s.s2[s.lead], s.least
-        at_f, at_s = P.shard_of(f << np.uint64(24), shards), P.shard_of(s1, shards)
+        at_f, at_s = P.shard_of(f << drop, shards), P.shard_of(s1, shards)
         none = np.zeros(0, np.uint64)
         out = {k: [none] * 5 for k in sorted({*at_f.tolist(), *at_s.tolist()})} if len(s1) else {}
         for k, w in P.by_shard(at_f):
@@ -126,52 +140,85 @@ def _links(docs, key, text, words, percent):
         replies = [a for _, a in P.received(right, "shard")]
         df = np.concatenate([a[0] for a in replies]) if replies else np.zeros(0, np.uint8)
         first = np.concatenate([a[1] for a in replies]).astype(np.uint64).view(np.int64) if replies else np.zeros(0, np.int64)
-        return _indexed(s, df, first, percent)
+        return _indexed(s, df, first, percent, drop)
 
     replies = by_part.applyInArrow(tokens, P.SENT).groupBy("shard").applyInArrow(counted, P.SENT)
     rows = by_part.cogroup(replies.groupBy("part")).applyInArrow(indexed, _ROWS)
     rows = written(rows, "jaccard", "kind")
     members = rows.where(F.col("kind") == MEMBER).select("node", "n", "ref")
-    postings = rows.where(F.col("kind") == SIGNATURE).select("node", "n", "own", F.col("ref").alias("signature"))
+    postings = rows.where(F.col("kind") == SIGNATURE).select("node", "n", "reach", F.col("ref").alias("signature"))
     sets = rows.where(F.col("kind") == SET).select("node", "items")
 
-    # round 1: each posting's centre against its other nodes
-    centre = (
-        postings.groupBy("signature")
-        .agg(F.min(F.struct("own", "node", "n")).alias("c"), F.count("*").alias("size"))
-        .where("size > 1")
-        .drop("size")
-    )
-    star = postings.join(centre, "signature").where(F.col("node") != F.col("c.node"))
-    star = star.where(_may_link(F.col("n"), F.col("own"), F.col("c.n"), F.col("c.own"), percent))
-    tried = written(_pairs(star, F.col("node"), F.col("c.node")), "pairs")
-    links = written(_verified(tried, sets, percent), "links")
-
-    # round 2: what is left between components
-    known = components(links)
-    left = (
-        postings.join(known, "node", "left")
-        .select("signature", "node", "n", "own", F.coalesce("component", "node").alias("component"))
-    )
-    open_ = left.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = open_.where("lo < hi").select("signature")
-    left = written(left.join(open_, "signature", "left_semi"), "open")
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") < F.col("y.component")))
-    rest = rest.where(_may_link(F.col("x.n"), F.col("x.own"), F.col("y.n"), F.col("y.own"), percent))
-    rest = written(_pairs(rest, F.col("x.node"), F.col("y.node")).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if rest.isEmpty():
-        return members, links
+    # rounds of stars: each posting's centre against its nodes of other components
+    first = F.struct("reach", "node", "n")
+    left = postings.withColumn("component", F.col("node"))
+    links, tried, number = None, None, 0
+    while True:
+        pairs, found = _star(left, first, sets, percent)
+        links = found if links is None else links.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if number and found.isEmpty():
+            break
+        number += 1
+        left = _open(postings, components(links))
+        first = F.struct(F.xxhash64("node", F.lit(number)).alias("drawn"), "reach", "node", "n")
+
+    # what is left between components
+    rest = _meeting(left, percent).join(tried, ["a", "b"], "left_anti")
+    rest = written(rest, "pairs")
     return members, links.unionByName(written(_verified(rest, sets, percent), "links"))
 
 
+def _star(left: DataFrame, first: Column, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs of each posting's centre (the least by `first`) with nodes of other components, and the links found."""
+    centre = F.min(F.struct(first.alias("order"), "component")).alias("c")
+    centre = left.groupBy("signature").agg(centre, F.count("*").alias("size")).where("size > 1")
+    of_centre = [F.col(f"c.order.{c}").alias(f"c_{c}") for c in ("node", "n", "reach")]
+    centre = centre.select("signature", *of_centre, F.col("c.component").alias("c_component"))
+    star = left.join(centre, "signature").where("component <> c_component")
+    star = star.where(_may_link(F.col("n"), F.col("reach"), F.col("c_n"), F.col("c_reach"), percent))
+    tried = written(_pairs(star, F.col("node"), F.col("c_node")), "pairs")
+    return tried, written(_verified(tried, sets, percent), "links")
+
+
+def _open(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """Postings that hold several components."""
+    left = postings.join(known, "node", "left")
+    left = left.select("signature", "node", "n", "reach", F.coalesce("component", "node").alias("component"))
+    several = left.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return written(left.join(several.where("lo < hi").select("signature"), "signature", "left_semi"), "open")
+
+
+def _meeting(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a posting's nodes of different components that each other's sizes and reaches admit.
+
+    Sizes fall into classes of CLASS; an entry is told under each class that its partner may be of, so
+    those that admit no common pair of classes never meet.
+    """
+    n, reach = F.col("n"), F.col("reach")
+    most = F.floor((100 + percent) * (n - reach) / percent) - n
+    least = F.ceil(percent * n / 100)
+    told = left.where(most >= least).withColumn("own", _class(n))
+    told = told.withColumn("partner", F.explode(F.sequence(_class(least), _class(most))))
+    x, y = told.alias("x"), told.alias("y")
+    same = [("signature", "signature"), ("own", "partner"), ("partner", "own")]
+    same = reduce(and_, [F.col(f"x.{p}") == F.col(f"y.{q}") for p, q in same])
+    may = _may_link(F.col("x.n"), F.col("x.reach"), F.col("y.n"), F.col("y.reach"), percent)
+    met = x.join(y, same & (F.col("x.component") < F.col("y.component")) & may)
+    return _pairs(met, F.col("x.node"), F.col("y.node"))
+
+
 def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def _may_link(n, own, m, other, percent) -> Column:
-    """Could sets of n and m tokens, `own` and `other` of them found nowhere else, be similar?"""
-    common = F.least(n - own, m - other)
+def _class(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / math.log(CLASS))
+
+
+def _may_link(n, reach, m, other, percent) -> Column:
+    """Could sets of n and m tokens be similar that lack so much of each other?"""
+    common = F.least(n - reach, m - other)
     return (100 + percent) * common >= percent * (n + m)
 
 
@@ -236,14 +283,14 @@ class _Sets:
         return np.repeat(self.first[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
-def _counted(s: _Sets) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted fingerprints (40 bits) of a part's tokens, and the different sets that have each."""
-    f = np.sort(s.token[s.of(s.lead)] >> np.uint64(24))
+def _counted(s: _Sets, drop: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted fingerprints (all bits but the lowest `drop`) of a part's tokens, and the different sets that have each."""
+    f = np.sort(s.token[s.of(s.lead)] >> drop)
     at = P.cuts(f)
     return (f[at[:-1]], np.diff(at)) if len(f) else (f, np.zeros(0, np.int64))
 
 
-def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int) -> pa.Table:
+def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int, drop: np.uint64) -> pa.Table:
     """A part's rows, and of each set that is first here: its signatures, and its tokens if it has any.
 
     df: of the fingerprints of `_counted`; first: the smallest key of each of the part's sets.
@@ -256,20 +303,19 @@ def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int) -> pa.Ta
         return member
     token = s.token[place]
     doc = np.repeat(np.arange(len(own)), s.n[own])
-    known, _ = _counted(s)
-    freq = df[np.searchsorted(known, token >> np.uint64(24))]
+    known, _ = _counted(s, drop)
+    freq = df[np.searchsorted(known, token >> drop)]
     order = np.lexsort((token, freq, doc))
     token, freq = token[order], freq[order]
     n = s.n[own].astype(np.int64)
     begin = np.cumsum(n) - n
     rank = np.arange(len(token)) - begin[doc]
-    alone = np.bincount(doc[freq == 1], minlength=len(own))
     need = n - -(-percent * n // 100) + 1
     rare = np.bincount(doc[freq < FREQUENT], minlength=len(own))
 
     # the prefix's rare tokens, by themselves; one that nobody else has needs no entry
     single = (freq < FREQUENT) & (freq > 1) & (rank < need[doc])
-    sig, sig_doc = [token[single]], [doc[single]]
+    sig, sig_doc, sig_reach = [token[single]], [doc[single]], [rank[single]]
     # where these don't suffice: pairs of frequent tokens from the same sub-class
     base = 100 / percent
     size_class = np.floor(np.log(n) / math.log(base)).astype(np.int64)
@@ -291,9 +337,9 @@ def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int) -> pa.Ta
         total = np.cumsum(counts)
         start = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
         before = np.repeat((total - counts)[start], np.diff(np.r_[start, len(d)]))
-        stays = (total - before - counts) < (need - rare)[d]
-        by = by[stays[by]]
-        t, d, sub = t[by], d[by], sub[by]
+        reach = rare[d] + total - before - counts
+        by = by[(reach < need[d])[by]]
+        t, d, sub, reach = t[by], d[by], sub[by], reach[by]
         apart = 1
         while apart < len(t):
             pair = (d[apart:] == d[:-apart]) & (sub[apart:] == sub[:-apart])
@@ -302,8 +348,9 @@ def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int) -> pa.Ta
             mark = scheme[d[apart:][pair]].astype(np.uint64)
             sig.append(P.mix(P.mix(t[:-apart][pair] + mark) + t[apart:][pair]))
             sig_doc.append(d[apart:][pair])
+            sig_reach.append(reach[apart:][pair])
             apart += 1
-    sig, sig_doc = np.concatenate(sig), np.concatenate(sig_doc)
+    sig, sig_doc, sig_reach = np.concatenate(sig), np.concatenate(sig_doc), np.concatenate(sig_reach)
     key = s.least[first == s.least]
     has = np.unique(sig_doc)
     items = s.token[s.of(own[has])].view(np.int64)
@@ -311,20 +358,20 @@ def _indexed(s: _Sets, df: np.ndarray, first: np.ndarray, percent: int) -> pa.Ta
     return pa.concat_tables(
         [
             member,
-            _table(SIGNATURE, key[sig_doc], n[sig_doc], sig.view(np.int64), alone[sig_doc]),
-            _table(SET, key[has], n[has], key[has], alone[has], pa.ListArray.from_arrays(pa.array(ends), pa.array(items))),
+            _table(SIGNATURE, key[sig_doc], n[sig_doc], sig.view(np.int64), sig_reach),
+            _table(SET, key[has], n[has], key[has], None, pa.ListArray.from_arrays(pa.array(ends), pa.array(items))),
         ]
     )
 
 
-def _table(kind, node, n, ref, own=None, items=None, null=None) -> pa.Table:
+def _table(kind, node, n, ref, reach=None, items=None, null=None) -> pa.Table:
     count = len(node)
     columns = [
         pa.array(np.full(count, kind, np.int32)),
         pa.array(node, mask=null),
         pa.array(n.astype(np.int32)),
         pa.array(ref, mask=null),
-        pa.nulls(count, pa.int32()) if own is None else pa.array(own.astype(np.int32)),
+        pa.nulls(count, pa.int32()) if reach is None else pa.array(reach.astype(np.int32)),
         pa.nulls(count, pa.list_(pa.int64())) if items is None else items,
     ]
     return pa.Table.from_arrays(columns, schema=_ARROW)

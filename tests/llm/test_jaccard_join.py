@@ -61,6 +61,26 @@ def test_links_that_no_centre_has(spark, monkeypatch, frequent):
     assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
 
 
+def template(rows, words, own):
+    """Texts of one template, each with a run of its own words: alike, but for any two below 0.75."""
+    base = prose(400, words)
+    return [(i, base + " " + prose(5000 + i, own + i % 3)) for i in range(rows)]
+
+
+@pytest.mark.parametrize("sharing", [False, True])
+def test_a_template_of_most_rows_makes_no_pairs(spark, monkeypatch, sharing):
+    """Candidates grow with the rows, not with their pairs; also where extra words are shared by a few."""
+    made = []
+    verified = op._verified
+    monkeypatch.setattr(op, "_verified", lambda pairs, *rest: made.append(pairs) or verified(pairs, *rest))
+    rows = template(160, 90, 20)
+    if sharing:
+        rows = [(i, t + " " + prose(9000 + i // 4, 9)) for i, t in rows]
+    rows += [(1000 + i, prose(100 + i, 60)) for i in range(40)]
+    assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
+    assert sum(p.count() for p in made) <= 2 * len(rows)
+
+
 def test_empty_table(spark):
     assert found(op.similar_documents(frame(spark, [], 1))) == []
     assert found(op.similar_documents(frame(spark, [(3, None), (4, " ")], 1))) == [(3, 0, 3), (4, 0, 4)]
