@@ -160,7 +160,7 @@ def _links(docs, key, text, words, percent):
         if number and found.isEmpty():
             break
         number += 1
-        left = _open(postings, components(links))
+        left = _open(left.drop("component"), components(links))  # a posting once closed stays so
         first = F.struct(F.xxhash64("node", F.lit(number)).alias("drawn"), "reach", "node", "n")
 
     # what is left between components
