@@ -424,6 +424,19 @@ STATEMENTS = {
     "corrupt_file_guard": "SELECT source_file, CAST(NULL AS VARCHAR) AS fault FROM audit",
     "streaming_ingest": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
   quarantine_rows, duplicate_rows FROM audit""",
+    # a row is too late when its hour ended the delay before the newest row of earlier periods
+    "streaming_late_counts": """SELECT date_trunc('hour', created_at) AS hour_start,
+  COUNT(*) FILTER (WHERE NOT late) AS events, COUNT(*) FILTER (WHERE late) AS dropped
+  FROM (SELECT created_at, COALESCE(date_trunc('hour', created_at) + INTERVAL 13 HOUR <= newest, FALSE) AS late
+   FROM (SELECT created_at, date_diff('day', DATE '1970-01-01', CAST(ingested_at AS DATE)) // 10 AS period
+    FROM bronze) r
+   LEFT JOIN (SELECT period, MAX(MAX(created_at)) OVER (ORDER BY period
+     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+    FROM (SELECT created_at, date_diff('day', DATE '1970-01-01', CAST(ingested_at AS DATE)) // 10 AS period
+     FROM bronze) GROUP BY period) m USING (period)) GROUP BY 1""",
+    "streaming_distinct_events": """SELECT id, type, created_at + to_days(days) AS created_at
+  FROM (SELECT DISTINCT id, type, created_at, repo_id FROM bronze WHERE id NOT IN ('', 'None'))
+  JOIN (VALUES (0), (20)) v(days) ON days = 0 OR CAST(repo_id AS INT) % 3 = 0""",
     "activity_half_life": """SELECT repo_name, release_date, peak_date, peak, half_date,
   date_diff('day', peak_date, half_date) AS half_life_days FROM (
    SELECT p.repo_name, ANY_VALUE(p.release_date) AS release_date, ANY_VALUE(p.peak_date)

@@ -22,6 +22,8 @@ from cairnlake.streaming import files, hourly
 
 NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
+# Streams: rows arrive in periods; how late they may be, and how long they are accounted for.
+PERIOD_DAYS, LATE_DELAY, ACCOUNTED, REPEAT_DELAY = 10, "12 hours", "1000 days", "2 days"
 PAST = 15  # the version the comparisons look back to
 SILVER_PUBLIC = [c for c in schemas.SILVER.fieldNames() if c != "transformed_at"]
 
@@ -303,6 +305,33 @@ def streaming_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(hourly.latest(spark.read.parquet(f"{base}/updates")))
 
 
+def streaming_late_counts(t: Tables) -> DataFrame:
+    """Hourly counts under a watermark of LATE_DELAY, and the rows that came after it, by hour."""
+    base = work_dir(t.spark, "late")
+
+    def counted(name: str, watermark: str) -> DataFrame:
+        def start(stream: DataFrame):
+            counts = hourly.hourly_counts(stream, watermark)
+            return hourly.write_updates(counts, f"{base}/{name}/updates", f"{base}/{name}/checkpoint")
+
+        hourly.run_by_arrival(t.bronze.select("created_at", "ingested_at"), f"{base}/{name}", PERIOD_DAYS, start)
+        return hourly.latest(t.spark.read.parquet(f"{base}/{name}/updates"))
+
+    return hourly.with_dropped(counted("kept", LATE_DELAY), counted("total", ACCOUNTED))
+
+
+def streaming_distinct_events(t: Tables) -> DataFrame:
+    """Repeats within REPEAT_DELAY are left out of the stream; the ones sent again later are kept."""
+    base = work_dir(t.spark, "distinct")
+    rows = fixtures.sent_again(t.bronze.where("id NOT IN ('', 'None')"))
+
+    def start(stream: DataFrame):
+        return hourly.write_rows(hourly.distinct_within(stream, REPEAT_DELAY), f"{base}/rows", f"{base}/checkpoint")
+
+    hourly.run_by_arrival(rows.select("id", "type", "created_at", "ingested_at"), base, PERIOD_DAYS, start)
+    return t.spark.read.schema("id STRING, type STRING, created_at TIMESTAMP").parquet(f"{base}/rows")
+
+
 OVER_TABLES = {
     "bronze_flatten": bronze_flatten,
     "declared_scan": declared_scan,
@@ -372,6 +401,8 @@ OVER_TABLES = {
     "stored_repo_daily": stored_repo_daily,
     "corrupt_file_guard": corrupt_file_guard,
     "streaming_ingest": streaming_ingest,
+    "streaming_late_counts": streaming_late_counts,
+    "streaming_distinct_events": streaming_distinct_events,
     "activity_half_life": lambda t: halflife.half_life(t.silver),
 }
 

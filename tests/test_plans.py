@@ -10,7 +10,7 @@ from cairnlake.plans import registered
 
 SMALL = "/root/testdata/sf0.001"
 FILE_BACKED = {"incremental_resume", "stored_repo_daily", "corrupt_file_guard",
-               "streaming_ingest", "partition_scan_compare", "streaming_hourly_counts"}
+               "streaming_ingest", "streaming_late_counts", "streaming_distinct_events", "partition_scan_compare", "streaming_hourly_counts"}
 
 
 def plan_of(df):
