@@ -39,38 +39,36 @@ def versions(ledger: DataFrame, rows_column: str = "silver_rows") -> DataFrame:
 def version_history(committed: DataFrame, bucket_size: int = 4096) -> DataFrame:
     """Versions in order, with a running row total and an index from 0.
 
-    The running sums are taken inside buckets of consecutive versions and then moved
-    up by the total of the earlier buckets, so no task holds the whole history.
+    The running sums are taken inside buckets of consecutive versions, then moved up by the total of
+    the earlier buckets, which are summed in buckets of buckets in turn: no window holds more than
+    `bucket_size` rows, whatever the length of the history.
     """
-    bucketed = committed.withColumn("bucket", F.floor(F.col("batch_seq") / bucket_size))
-    earlier = Window.partitionBy(F.lit(1)).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        bucketed.groupBy("bucket")
-        .agg(F.sum("added_rows").alias("s"), F.count("*").alias("n"))
-        .select(
-            "bucket",
-            F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("versions_before"),
-        )
-    )
-    inside = Window.partitionBy("bucket").orderBy("batch_seq")
-    up_to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        bucketed.withColumn("running", F.sum("added_rows").over(up_to_here))
-        .withColumn("position", F.row_number().over(inside))
-        .join(offsets, "bucket")
-        .select(
-            (F.col("versions_before") + F.col("position") - 1).alias("idx"),
-            "batch_seq",
-            "committed_at",
-            (F.col("rows_before") + F.col("running")).alias("total_rows"),
-            "added_rows",
-        )
+    numbered = committed.withColumn("position", F.col("batch_seq"))
+    largest = committed.agg(F.max("batch_seq")).first()[0] or 0
+    before = _sums_before(numbered.select("position", "added_rows", F.lit(1).alias("n")), largest, bucket_size)
+    return committed.join(before, committed.batch_seq == before.position).select(
+        F.col("versions_before").alias("idx"),
+        "batch_seq",
+        "committed_at",
+        (F.col("rows_before") + F.col("added_rows")).alias("total_rows"),
+        "added_rows",
     )
 
 
+def _sums_before(rows: DataFrame, largest: int, size: int) -> DataFrame:
+    """(position, rows_before, versions_before): sums over smaller positions, the largest of which is given."""
+    rows = rows.withColumn("bucket", F.floor(F.col("position") / size))
+    inside = Window.partitionBy("bucket").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"rows_before": "added_rows", "versions_before": "n"}
+    found = rows.withColumns({name: F.coalesce(F.sum(c).over(inside), F.lit(0)) for name, c in sums.items()})
+    if largest >= size:
+        totals = rows.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in sums.values()))
+        above = _sums_before(totals.withColumnRenamed("bucket", "position"), largest // size, size)
+        above = above.withColumnsRenamed({"position": "bucket", **{c: f"outer_{c}" for c in sums}})
+        found = found.join(above, "bucket").withColumns({c: F.col(c) + F.col(f"outer_{c}") for c in sums})
+    return found.select("position", *sums)
+
+
 def parse_instant(text: str) -> dt.datetime:
     """An ISO time as UTC. A given offset is honoured; without one it is UTC."""
     moment = dt.datetime.fromisoformat(text)

@@ -55,6 +55,9 @@ def stage_batch(
     silver = refine.silver(stored, run_at, keep=["source_file"])
     lake.write_batch("silver", seq, silver.hint("rebalance", F.col("event_date")))
     lake.write_batch("quarantine", seq, refine.quarantine(stored, run_at))
+    if lake.known_ids:
+        clean = lake.spark.read.schema(lake.schema("silver")).parquet(lake.batch_path("silver", seq))
+        lake.known_ids.add(seq, clean)
     return _batch_counts(lake, seq, refine.file_audit(stored).collect())  # one row per file
 
 

@@ -421,6 +421,13 @@ STATEMENTS = {
     "incremental_resume": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
   quarantine_rows, duplicate_rows FROM audit""",
     "stored_repo_daily": "SELECT * FROM repo_daily",
+    "stored_new_rows": """SELECT id, type, actor_login, repo_name, created_at FROM silver
+  WHERE event_date > DATE '2024-01-15' AND id NOT IN
+   (SELECT id FROM silver WHERE event_date <= DATE '2024-01-15')""",
+    "stored_versions": """SELECT idx, idx + 1 AS batch_seq,
+  CAST(SUM(n) OVER (ORDER BY idx) AS BIGINT) AS total_rows, n AS added_rows
+  FROM (SELECT CASE WHEN event_date <= DATE '2024-01-15' THEN 0 ELSE 1 END AS idx, COUNT(*) AS n
+   FROM silver GROUP BY 1)""",
     "corrupt_file_guard": "SELECT source_file, CAST(NULL AS VARCHAR) AS fault FROM audit",
     "streaming_ingest": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
   quarantine_rows, duplicate_rows FROM audit""",

@@ -24,6 +24,7 @@ NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 # Streams: rows arrive in periods; how late they may be, and how long they are accounted for.
 PERIOD_DAYS, LATE_DELAY, ACCOUNTED, REPEAT_DELAY = 10, "12 hours", "1000 days", "2 days"
+ID_BUCKETS = 16
 PAST = 15  # the version the comparisons look back to
 SILVER_PUBLIC = [c for c in schemas.SILVER.fieldNames() if c != "transformed_at"]
 
@@ -257,7 +258,7 @@ def ledger_rows(lake: Lake) -> DataFrame:
 def resumed_lake(t: Tables) -> Lake:
     """Half of the days, then a batch that crashes before its commit, then all that is left."""
     raw_root = landed(t)
-    lake = Lake(t.spark, work_dir(t.spark, "lake") + "/lake")
+    lake = Lake(t.spark, work_dir(t.spark, "lake") + "/lake", id_buckets=ID_BUCKETS)
     first_half = reports.date_range(t.spark, FIRST_DAY, "2024-01-15")
     ingest.ingest_pending(lake, raw_root, first_half, NOW)
     next_day = reports.expected_files(reports.date_list(t.spark, ["2024-01-16"]))
@@ -273,6 +274,17 @@ def stored_repo_daily(t: Tables) -> DataFrame:
     return resumed_lake(t).gold("repo_daily").drop("aggregated_at")
 
 
+def stored_new_rows(t: Tables) -> DataFrame:
+    """What the second half of the days brought, against the ids of the first, over stored batches."""
+    return resumed_lake(t).new_rows(1).select(*history.SAMPLE_COLUMNS)
+
+
+def stored_versions(t: Tables) -> DataFrame:
+    """The versions of a stored lake, from its ledger; commit times are those of the run."""
+    committed = history.versions(resumed_lake(t).ledger())
+    return history.version_history(committed).drop("committed_at")
+
+
 def corrupt_file_guard(t: Tables) -> DataFrame:
     listed = raw.list_files(t.spark, landed(t))
     faults = raw.gzip_faults(t.spark, listed).select("source_file", "fault")
@@ -399,6 +411,8 @@ OVER_TABLES = {
     "quarantine_replay": quarantine_replay,
     "incremental_resume": lambda t: ledger_rows(resumed_lake(t)),
     "stored_repo_daily": stored_repo_daily,
+    "stored_new_rows": stored_new_rows,
+    "stored_versions": stored_versions,
     "corrupt_file_guard": corrupt_file_guard,
     "streaming_ingest": streaming_ingest,
     "streaming_late_counts": streaming_late_counts,

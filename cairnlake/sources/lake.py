@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from cairnlake import schemas
 from cairnlake.operators import history
 from cairnlake.session import use_utc
+from cairnlake.sources.known_ids import KnownIds
 
 VERSIONED = {
     "bronze": schemas.BRONZE_STORED,
@@ -81,10 +82,15 @@ def write_verified(writer_input: DataFrame, path: str, partition_by: list[str])
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, generation: int | None = None):
+    """`id_buckets`: keep silver's ids bucketed as well, so that new rows are found without moving old ids."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, generation: int | None = None, id_buckets: int | None = None
+    ):
         self.spark = use_utc(spark)
         self.root = root.rstrip("/")
         self.generation = self._current_generation() if generation is None else generation
+        self.id_buckets = id_buckets
 
     # ---- places ----
 
@@ -112,7 +118,7 @@ class Lake:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/gen=*")
         found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place)
         used = [int(f.getPath().getName().removeprefix("gen=")) for f in found or []]
-        return Lake(self.spark, self.root, max([self._current_generation(), *used]) + 1)
+        return Lake(self.spark, self.root, max([self._current_generation(), *used]) + 1, self.id_buckets)
 
     def make_current(self) -> None:
         row = self.spark.createDataFrame([(self.generation,)], _GENERATIONS)
@@ -199,6 +205,17 @@ class Lake:
         """Any n rows of a versioned table, also of an earlier version of it."""
         return self.versioned(table, version).limit(n)
 
+    @property
+    def known_ids(self) -> KnownIds | None:
+        return KnownIds(self.spark, self.path("silver_ids"), self.id_buckets) if self.id_buckets else None
+
+    def new_rows(self, version: int) -> DataFrame:
+        """Silver rows of later batches whose id was not there in `version` (or that have none)."""
+        table = self.versioned("silver")
+        if self.known_ids is None:
+            return history.rows_since(table, version)
+        return self.known_ids.unseen(table.where(F.col("batch_seq") > version), version)
+
     def gold(self, table: str) -> DataFrame:
         return read_or_empty(self.spark, self.path(table), self.schema(table))
 

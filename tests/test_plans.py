@@ -7,9 +7,10 @@ from cairnlake import schemas
 from cairnlake.functions import events as ev
 from cairnlake.operators import quality, refine, reports, rollups
 from cairnlake.plans import registered
+from cairnlake.sources.known_ids import KnownIds
 
 SMALL = "/root/testdata/sf0.001"
-FILE_BACKED = {"incremental_resume", "stored_repo_daily", "corrupt_file_guard",
+FILE_BACKED = {"incremental_resume", "stored_repo_daily", "stored_new_rows", "stored_versions", "corrupt_file_guard",
                "streaming_ingest", "streaming_late_counts", "streaming_distinct_events", "partition_scan_compare", "streaming_hourly_counts"}
 
 
@@ -80,3 +81,26 @@ def test_single_pass_checks_share_one_scan(spark, stored):
     text = plan_of(quality.check_table(silver, "silver", checks, registered.NOW))
     uniqueness = sum(c.metric == "duplicate_count" for c in checks)
     assert text.count("FileScan") == 1 + uniqueness
+
+
+def test_past_ids_are_not_moved_to_find_new_rows(spark, tmp_path):
+    known = KnownIds(spark, str(tmp_path / "ids"), 8)
+    for seq, ids in enumerate([["a", "b", None], ["b", "c"], ["d"]], start=1):
+        known.add(seq, bronze_rows(spark, [{"id": i} for i in ids]))
+    known.add(3, bronze_rows(spark, [{"id": "e"}]))  # a batch that is tried again
+    rows = bronze_rows(spark, [{"id": i} for i in ("a", "c", "d", "e", None, None)])
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = known.unseen(rows, 2)
+        text = plan_of(found)
+        assert text.count("Exchange") == 1 and "Bucketed: true" in text
+        assert "Exchange" not in text[text.index("Bucketed: true") - 400 : text.index("Bucketed: true")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(str(r.id) for r in found.collect()) == ["None", "None", "d", "e"]
+    again = KnownIds(spark.newSession(), str(tmp_path / "ids"), 8)
+    assert sorted(str(r.id) for r in again.unseen(rows.sparkSession.read.parquet(str(tmp_path / "rows")), 3).collect()) == [
+        "None", "None", "d"]
