@@ -11,7 +11,7 @@ from cairnlake.sources.known_ids import KnownIds
 
 SMALL = "/root/testdata/sf0.001"
 FILE_BACKED = {"incremental_resume", "stored_repo_daily", "stored_new_rows", "stored_versions", "corrupt_file_guard",
-               "streaming_ingest", "streaming_late_counts", "streaming_distinct_events", "partition_scan_compare", "streaming_hourly_counts"}
+               "streaming_ingest", "streaming_late_counts", "streaming_distinct_events", "partition_scan_compare", "partition_scan_cost", "streaming_hourly_counts"}
 
 
 def plan_of(df):
