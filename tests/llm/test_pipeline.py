@@ -83,5 +83,5 @@ def test_empty_documents(spark, tmp_path):
 
 def test_registered():
     names = list(registered.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(registered.oracle_sql()) <= set(names)
