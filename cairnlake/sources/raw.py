@@ -6,8 +6,10 @@ import datetime as dt
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ DECLARED_SHAPE = (
     "repo STRUCT<id: STRING, name: STRING>, created_at STRING, payload STRING, public BOOLEAN"
 )
 DECLARED_LINE = DECLARED_SHAPE + ", _corrupt_record STRING"
-# Largest file the binary source can hand over as one value.
-BINARY_LIMIT = 2**31 - 1
+# Output of the gzip test held at a time.
+INFLATED_AT_ONCE = 1 << 20
 
 
 def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
@@ -161,63 +163,82 @@ def zero_byte_files(
             if whole.fullmatch(n) and (names is None or n in names)}
 
 
-def _inflates_fully(data: bytes, step: int = 1 << 20) -> str | None:
-    """None when every gzip member of `data` is complete, else the fault."""
-    view, pos = memoryview(data), 0
-    while pos < len(view):
-        member = zlib.decompressobj(wbits=31)
-        try:
-            while not member.eof:
-                if pos >= len(view):
-                    return "truncated gzip"
-                chunk = view[pos : pos + step]
-                pos += len(chunk)
-                while chunk:
-                    member.decompress(chunk, step)
-                    chunk = member.unconsumed_tail
-        except zlib.error as exc:
-            return f"bad gzip: {exc}"
-        pos -= len(member.unused_data)
-    return None
-
-
-def _check_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        yield pd.DataFrame({"path": files["path"], "fault": files["content"].map(_inflates_fully)})
+class _Inflation:
+    """Decompresses the gzip members of one file as its bytes come, keeping none of the output."""
+
+    def __init__(self) -> None:
+        self.member, self.fault = None, None
+
+    def feed(self, data: bytes) -> None:
+        while data and not self.fault:
+            if self.member is None or self.member.eof:
+                self.member = zlib.decompressobj(wbits=31)
+            try:
+                self.member.decompress(data, INFLATED_AT_ONCE)
+            except zlib.error as exc:
+                self.fault = f"bad gzip: {exc}"
+            data = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+
+    def finish(self) -> str | None:
+        if self.fault is None and not (self.member and self.member.eof):
+            self.fault = "truncated gzip"
+        return self.fault
+
+
+def _inflate_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, fault) of every faulty file among the lines of whole files, one file after another."""
+
+    def lines() -> Iterator[tuple[str, int, bytes]]:
+        for batch in batches:
+            columns = batch.to_pydict()
+            yield from zip(columns["path"], columns["size"], columns["line"])
+
+    for (path, size), rows in groupby(lines(), key=itemgetter(0, 1)):
+        inflation, fed = _Inflation(), 0
+        for _, _, line in rows:
+            data = b"\n" + line if fed else line
+            # a first line may be empty, so what was fed is counted with its line end
+            inflation.feed(data)
+            fed += len(line) + 1
+        if fed == size:  # the last byte ends a line
+            inflation.feed(b"\n")
+        fault = inflation.finish()
+        if fault:
+            yield pa.RecordBatch.from_pydict({"path": [path], "fault": [fault]})
+
+
+def faulty_parts(spark: SparkSession, places: str | list[str]) -> DataFrame:
+    """(source_file, path, fault) of the gzip parts in or below `places` that do not decompress whole.
+
+    The text scan hands over the compressed bytes as they are: Hadoop's pass-through codec stands in
+    for gzip, so a part is one split, of any size, and its lines reach the test in order and by the
+    batch. No content passes through the driver. Files without a byte are not listed by Spark; see
+    `zero_byte_files`.
+    """
+    compressed = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+        # the shaded Hadoop client that Spark ships has moved this key along with its packages
+        .option("io.compress.passthrough.extension", ".gz")
+        .option("org.apache.hadoop.shaded.io.compress.passthrough.extension", ".gz")
+        .option("lineSep", "\n")
+        .text(places)
+    )
+    return (
+        compressed.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size"),
+            F.col("value").cast("binary").alias("line"),
+        )
+        .mapInArrow(_inflate_files, "path STRING, fault STRING")
+        .select(hour_of(F.col("path")).alias("source_file"), "path", "fault")
+        .where(F.col("source_file") != "")
+    )
 
 
 def gzip_faults(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """(source_file, path, fault) of the parts that cannot be decompressed whole.
-
-    Distributed by file. Parts too large for one value are probed with a scan of
-    their own instead, so that no part goes unchecked.
-    """
-    small = [r.path for r in files.where(F.col("length") < BINARY_LIMIT).select("path").collect()]
-    large = [r.path for r in files.where(F.col("length") >= BINARY_LIMIT).select("path").collect()]
-    faults = [(p, f) for p in large if (f := _scan_fault(spark, p))]
-    found = spark.createDataFrame(faults, "path STRING, fault STRING")
-    if small:
-        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = spark.conf.get(key)
-        spark.conf.set(key, "1")  # one file's bytes at a time in each Python worker
-        try:
-            rows = (
-                spark.read.format("binaryFile")
-                .load(small)
-                .select("path", "content")
-                .mapInPandas(_check_batches, "path STRING, fault STRING")
-                .where("fault IS NOT NULL")
-                .collect()
-            )
-        finally:
-            spark.conf.set(key, before)
-        found = found.union(spark.createDataFrame(rows, "path STRING, fault STRING"))
-    return found.select(hour_of(F.col("path")).alias("source_file"), "path", "fault")
-
-
-def _scan_fault(spark: SparkSession, path: str) -> str | None:
-    try:
-        spark.read.text(path).agg(F.count("value")).first()
-    except Exception as exc:  # the scan's own message is the reason we record
-        return str(exc).splitlines()[0]
-    return None
+    """`faulty_parts` among the listed files of one batch."""
+    paths = [r.path for r in files.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "source_file STRING, path STRING, fault STRING")
+    return faulty_parts(spark, paths)
