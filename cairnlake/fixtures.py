@@ -147,6 +147,64 @@ def write_hour_files(lines: DataFrame, root: str) -> None:
     )
 
 
+# Hours of every fifth day that are landed with a fault.
+CUT_SHORT, NO_GZIP, WITHOUT_A_BYTE, UNDER_WAY = 3, 4, 5, 6
+
+
+def land_with_faults(lines: DataFrame, root: str, spare: str) -> None:
+    """Land the lines as hourly files, some of which are faulty; `spare` keeps those hours whole.
+
+    The faulty hours are few by rule (four of every fifth day). Their bytes are copied between
+    streams of the file system.
+    """
+    day, hour = ev.file_date(F.col("source_file")), ev.file_hour(F.col("source_file"))
+    faulty = (F.dayofmonth(day) % 5 == 0) & hour.isin(CUT_SHORT, NO_GZIP, WITHOUT_A_BYTE, UNDER_WAY)
+    write_hour_files(lines.where(~faulty), root)
+    write_hour_files(lines.where(faulty), spare)
+    spark = lines.sparkSession
+    fs, streams = _file_system(spark, root), spark._jvm.org.apache.commons.io.IOUtils
+    for name, hour_number, parts in _spare_hours(spark, spare):
+        suffix = ".tmp" if hour_number == UNDER_WAY else ""
+        target = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}{suffix}"), True)
+        if hour_number == NO_GZIP:
+            target.write(bytearray(b"<html>not found</html>\n"))
+        elif hour_number != WITHOUT_A_BYTE:
+            source = fs.open(parts[0].getPath())
+            streams.copyLarge(source, target, 0, parts[0].getLen() // 2)
+            source.close()
+        target.close()
+
+
+def mend(spark: SparkSession, root: str, spare: str) -> None:
+    """Land the hours that were cut short or no gzip again, whole: parts in a row are one gzip file."""
+    fs, streams = _file_system(spark, root), spark._jvm.org.apache.commons.io.IOUtils
+    for name, hour_number, parts in _spare_hours(spark, spare):
+        if hour_number in (CUT_SHORT, NO_GZIP):
+            target = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), True)
+            for part in parts:
+                source = fs.open(part.getPath())
+                streams.copyLarge(source, target)
+                source.close()
+            target.close()
+
+
+def _file_system(spark: SparkSession, place: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _spare_hours(spark: SparkSession, spare: str) -> list[tuple]:
+    """(name, hour, parts by name) of the hours kept whole."""
+    found: dict[str, list] = {}
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{spare}/source_file=*/*.gz")
+    for status in _file_system(spark, spare).globStatus(pattern) or []:
+        name = status.getPath().getParent().getName().removeprefix("source_file=")
+        found.setdefault(name, []).append(status)
+    return [
+        (name, int(name.split("-")[3].split(".")[0]), sorted(parts, key=lambda p: p.getPath().getName()))
+        for name, parts in found.items()
+    ]
+
+
 def ledger_from(audit: DataFrame) -> DataFrame:
     """A ledger over the fixture's files: the 07 hour of every fifth day is pending.
 

@@ -224,6 +224,16 @@ def gate(results: DataFrame, max_failures: int = 3) -> int:
     return bad
 
 
+def gate_at(results: DataFrame, limits: list[int]) -> DataFrame:
+    """(max_failures, total, bad, open): what `gate` would say at each limit; shut without results."""
+    counted = results.agg(
+        F.count("*").alias("total"), F.count_if(F.col("outcome").isin("fail", "error")).alias("bad")
+    )
+    return counted.select(
+        F.explode(F.array(*map(F.lit, limits))).alias("max_failures"), "total", "bad"
+    ).withColumn("open", (F.col("total") > 0) & (F.col("bad") <= F.col("max_failures")))
+
+
 def report(results: DataFrame) -> DataFrame:
     """One nested row per run: run_at, summary, layers with their details.
 

@@ -50,6 +50,18 @@ def first_records_by_type(bronze: DataFrame, first: int = 5000) -> DataFrame:
     )
 
 
+def records_by_type(lines: DataFrame) -> DataFrame:
+    """Raw lines by their type; a line without one, or that is no JSON, is unknown."""
+    type_ = F.coalesce(F.get_json_object("value", "$.type"), F.lit("unknown"))
+    return lines.groupBy(type_.alias("type")).agg(F.count("*").alias("n"))
+
+
+def repos_starting(silver: DataFrame, text: str) -> DataFrame:
+    """Events of every repository whose name starts with the text."""
+    found = silver.where(ev.starts_with(F.col("repo_name"), text))
+    return found.groupBy("repo_name").agg(F.count("*").alias("n"))
+
+
 def hourly_traffic(silver: DataFrame) -> DataFrame:
     return silver.groupBy(F.hour("created_at").alias("hour")).agg(F.count("*").alias("events"))
 

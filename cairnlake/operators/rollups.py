@@ -65,6 +65,35 @@ def actor_daily(silver: DataFrame, aggregated_at: dt.datetime | None = None) ->
     return _stamped(rows, aggregated_at)
 
 
+# A sketch of 2**SKETCH_BITS registers is off by 1.04 / 2**(SKETCH_BITS / 2) of the count (one standard
+# error); estimates are promised within four of these.
+SKETCH_BITS = 12
+SKETCH_BOUND = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def contributor_sketches(silver: DataFrame, *also: str) -> DataFrame:
+    """(event_date, repo_name, contributors): a sketch of the contributors of each repository and day.
+
+    For streams, where an exact distinct count is not to be had, and for batches whose counts are to
+    be merged later. Rows without a contributor count as none. `also` adds grouping columns.
+    """
+    return (
+        silver.where(F.col("repo_name").isNotNull())
+        .groupBy("event_date", "repo_name", *also)
+        .agg(F.hll_sketch_agg("actor_login", SKETCH_BITS).alias("contributors"))
+    )
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per repository and day, from those of any number of batches."""
+    return sketches.groupBy("event_date", "repo_name").agg(F.hll_union_agg("contributors").alias("contributors"))
+
+
+def estimated(sketches: DataFrame) -> DataFrame:
+    """The sketches' counts, within SKETCH_BOUND of the exact ones."""
+    return sketches.withColumn("approx_contributors", F.hll_sketch_estimate("contributors")).drop("contributors")
+
+
 def presented(gold: DataFrame) -> DataFrame:
     """Date order, busiest first; ties by key so that the order is total."""
     key = "repo_name" if "repo_name" in gold.columns else "actor_login"

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -181,14 +183,17 @@ def _next_batch(listed: DataFrame, lake: Lake, refused: set[str], n: int) -> lis
 def _ingest_parts(
     lake: Lake, parts: list[Row], run_at: dt.datetime | None, check_first: bool
 ) -> tuple[int, set[str]]:
-    """Try a batch; when reading fails, leave the faulty files out and try again."""
-    bad: set[str] = set()
-    if check_first:
-        bad = _reject_faulty(lake, parts, run_at)
+    """Try a batch; when reading fails, leave the faulty files out and try again.
+
+    Files that an earlier run has rejected are tested beforehand, so that one which is still
+    faulty does not cost its batch an attempt.
+    """
+    suspects = parts if check_first else _rejected_before(lake, parts)
+    bad = _reject_faulty(lake, suspects, run_at) if suspects else set()
     good = [p for p in parts if p.source_file not in bad]
     try:
         made, empty = _ingest_good(lake, good, run_at)
-    except Exception:
+    except (PySparkException, Py4JError):
         faulty = _reject_faulty(lake, good, run_at)
         if not faulty:
             raise  # the files are sound, so the failure is about something else
@@ -199,6 +204,13 @@ def _ingest_parts(
     return made, bad | empty
 
 
+def _rejected_before(lake: Lake, parts: list[Row]) -> list[Row]:
+    names = lake.spark.createDataFrame([(p.source_file,) for p in parts], "source_file STRING")
+    rejected = lake.ledger().where("status = 'rejected'").join(names, "source_file", "left_semi")
+    known = {r.source_file for r in rejected.select("source_file").distinct().collect()}
+    return [p for p in parts if p.source_file in known]
+
+
 def _reject_faulty(lake: Lake, parts: list[Row], run_at: dt.datetime | None) -> set[str]:
     files = lake.spark.createDataFrame(parts, "source_file STRING, path STRING, length BIGINT")
     faults = raw.gzip_faults(lake.spark, files).collect()

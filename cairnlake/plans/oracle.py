@@ -434,7 +434,49 @@ STATEMENTS = {
   CAST(SUM(n) OVER (ORDER BY idx) AS BIGINT) AS total_rows, n AS added_rows
   FROM (SELECT CASE WHEN event_date <= DATE '2024-01-15' THEN 0 ELSE 1 END AS idx, COUNT(*) AS n
    FROM silver GROUP BY 1)""",
-    "corrupt_file_guard": "SELECT source_file, CAST(NULL AS VARCHAR) AS fault FROM audit",
+    # hours 3 to 6 of every fifth day are cut short, no gzip, without a byte, and still on their way
+    "corrupt_file_guard": """SELECT source_file, CASE WHEN day(day) % 5 = 0 THEN
+   CASE hour WHEN 3 THEN 'truncated gzip' WHEN 4 THEN 'bad gzip' WHEN 5 THEN 'empty file' END END AS fault
+  FROM ledger0 WHERE NOT (day(day) % 5 = 0 AND hour = 6)""",
+    "rejected_files": """SELECT source_file, CAST(CASE hour WHEN 5 THEN 2 ELSE 1 END AS BIGINT) AS rejections,
+  CASE hour WHEN 3 THEN 'truncated gzip' WHEN 4 THEN 'bad gzip' ELSE 'empty file' END AS reason,
+  hour <> 5 AS done, CASE WHEN hour <> 5 THEN bronze_rows END AS bronze_rows
+  FROM ledger0 WHERE day(day) % 5 = 0 AND hour IN (3, 4, 5)""",
+    "gold_after_crash": "SELECT *, 0 AS batches_made FROM actor_daily",
+    "full_refresh_after_crash": f"""SELECT * EXCLUDE (ingested_at), 0 AS old_generation, 2 AS generation
+  FROM (SELECT {SILVER_COLUMNS} FROM silver)""",
+    "run_day_twice": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
+  quarantine_rows, duplicate_rows, 1 AS first_run, 0 AS second_run FROM ledger0 WHERE day = DATE '2024-01-05'""",
+    "stored_stamps": """SELECT table_name, TIMESTAMP '2024-02-01' AS stamp, n FROM (
+   SELECT 'bronze' AS table_name, COUNT(*) AS n FROM bronze UNION ALL SELECT 'silver', COUNT(*) FROM silver
+   UNION ALL SELECT 'quarantine', COUNT(*) FROM quarantine
+   UNION ALL SELECT 'repo_daily', COUNT(*) FROM repo_daily
+   UNION ALL SELECT 'actor_daily', COUNT(*) FROM actor_daily)""",
+    "stored_mixed_schema": f"""SELECT {SILVER_COLUMNS}, CASE WHEN batch_seq > 15 THEN
+   COALESCE(suffix(lower(actor_login), '[bot]') OR suffix(lower(actor_login), '-bot'), FALSE)
+   END AS is_bot, CAST(CASE WHEN batch_seq > 15 THEN 2 ELSE 1 END AS BIGINT) AS batch_seq FROM versioned""",
+    "first_records": """SELECT CASE WHEN ok THEN type END AS type,
+  CASE WHEN ok THEN id END AS id, CASE WHEN ok THEN actor_login END AS actor_login,
+  CASE WHEN ok THEN repo_name END AS repo_name,
+  CASE WHEN ok THEN strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') END AS created_at,
+  CASE WHEN ok THEN 'id,type,actor,repo,created_at,public,payload' END AS top_level_keys
+  FROM (SELECT *, json_valid(payload) AS ok FROM bronze)
+  ORDER BY CAST(created_at AS DATE), hour(created_at), row_pos LIMIT 100""",
+    "first_records_by_type": """SELECT COALESCE(type, 'unknown') AS type, COUNT(*) AS n
+  FROM (SELECT CASE WHEN json_valid(payload) THEN type END AS type FROM bronze
+   ORDER BY CAST(created_at AS DATE), hour(created_at), row_pos LIMIT 5000) GROUP BY 1""",
+    "repos_starting": """SELECT repo_name, COUNT(*) AS n FROM silver
+  WHERE starts_with(repo_name, 'org/repo1') GROUP BY 1""",
+    "check_errors": f"""SELECT *, FALSE AS error FROM ({checks_sql("bronze")}) UNION ALL
+  SELECT layer, check_no, check_name, metric, NULL, 'error', TRUE
+  FROM ({checks_sql("silver", "gold_repo", "gold_actor")})""",
+    "check_gate": f"""SELECT max_failures, total, bad, bad <= max_failures AS open
+  FROM (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE outcome IN ('fail','error')) AS bad
+   FROM ({checks_sql(*CHECKS)})), (VALUES (0), (3), (47)) v(max_failures)""",
+    "check_report": f"""SELECT layer, total, passed, warned, failed, errors, total AS details
+  FROM ({_SUMMARY}) WHERE layer <> 'all'""",
+    "streaming_contributors": """SELECT event_date, repo_name, unique_contributors,
+  TRUE AS within_bound, TRUE AS merged_alike FROM repo_daily""",
     "streaming_ingest": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
   quarantine_rows, duplicate_rows FROM audit""",
     # a row is too late when its hour ended the delay before the newest row of earlier periods

@@ -7,8 +7,9 @@ agree on them. Wall-clock columns are left out.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -293,10 +294,171 @@ def stored_versions(t: Tables) -> DataFrame:
     return history.version_history(committed).drop("committed_at")
 
 
+def landed_with_faults(t: Tables) -> tuple[str, str]:
+    """A landing some of whose hours are faulty, and the folder that keeps those whole."""
+    base = work_dir(t.spark, "faults")
+    fixtures.land_with_faults(t.lines, f"{base}/raw", f"{base}/spare")
+    return f"{base}/raw", f"{base}/spare"
+
+
+def kind(fault: str) -> Column:
+    """A fault without the decompressor's own words."""
+    return F.split_part(F.col(fault), F.lit(":"), F.lit(1))
+
+
 def corrupt_file_guard(t: Tables) -> DataFrame:
-    listed = raw.list_files(t.spark, landed(t))
-    faults = raw.gzip_faults(t.spark, listed).select("source_file", "fault")
-    return listed.select("source_file").distinct().join(faults, "source_file", "left")
+    """Every landed hour and its fault, if it has one; some were cut short, are no gzip, or are empty."""
+    root, _ = landed_with_faults(t)
+    empty = t.spark.createDataFrame(
+        list(raw.zero_byte_files(t.spark, root).items()), "source_file STRING, fault STRING"
+    )
+    hours = raw.list_files(t.spark, root).select("source_file").union(empty.select("source_file"))
+    faults = raw.faulty_parts(t.spark, root).select("source_file", "fault").union(empty)
+    return hours.distinct().join(faults, "source_file", "left").withColumn("fault", kind("fault"))
+
+
+def rejected_files(t: Tables) -> DataFrame:
+    """The hours that a run rejected: how often, why, and whether they came in once landed again."""
+    root, spare = landed_with_faults(t)
+    lake = Lake(t.spark, root.removesuffix("raw") + "lake")
+    ingest.ingest_pending(lake, root, run_at=NOW)
+    fixtures.mend(t.spark, root, spare)
+    ingest.ingest_pending(lake, root, run_at=NOW)
+    refused = F.col("status") == "rejected"
+    by_file = lake.ledger().groupBy("source_file").agg(
+        F.count_if(refused).alias("rejections"),
+        F.min("reason").alias("reason"),
+        F.max(F.col("status") == "done").alias("done"),
+        F.sum("bronze_rows").alias("bronze_rows"),
+    )
+    return by_file.where("rejections > 0").withColumn("reason", kind("reason"))
+
+
+def gold_after_crash(t: Tables) -> DataFrame:
+    """A run dies between its batches and gold; the next one, with nothing to ingest, makes up for it."""
+    lake = Lake(t.spark, work_dir(t.spark, "owed") + "/lake")
+    ingest.run(lake, landed(t), reports.date_range(t.spark, FIRST_DAY, "2024-01-15"), NOW)
+    ingest.ingest_pending(lake, landed(t), run_at=NOW)
+    made = ingest.run(lake, landed(t), run_at=NOW)
+    gold = lake.gold("actor_daily").drop("aggregated_at")
+    return gold.withColumn("batches_made", F.lit(made))
+
+
+def full_refresh_after_crash(t: Tables) -> DataFrame:
+    """A refresh dies half way; readers keep the old tables, and the next refresh builds on none of its rows."""
+    lake = Lake(t.spark, work_dir(t.spark, "refresh") + "/lake")
+    first_half = reports.date_range(t.spark, FIRST_DAY, "2024-01-15")
+    ingest.ingest_pending(lake, landed(t), first_half, NOW)
+    ingest.ingest_pending(lake.next_generation(), landed(t), first_half, NOW)
+    before = Lake(t.spark, lake.root).generation
+    ingest.full_refresh(lake, landed(t), NOW)
+    after = Lake(t.spark, lake.root)
+    rows = after.silver().drop("ingested_at", "transformed_at")
+    return rows.withColumns({"old_generation": F.lit(before), "generation": F.lit(after.generation)})
+
+
+def run_day_twice(t: Tables) -> DataFrame:
+    """One day is ingested; running it again finds nothing new and writes no second batch."""
+    lake = Lake(t.spark, work_dir(t.spark, "day") + "/lake")
+    made = [ingest.run_day(lake, landed(t), "2024-01-05", NOW) for _ in range(2)]
+    first, second = map(F.lit, made)
+    return ledger_rows(lake).withColumns({"first_run": first, "second_run": second})
+
+
+def stored_stamps(t: Tables) -> DataFrame:
+    """Rows of every stored table by the time stamped on them."""
+    lake = resumed_lake(t)
+    tables = {
+        "bronze": (lake.bronze(), "ingested_at"),
+        "silver": (lake.silver(), "transformed_at"),
+        "quarantine": (lake.quarantine(), "quarantined_at"),
+        "repo_daily": (lake.gold("repo_daily"), "aggregated_at"),
+        "actor_daily": (lake.gold("actor_daily"), "aggregated_at"),
+    }
+    parts = [
+        df.groupBy(F.lit(name).alias("table_name"), F.col(stamp).alias("stamp")).agg(F.count("*").alias("n"))
+        for name, (df, stamp) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stored_mixed_schema(t: Tables) -> DataFrame:
+    """Batches stored before and after a column was added, in one read; the older files stay as they are."""
+    lake = Lake(t.spark, work_dir(t.spark, "mixed") + "/lake")
+
+    def store(seq: int, rows: DataFrame) -> None:
+        n = lake.write_batch("silver", seq, rows.withColumn("source_file", F.lit(None)))
+        ingest.commit_batch(lake, seq, [ingest.FileCounts(f"batch {seq}", n, n, 0, 0)], NOW)
+
+    store(1, history.as_of(t.versioned, PAST).drop("batch_seq"))
+    lake.add_column("silver", "is_bot", T.BooleanType())
+    store(2, reports.flag_bots(t.versioned.where(F.col("batch_seq") > PAST).drop("batch_seq")))
+    return lake.versioned("silver").drop("transformed_at", "source_file")
+
+
+def streaming_contributors(t: Tables) -> DataFrame:
+    """Contributors by sketches that a stream kept per period, next to the exact count.
+
+    `merged_alike`: the merged sketches say the same as one made from all rows at once.
+    """
+    base = work_dir(t.spark, "sketches")
+    rows = t.silver.select("event_date", "repo_name", "actor_login", "ingested_at")
+
+    def start(stream: DataFrame):
+        return hourly.append_sketches(stream, f"{base}/sketches", f"{base}/checkpoint")
+
+    hourly.run_by_arrival(rows, base, PERIOD_DAYS, start)
+    kept = t.spark.read.parquet(f"{base}/sketches").drop("epoch")
+    merged = rollups.estimated(rollups.merged_sketches(kept))
+    at_once = rollups.estimated(rollups.contributor_sketches(rows)).withColumnRenamed("approx_contributors", "whole")
+    exact = t.repo_daily.select("event_date", "repo_name", "unique_contributors")
+    off = F.abs(F.col("approx_contributors") - F.col("unique_contributors"))
+    return (
+        exact.join(merged, ["event_date", "repo_name"], "left")
+        .join(at_once, ["event_date", "repo_name"], "left")
+        .select(
+            "event_date", "repo_name", "unique_contributors",
+            (off <= rollups.SKETCH_BOUND * F.col("unique_contributors")).alias("within_bound"),
+            (F.col("approx_contributors") == F.col("whole")).alias("merged_alike"),
+        )
+    )
+
+
+def check_errors(t: Tables) -> DataFrame:
+    """Checks of a sound layer, of one that lacks a column, of one without files, and of none at all."""
+    missing = work_dir(t.spark, "nothing") + "/gold_repo"
+    tables = {
+        "bronze": staged(t, "bronze")["bronze"],
+        "silver": t.silver.drop("event_date"),
+        "gold_repo": lambda: t.spark.read.schema(schemas.REPO_DAILY).parquet(missing),
+    }
+    results = quality.run_checks(t.spark, tables, quality.declared_checks(), NOW)
+    return results.drop("run_at").withColumn("error", F.col("error").isNotNull())
+
+
+@once_per_session
+def stored_results(t: Tables) -> DataFrame:
+    """The results of one run of all checks, kept as a table."""
+    tables = staged(t, "bronze", "silver", "gold_repo", "gold_actor")
+    results = quality.run_checks(t.spark, tables, quality.declared_checks(), NOW)
+    path = work_dir(t.spark, "results") + "/results"
+    results.write.parquet(path)
+    return t.spark.read.schema(results.schema).parquet(path)
+
+
+def check_report(t: Tables) -> DataFrame:
+    """The nested report of a run, written as JSON, read back and unfolded into its layers."""
+    path = work_dir(t.spark, "report") + "/report"
+    quality.write_report(stored_results(t), path)
+    layers = t.spark.read.json(path).select("run_at", F.inline("layers"))
+    details = F.size("details").cast("bigint").alias("details")
+    return layers.select("layer", "total", "passed", "warned", "failed", "errors", details)
+
+
+def first_records(t: Tables) -> DataFrame:
+    """The first 100 records of the landing, from as few hours as hold them."""
+    lines = raw.first_lines(t.spark, landed(t), 100)
+    return raw.preview(lines, 100).drop("row_pos")
 
 
 def streaming_ingest(t: Tables) -> DataFrame:
@@ -423,6 +585,21 @@ OVER_TABLES = {
     "stored_new_rows": stored_new_rows,
     "stored_versions": stored_versions,
     "corrupt_file_guard": corrupt_file_guard,
+    "rejected_files": rejected_files,
+    "gold_after_crash": gold_after_crash,
+    "full_refresh_after_crash": full_refresh_after_crash,
+    "run_day_twice": run_day_twice,
+    "stored_stamps": stored_stamps,
+    "stored_mixed_schema": stored_mixed_schema,
+    "first_records": first_records,
+    "first_records_by_type": lambda t: reports.records_by_type(
+        raw.first_lines(t.spark, landed(t), 5000)
+    ),
+    "repos_starting": lambda t: reports.repos_starting(t.silver, "org/repo1"),
+    "check_errors": check_errors,
+    "check_gate": lambda t: quality.gate_at(stored_results(t), [0, 3, 47]),
+    "check_report": check_report,
+    "streaming_contributors": streaming_contributors,
     "streaming_ingest": streaming_ingest,
     "streaming_late_counts": streaming_late_counts,
     "streaming_distinct_events": streaming_distinct_events,

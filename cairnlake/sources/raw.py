@@ -21,6 +21,7 @@ DECLARED_SHAPE = (
     "repo STRUCT<id: STRING, name: STRING>, created_at STRING, payload STRING, public BOOLEAN"
 )
 DECLARED_LINE = DECLARED_SHAPE + ", _corrupt_record STRING"
+LINE_SHAPE = "value STRING, source_file STRING, source_part STRING, row_pos BIGINT"
 # Output of the gzip test held at a time.
 INFLATED_AT_ONCE = 1 << 20
 
@@ -139,6 +140,32 @@ def preview(lines: DataFrame, n: int) -> DataFrame:
     )
 
 
+def first_lines(spark: SparkSession, root: str | list[str], n: int) -> DataFrame:
+    """The first n lines landed, by date, hour, part and position; reads no more hours than needed.
+
+    The listing names the hours in order. The first one is read, up to n lines of it, and twice as
+    many hours each time while these are short of n lines: an hour with enough of them is one scan
+    that stops early. What is read is bounded by n and by the hours needed, not by the landing.
+    """
+    listed = list_files(spark, root)
+    day, hour = ev.file_date(F.col("source_file")), ev.file_hour(F.col("source_file"))
+    hours = listed.select("source_file", day.alias("day"), hour.alias("hour")).distinct()
+    wanted = 1
+    while True:
+        first = hours.orderBy("day", "hour", "source_file").limit(wanted)
+        parts = listed.join(first, "source_file", "left_semi").select("source_file", "path").collect()
+        if not parts:
+            return spark.createDataFrame([], LINE_SHAPE)
+        lines = read_lines(spark, [p.path for p in parts])
+        if len({p.source_file for p in parts}) < wanted or lines.limit(n).count() >= n:
+            break
+        wanted *= 2
+    if len(parts) == 1:
+        return lines.limit(n)  # one part is one task, in the order of its lines
+    place = [ev.file_date(F.col("source_file")), ev.file_hour(F.col("source_file"))]
+    return lines.orderBy(*place, "source_file", "source_part", "row_pos").limit(n)
+
+
 # ---- gzip integrity ---------------------------------------------------------
 
 

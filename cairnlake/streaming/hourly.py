@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairnlake.functions import events as ev
+from cairnlake.operators import rollups
 
 LATE_MICROS = 24 * 3_600_000_000
 
@@ -67,6 +68,24 @@ def write_updates(counts: DataFrame, sink: str, checkpoint: str) -> StreamingQue
     )
 
 
+def append_sketches(events: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """Keep a contributor sketch per repository, day and micro-batch, in a folder per micro-batch.
+
+    No state is held: the sketches of all micro-batches are merged when they are read. A replayed
+    micro-batch overwrites its folder.
+    """
+
+    def write(rows: DataFrame, epoch: int) -> None:
+        rollups.contributor_sketches(rows).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+
+    return (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def with_dropped(kept: DataFrame, total: DataFrame) -> DataFrame:
     """(hour_start, events, dropped): the counts that a watermark let through, and the rows it did not.
 

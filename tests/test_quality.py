@@ -105,3 +105,11 @@ def test_report_is_one_nested_row_per_run(spark, tables, tmp_path):
     assert len(row) == 1
     assert row[0].summary.total == 47
     assert sorted(len(layer.details) for layer in row[0].layers) == [8, 11, 14, 14]
+
+
+def test_the_gate_at_several_limits(spark):
+    df = spark.createDataFrame([(None,), (1,)], "k INT")
+    results = quality.check_table(df, "layer", [quality.not_missing("m", "k"), quality.has_rows("r")], NOW)
+    got = [tuple(r) for r in quality.gate_at(results, [0, 1]).collect()]
+    assert got == [(0, 2, 1, False), (1, 2, 1, True)]
+    assert not any(r.open for r in quality.gate_at(results.where("false"), [0, 9]).collect())

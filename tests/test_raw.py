@@ -99,3 +99,37 @@ def test_line_scan_reads_each_text_once(spark):
     plan = raw.to_bronze(df, NOW).where(F.col("corrupt_record").isNull())
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("json_tuple(value") == 1
+
+
+def test_gzip_faults_of_many_files_in_few_tasks(spark, tmp_path):
+    root = tmp_path / "raw"
+    whole = write_hour(root, 1, 0, [event(str(i)) for i in range(3000)]).read_bytes()
+    for hour in range(1, 20):
+        data = whole + gzip.compress(b"") * hour  # members without content
+        cut = len(data) - 3 if hour % 4 == 0 else len(data)
+        (root / f"2024-01-01-{hour}.json.gz").write_bytes(data[:cut])
+    (root / "2024-01-02-0.json.gz").write_bytes(b"\n")
+    (root / "2024-01-02-1.json.gz").write_bytes(whole + b"\n")  # something after the last member
+    (root / "2024-01-02-2.json.gz.tmp").write_bytes(whole[:10])
+    got = {r.source_file: r.fault.split(":")[0] for r in raw.faulty_parts(spark, str(root)).collect()}
+    cut = {f"2024-01-01-{h}.json.gz": "truncated gzip" for h in range(4, 20, 4)}
+    assert got.items() >= cut.items()
+    assert set(got) - set(cut) == {"2024-01-02-0.json.gz", "2024-01-02-1.json.gz"}
+
+
+def test_first_lines_read_no_more_hours_than_needed(spark, tmp_path):
+    root = tmp_path / "raw"
+    for hour in (10, 2, 3):
+        write_hour(root, 1, hour, [event(f"{hour}-{i}") for i in range(10)])
+    write_hour(root, 2, 0, ["{}"] * 10)
+
+    def ids(n):
+        rows = raw.first_lines(spark, str(root), n)
+        return [json.loads(r.value).get("id") for r in rows.collect()], len(rows.inputFiles())
+
+    in_order = [f"{h}-{i}" for h in (2, 3, 10) for i in range(10)]
+    assert ids(4) == (in_order[:4], 1)
+    assert ids(15) == (in_order[:15], 2)
+    assert ids(30)[0] == in_order
+    assert len(ids(100)[0]) == 40
+    assert raw.first_lines(spark, str(tmp_path / "raw" / "2024-01-02-0.json.gz"), 3).count() == 3

@@ -120,3 +120,22 @@ def test_presented_order(spark):
         {"repo_name": "b"}, {"repo_name": "a"}, {"repo_name": "c"}, {"repo_name": "c"}])), NOW)
     got = [r.repo_name for r in rollups.presented(rollups.repo_daily(silver)).collect()]
     assert got == ["c", "a", "b"]
+
+
+def test_sketches_merge_to_what_one_pass_gives_and_stay_within_their_bound(spark):
+    rows = spark.range(60_000).selectExpr(
+        "DATE '2024-01-01' AS event_date", "concat('org/r', id % 2) AS repo_name",
+        "IF(id % 7 = 0, NULL, concat('u', id % 40000)) AS actor_login", "id % 5 AS batch")
+    nobody = rows.selectExpr("event_date", "'org/none' AS repo_name", "CAST(NULL AS STRING) AS actor_login", "batch")
+    rows = rows.union(nobody.limit(3)).union(rows.selectExpr("event_date", "NULL", "actor_login", "batch").limit(3))
+    kept = rollups.contributor_sketches(rows, "batch")
+    merged = {r.repo_name: r.approx_contributors for r in
+              rollups.estimated(rollups.merged_sketches(kept)).collect()}
+    at_once = {r.repo_name: r.approx_contributors for r in
+               rollups.estimated(rollups.contributor_sketches(rows)).collect()}
+    exact = {r.repo_name: r.n for r in rows.where("repo_name IS NOT NULL").groupBy("repo_name").agg(
+        F.count_distinct("actor_login").alias("n")).collect()}
+    assert set(merged) == set(at_once) == set(exact) and exact["org/none"] == 0
+    for repo, n in exact.items():
+        assert abs(merged[repo] - n) <= rollups.SKETCH_BOUND * n
+        assert abs(at_once[repo] - n) <= rollups.SKETCH_BOUND * n
