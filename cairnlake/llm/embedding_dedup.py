@@ -55,19 +55,20 @@ def near_vectors(
     and those with null or non-finite components, are linked with nothing; so are vectors of different
     lengths. n_links: other rows linked directly. component_id: the smallest key reachable by links,
     its own included; kept: whether that is its own key. Equal vectors are linked with each other. A
-    row with a null key takes no part and has a null component; keys are expected to be unique. Columns
+    row with a null key takes no part and has a null component. A row repeated as a whole is a copy like
+    any other, with a row of its own in the result; a key must not stand for different vectors. Columns
     other than key and vector are not read. An empty table gives an empty table. A RuntimeError tells
     that less than LEAST_RECALL of the audited links were found, even by the widest search.
     """
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v"))
-    big = F.lit(1e150)
+    infinite = F.lit(float("inf"))
     sound = F.col("key").isNotNull() & F.col("v").isNotNull() & F.forall(
-        "v", lambda x: x.isNotNull() & (F.abs(x) < big) & ~F.isnan(x)
+        "v", lambda x: x.isNotNull() & (F.abs(x) < infinite) & ~F.isnan(x)
     )
     unit = rows.where(sound & F.exists("v", lambda x: x != 0)).select("key", _unit(F.col("v")).alias("v"))
     nodes = unit.groupBy("v").agg(F.min("key").alias("node"), F.count("*").alias("copies"))
     nodes = written(nodes, "vectors")
-    of = unit.join(nodes.where("copies > 1"), "v").select("key", "node")
+    of = unit.join(nodes.where("copies > 1"), "v").select("key", "node").distinct()
 
     overlap, beam = OVERLAP, BEAM
     while True:

@@ -57,6 +57,15 @@ def test_empty_and_null_keys(spark):
     assert got == {None: (0, None, False), 4: (0, 4, True)}
 
 
+def test_repeated_rows_and_the_largest_doubles(spark):
+    rows = [(1, [1e200, 0.0]), (2, [2e200, 0.0]), (3, [1.0, 0.0]), (5, [0.0, 1.7e308]), (5, [0.0, 1.7e308]),
+            (6, [0.0, float("inf")]), (7, None), (7, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in op.near_vectors(df).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (5, 1, 5, True), (5, 1, 5, True),
+                   (6, 0, 6, True), (7, 0, 7, True), (7, 0, 7, True)]
+
+
 def test_pruning_keeps_the_nearest_and_spreads(spark):
     x = np.array([[1, 0], [0.999, 0.0447], [0.995, 0.0998], [-1, 0]], np.float32)
     near = op.pruned(x)
