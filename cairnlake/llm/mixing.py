@@ -1,10 +1,11 @@
 """Operator 10. Mixing sources to target weights, by iterative proportional fitting.
 
 Tokens are summed for each cell of source, language and topic. Raking multiplies the cells' weights by
-what each marginal lacks, one marginal after another, for ROUNDS rounds, as the query's SQL does, or with
-`tolerance` ROUNDS at a time until no marginal is off by more than that or the largest error hardly
-falls. A warning tells what error remains. A cell's documents are then sampled with a probability in proportion to its weight for each token, scaled so that the budget is
-met with no probability above one, and drawn by a hash of the key: the same documents on every run.
+what each marginal lacks, one marginal after another, ROUNDS rounds at a time until no marginal is off by
+more than the tolerance, or the largest error hardly falls because the cells cannot meet all targets; a
+warning then tells what error remains. A cell's documents are sampled with a probability in proportion to its
+weight for each token, scaled until the budget is met with no probability above one, and drawn by a hash of
+the key: the same documents on every run. The query's SQL goes on by the same rules.
 
 Only DataFrame operations. Documents are read twice and never shuffled but for the join with the cells,
 which is a broadcast if Spark finds them small; cells number sources times languages times topics.
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 
 from cairnlake.llm.shared import others, unused, written
 
+#: Rounds between two looks at the error.
 ROUNDS = 12
-#: Share of all tokens that a marginal may be off without a warning; error that another ROUNDS may leave of the last.
+#: Rounds in one plan.
+AT_ONCE = 4
+#: Share of all tokens that a marginal may be off; error that another ROUNDS may leave of the last.
 TOLERANCE, FALLS = 1e-4, 0.95
-#: Rounds in which probabilities above one are cut and the rest scaled up again.
-FILLS = 8
 BUDGET = 0.5
 #: Marginals: a number tempers the corpus' own shares (1 leaves them, 0 levels them).
 TARGETS = {"source": 0.5, "lang": 0.5, "topic": 0.8}
@@ -69,11 +71,12 @@ def raked_cells(
     state = written(state, "cells")
     error = float("inf")
     while True:
-        for _ in range(rounds):
+        for number in range(1, rounds + 1):
             for c in targets:
                 have = F.sum("weight").over(Window.partitionBy(c))
                 state = state.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"want_{c}") / have).otherwise(0.0))
-            state = written(state, "cells")  # cuts the plan: a round is one small job
+            if number % AT_ONCE == 0 or number == rounds:
+                state = written(state, "cells")  # cuts the plan: a few rounds are one small job
         error, before = largest_error(state, targets), error
         if error <= (TOLERANCE if tolerance is None else tolerance):
             break
@@ -91,24 +94,27 @@ def largest_error(cells: DataFrame, targets: Mapping[str, float | Mapping[str, f
     return reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0 if off else 0.0
 
 
-def with_probabilities(cells: DataFrame, budget: float = BUDGET, fills: int = FILLS) -> DataFrame:
+def with_probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     """`cells` (tokens, weight) with the probability `p`: weight for each token, scaled and at most 1.
 
-    The expected tokens are `budget` of all, unless the cells with a weight hold less than that.
+    The expected tokens are `budget` of all, unless the cells with a weight hold less than that. Cells whose
+    probability comes to one are full, and the rest is scaled up again until no other cell gets full.
     """
     rate = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     cells = cells.withColumn("rate", rate)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     wanted, scale = budget * total, float(total) * budget
-    for _ in range(fills):
+    before = -1
+    while True:
         full = F.lit(scale) * F.col("rate") >= 1
         found = cells.agg(
+            F.count_if(full).alias("count"),
             F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"),
             F.sum(F.when(~full, F.col("weight")).otherwise(0.0)).alias("rest"),
         ).first()
-        if not found.rest or wanted <= found.full:
+        if not found.rest or wanted <= found.full or found["count"] <= before:
             break
-        scale = (wanted - found.full) / found.rest
+        scale, before = (wanted - found.full) / found.rest, found["count"]
     return cells.withColumn("p", F.least(F.lit(1.0), F.lit(scale) * F.col("rate"))).drop("rate")
 
 
@@ -127,7 +133,7 @@ def mixed(
     topic: str | None = None,
     targets: Mapping[str, float | Mapping[str, float]] = TARGETS,
     budget: float = BUDGET,
-    tolerance: float | None = None,
+    tolerance: float | None = TOLERANCE,
 ) -> DataFrame:
     """`docs` with n_tokens, p and kept put last (columns of these names are replaced).
 
@@ -172,27 +178,45 @@ w0 AS (SELECT *, tokens / sum(tokens) OVER () AS weight FROM cells)"""
     ]
     for c, exponent in TARGETS.items():
         steps.append(f"t_{c}_raw AS (SELECT {c}, CASE WHEN sum(weight) > 0 THEN sum(weight) ** {exponent} ELSE 0 END AS want FROM w0 GROUP BY {c})")
-        steps.append(f"t_{c} AS (SELECT {c}, want / sum(want) OVER () AS want FROM t_{c}_raw)")
-    n = 0
-    for _ in range(ROUNDS):
-        for c in TARGETS:
-            steps.append(
-                f"w{n + 1} AS MATERIALIZED (SELECT w{n}.source, w{n}.lang, w{n}.topic, tokens, CASE WHEN sum(weight) OVER (PARTITION BY w{n}.{c}) > 0 "
-                f"THEN weight * want / sum(weight) OVER (PARTITION BY w{n}.{c}) ELSE 0 END AS weight "
-                f"FROM w{n} JOIN t_{c} ON w{n}.{c} IS NOT DISTINCT FROM t_{c}.{c})"
-            )
-            n += 1
-    steps.append(f"r AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS rate FROM w{n})")
-    steps.append(f"f0 AS (SELECT {BUDGET} * sum(tokens) AS scale, {BUDGET} * sum(tokens) AS wanted FROM r)")
-    for i in range(FILLS):
-        steps.append(
-            f"f{i + 1} AS MATERIALIZED (SELECT CASE WHEN rest > 0 AND wanted > full_ THEN (wanted - full_) / rest ELSE scale END AS scale, wanted "
-            f"FROM (SELECT any_value(scale) AS scale, any_value(wanted) AS wanted, sum(CASE WHEN scale * rate >= 1 THEN tokens ELSE 0 END) AS full_, "
-            f"sum(CASE WHEN scale * rate >= 1 THEN 0 ELSE weight END) AS rest FROM r, f{i}))"
-        )
-    steps.append(f"p AS (SELECT source, lang, topic, least(1.0, scale * rate) AS p FROM r, f{FILLS})")
+        steps.append(f"t_{c} AS (SELECT {c}, want / sum(want) OVER () AS want_{c} FROM t_{c}_raw)")
+    wants = ", ".join(f"want_{c}" for c in TARGETS)
+    joins = " ".join(f"JOIN t_{c} ON w0.{c} IS NOT DISTINCT FROM t_{c}.{c}" for c in TARGETS)
+    step = "SELECT * FROM rake WHERE going"
+    for c in TARGETS:
+        have = f"sum(weight) OVER (PARTITION BY {c})"
+        step = f"SELECT * REPLACE (CASE WHEN {have} > 0 THEN weight * want_{c} / {have} ELSE 0 END AS weight)\n    FROM ({step})"
+    off = ", ".join(f"abs(sum(weight) OVER (PARTITION BY {c}) - want_{c})" for c in TARGETS)
+    steps.append(f"""
+rake AS (
+  SELECT 0 AS round, w0.source, w0.lang, w0.topic, tokens, weight, {wants}, 'Infinity'::DOUBLE AS before, true AS going
+  FROM w0 {joins}
+  UNION ALL
+  SELECT round + 1, source, lang, topic, tokens, weight, {wants},
+         CASE WHEN (round + 1) % {ROUNDS} = 0 THEN error ELSE before END,
+         (round + 1) % {ROUNDS} <> 0 OR (error > {TOLERANCE} AND error <= {FALLS} * before)
+  FROM (SELECT *, max(off) OVER () AS error FROM (SELECT *, greatest({off}) AS off
+    FROM ({step})))
+),
+r AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, weight, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS rate
+  FROM rake WHERE round = (SELECT max(round) FROM rake)
+),
+fills AS (
+  SELECT 0 AS fill, {BUDGET} * sum(tokens) AS scale, {BUDGET} * sum(tokens) AS wanted, -1 AS before, true AS going FROM r
+  UNION ALL
+  SELECT fill + 1, CASE WHEN more THEN (wanted - full_) / rest ELSE scale END, wanted, count_, more
+  FROM (SELECT *, rest > 0 AND wanted > full_ AND count_ > before AS more FROM (
+    SELECT fill, scale, wanted, before, count(*) FILTER (scale * rate >= 1) AS count_,
+           sum(CASE WHEN scale * rate >= 1 THEN tokens ELSE 0 END) AS full_,
+           sum(CASE WHEN scale * rate >= 1 THEN 0 ELSE weight END) AS rest
+    FROM fills, r WHERE going GROUP BY fill, scale, wanted, before))
+),
+p AS (
+  SELECT source, lang, topic, least(1.0, scale * rate) AS p
+  FROM r, (SELECT scale FROM fills ORDER BY fill DESC LIMIT 1)
+)""")
     return (
-        "WITH "
+        "WITH RECURSIVE "
         + ",\n".join(steps)
         + """
 SELECT doc_id, n_tokens, round(p, 6) AS p,
