@@ -7,11 +7,12 @@ some rows are given an exact copy in the same file. Nothing is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions import events as ev
 from cairnlake.session import use_utc
+from cairnlake.sources import raw
 
 ROWS_PER_PART = 5_000_000
 
@@ -175,6 +176,46 @@ def land_with_faults(lines: DataFrame, root: str, spare: str) -> None:
         target.close()
 
 
+# Hour of every fifth day that is landed in two parts, of even and odd events, one later.
+IN_HALVES = 7
+
+
+def _in_halves() -> Column:
+    day, hour = ev.file_date(F.col("source_file")), ev.file_hour(F.col("source_file"))
+    return (F.dayofmonth(day) % 5 == 0) & (hour == IN_HALVES)
+
+
+def land_first_halves(lines: DataFrame, root: str) -> None:
+    """Land the lines as hourly files; of some hours the even events only, and the number of their parts."""
+    write_hour_files(lines.where(~_in_halves()), root)
+    halved, half = lines.where(_in_halves()), F.floor(F.col("row_pos") / 2) % 2
+    spark = lines.sparkSession
+    fs = _file_system(spark, root)
+    stated = halved.groupBy("source_file").agg(F.count_distinct(half).alias("parts"))
+    for hour in stated.collect():  # one of every fifth day
+        place = f"{root}/source_file={hour.source_file}/{raw.PART_COUNT}"
+        target = fs.create(spark._jvm.org.apache.hadoop.fs.Path(place), True)
+        target.write(bytearray(f"{hour.parts}\n".encode()))
+        target.close()
+    _append_half(halved.where(half == 0), root)
+
+
+def land_second_halves(lines: DataFrame, root: str) -> None:
+    _append_half(lines.where(_in_halves() & (F.floor(F.col("row_pos") / 2) % 2 == 1)), root)
+
+
+def _append_half(lines: DataFrame, root: str) -> None:
+    """One more part for each hour of `lines`."""
+    (
+        lines.repartition("source_file")
+        .sortWithinPartitions("source_file", "row_pos")
+        .select("value", "source_file")
+        .write.mode("append").partitionBy("source_file")
+        .option("compression", "gzip")
+        .text(root)
+    )
+
+
 def mend(spark: SparkSession, root: str, spare: str) -> None:
     """Land the hours that were cut short or no gzip again, whole: parts in a row are one gzip file."""
     fs, streams = _file_system(spark, root), spark._jvm.org.apache.commons.io.IOUtils

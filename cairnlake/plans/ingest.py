@@ -127,6 +127,7 @@ def ingest_pending(
     run_at: dt.datetime | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     check_first: bool = False,
+    part_counts: bool = False,
 ) -> int:
     """Process every landed file the ledger does not have as done; returns batches made.
 
@@ -134,9 +135,12 @@ def ingest_pending(
     every file becomes a version of its own. An unreadable file is rejected and the
     others go on; by default files are tested only when reading them failed, so that
     good files are decompressed once. Without `run_at` every batch is stamped as it is
-    committed, so that versions of one run can be told apart by time.
+    committed, so that versions of one run can be told apart by time. With `part_counts`
+    an hour whose folder states a number of parts stays pending until all of them are there.
     """
     listed = raw.list_files(lake.spark, raw_root)
+    if part_counts:
+        listed = raw.whole_hours(listed, raw.stated_parts(lake.spark, raw_root))
     empty = raw.zero_byte_files(lake.spark, raw_root)
     if days is not None:
         expected = reports.expected_files(days).select("source_file")
@@ -277,15 +281,17 @@ def run(
     return batches
 
 
-def run_day(lake: Lake, raw_root: str, day: str, run_at: dt.datetime | None = None) -> int:
-    return run(lake, raw_root, reports.date_list(lake.spark, [day]), run_at)
+def run_day(
+    lake: Lake, raw_root: str, day: str, run_at: dt.datetime | None = None, **options
+) -> int:
+    return run(lake, raw_root, reports.date_list(lake.spark, [day]), run_at, **options)
 
 
 def backfill(
-    lake: Lake, raw_root: str, start: str, end: str, run_at: dt.datetime | None = None
+    lake: Lake, raw_root: str, start: str, end: str, run_at: dt.datetime | None = None, **options
 ) -> int:
     """All outstanding files of a range of days, in as few batches as allowed."""
-    return run(lake, raw_root, reports.date_range(lake.spark, start, end), run_at)
+    return run(lake, raw_root, reports.date_range(lake.spark, start, end), run_at, **options)
 
 
 def full_refresh(lake: Lake, raw_root: str, run_at: dt.datetime | None = None) -> Lake:

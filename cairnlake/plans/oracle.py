@@ -442,6 +442,12 @@ STATEMENTS = {
   CASE hour WHEN 3 THEN 'truncated gzip' WHEN 4 THEN 'bad gzip' ELSE 'empty file' END AS reason,
   hour <> 5 AS done, CASE WHEN hour <> 5 THEN bronze_rows END AS bronze_rows
   FROM ledger0 WHERE day(day) % 5 = 0 AND hour IN (3, 4, 5)""",
+    # hour 7 of every fifth day comes in two parts, the odd events after the first run
+    "hours_in_halves": """SELECT source_file, 'done' AS status, bronze_rows, silver_rows,
+  quarantine_rows, duplicate_rows,
+  CAST(CASE WHEN day(day) % 5 = 0 AND hour = 7 AND odd THEN 2 ELSE 1 END AS BIGINT) AS batch_seq
+  FROM ledger0 JOIN (SELECT source_file, bool_or(row_pos // 2 % 2 = 1) AS odd FROM bronze GROUP BY 1)
+   USING (source_file)""",
     "gold_after_crash": "SELECT *, 0 AS batches_made FROM actor_daily",
     "full_refresh_after_crash": f"""SELECT * EXCLUDE (ingested_at), 0 AS old_generation, 2 AS generation
   FROM (SELECT {SILVER_COLUMNS} FROM silver)""",

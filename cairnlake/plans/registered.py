@@ -334,6 +334,18 @@ def rejected_files(t: Tables) -> DataFrame:
     return by_file.where("rejections > 0").withColumn("reason", kind("reason"))
 
 
+def hours_in_halves(t: Tables) -> DataFrame:
+    """The batch that took in each hour, where some hours were half landed as the first run began."""
+    base = work_dir(t.spark, "halves")
+    lake = Lake(t.spark, f"{base}/lake")
+    fixtures.land_first_halves(t.lines, f"{base}/raw")
+    ingest.ingest_pending(lake, f"{base}/raw", run_at=NOW, part_counts=True)
+    fixtures.land_second_halves(t.lines, f"{base}/raw")
+    ingest.ingest_pending(lake, f"{base}/raw", run_at=NOW, part_counts=True)
+    batch = lake.ledger().select("source_file", F.col("batch_seq").cast("long").alias("batch_seq"))
+    return ledger_rows(lake).join(batch, "source_file")
+
+
 def gold_after_crash(t: Tables) -> DataFrame:
     """A run dies between its batches and gold; the next one, with nothing to ingest, makes up for it."""
     lake = Lake(t.spark, work_dir(t.spark, "owed") + "/lake")
@@ -586,6 +598,7 @@ OVER_TABLES = {
     "stored_versions": stored_versions,
     "corrupt_file_guard": corrupt_file_guard,
     "rejected_files": rejected_files,
+    "hours_in_halves": hours_in_halves,
     "gold_after_crash": gold_after_crash,
     "full_refresh_after_crash": full_refresh_after_crash,
     "run_day_twice": run_day_twice,

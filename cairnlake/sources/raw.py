@@ -22,6 +22,8 @@ DECLARED_SHAPE = (
 )
 DECLARED_LINE = DECLARED_SHAPE + ", _corrupt_record STRING"
 LINE_SHAPE = "value STRING, source_file STRING, source_part STRING, row_pos BIGINT"
+# File in an hour's folder that states how many gzip parts belong to the hour.
+PART_COUNT = "parts.count"
 # Output of the gzip test held at a time.
 INFLATED_AT_ONCE = 1 << 20
 
@@ -43,6 +45,27 @@ def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     )
 
 
+def stated_parts(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """(source_file, stated): the number of parts that an hour's folder states; NULL if it is no number.
+
+    Whoever lands an hour in parts writes its count first, so that no part is ever there without it.
+    """
+    counts = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", PART_COUNT)
+    hour = F.regexp_extract(F.col("_metadata.file_path"), rf"[/=]{ev.HOUR_FILE}/[^/]*$", 1)
+    found = counts.text(root).select(hour.alias("source_file"), F.trim("value").try_cast("long").alias("stated"))
+    return found.where(F.col("source_file") != "").groupBy("source_file").agg(F.max("stated").alias("stated"))
+
+
+def whole_hours(listed: DataFrame, stated: DataFrame) -> DataFrame:
+    """`listed` without hours that state a number of parts and hold another one.
+
+    Hours that state none, single files among them, are taken as they are.
+    """
+    parts = listed.groupBy("source_file").agg(F.count("*").alias("parts"))
+    under_way = parts.join(stated, "source_file").where(~F.col("parts").eqNullSafe(F.col("stated")))
+    return listed.join(under_way.select("source_file"), "source_file", "left_anti")
+
+
 def hour_of(path: Column) -> Column:
     return F.regexp_extract(path, ev.HOUR_PLACE, 2)
 

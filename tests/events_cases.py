@@ -46,3 +46,13 @@ def write_hour(root: Path, day: int, hour: int, lines) -> Path:
         for line in lines:
             f.write((line if isinstance(line, str) else json.dumps(line)) + "\n")
     return path
+
+
+def write_part(hour: Path, part: int, lines) -> Path:
+    """A gzip part of an hour landed as a folder."""
+    hour.mkdir(parents=True, exist_ok=True)
+    path = hour / f"part-{part}.gz"
+    with gzip.open(path, "wt") as f:
+        for line in lines:
+            f.write((line if isinstance(line, str) else json.dumps(line)) + "\n")
+    return path

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from events_cases import NOW, UTC, event, write_hour
+from events_cases import NOW, UTC, event, write_hour, write_part
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -337,3 +337,23 @@ def test_full_refresh_after_a_crashed_one(spark, tmp_path, raw_root):
     fresh = ingest.full_refresh(lake, str(raw_root), run_at=NOW)
     assert fresh.generation > crashed.generation
     assert fresh.gold("actor_daily").count() == lake.gold("actor_daily").count() > 0
+
+
+def test_an_hour_waits_for_the_parts_it_states(spark, tmp_path):
+    """Half landed it stays pending; whole it is read once. A count that is no number never fits."""
+    whole, half, odd = (tmp_path / "raw" / f"2024-01-01-{h}.json.gz" for h in (0, 1, 2))
+    for hour, place, parts in ((0, whole, 1), (1, half, 1), (2, odd, 1)):
+        for part in range(parts):
+            write_part(place, part, hour_lines(1, hour))
+    (half / raw.PART_COUNT).write_text("2\n")
+    (odd / raw.PART_COUNT).write_text("all\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    options = {"run_at": NOW, "part_counts": True}
+    assert ingest.run(lake, str(tmp_path / "raw"), **options) == 1
+    assert [r[0] for r in ledger_of(lake)] == [whole.name]
+    assert ingest.run(lake, str(tmp_path / "raw"), **options) == 0
+    write_part(half, 1, [event("late", "PushEvent", "u1", "org/r1", 1, 1)])
+    (odd / raw.PART_COUNT).write_text("1\n")
+    assert ingest.run_day(lake, str(tmp_path / "raw"), "2024-01-01", **options) == 1
+    assert [r[:2] for r in ledger_of(lake)] == [(whole.name, 23), (half.name, 24), (odd.name, 23)]
+    assert ingest.run(lake, str(tmp_path / "raw"), **options) == 0

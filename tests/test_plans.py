@@ -12,7 +12,7 @@ from cairnlake.sources.known_ids import KnownIds
 SMALL = "/root/testdata/sf0.001"
 FILE_BACKED = {"incremental_resume", "stored_repo_daily", "stored_new_rows", "stored_versions", "corrupt_file_guard",
                "streaming_ingest", "streaming_late_counts", "streaming_distinct_events", "partition_scan_compare", "partition_scan_cost", "streaming_hourly_counts",
-               "rejected_files", "gold_after_crash", "full_refresh_after_crash", "run_day_twice", "stored_stamps",
+               "rejected_files", "hours_in_halves", "gold_after_crash", "full_refresh_after_crash", "run_day_twice", "stored_stamps",
                "stored_mixed_schema", "first_records", "first_records_by_type", "check_errors", "check_gate",
                "check_report", "streaming_contributors"}
 
