@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     `edges` has the columns a and b. Large-star and small-star rounds alternate until nothing moves;
     there are about as many as the logarithm of the longest path. Each node's smallest neighbour is
-    aggregated in parts and joined back, so a hub's edges never meet in one task.
+    aggregated in parts; it is joined back by node, so a hub's edges (two numbers each) are one key, which
+    only Spark's adaptive skew join splits.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = written(edges.distinct(), "edges")
