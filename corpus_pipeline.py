@@ -72,7 +72,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: a sample that meets the marginals in expectation.
 
-    They are met as far as the raking's rounds, which the query's SQL fixes, bring them; a warning tells the rest.
+    Raking goes on to the operator's tolerance; a warning tells what the cells cannot meet.
     """
     return mixed(docs).where("kept").drop("kept")
 
