@@ -4,8 +4,9 @@ A byte-level vocabulary (A) and a piece vocabulary (B) encode a space and the te
 either ends, the text can be cut for both; between cuts lie the groups. They are found by dividing: the
 middle one of an interval's A ends is looked up among the B ends by bisection, then its neighbours in
 stretches that double, until the common end nearest to the middle is found. The interval is cut there
-and both halves are divided alike; an interval without a common end inside is a group. All intervals of
-a block of texts take a step at a time, as arrays.
+and both halves are divided alike; an interval without a common end inside is a group. Both vocabularies
+begin a token at every word (see CUT), so an interval to begin with is a word, divided once for all its
+places in a task's texts. All intervals of a block's new words take a step at a time, as arrays.
 
 All A ids and B ids of a group are linked. How many documents link a pair is counted over the corpus:
 texts are worked on in *parts* of a few MB, a part tells each of its pairs once with its number of
@@ -32,7 +33,7 @@ from cairnlake.llm import packed as P
 from cairnlake.llm.shared import written
 from cairnlake.llm.token_counts import byte_characters
 
-#: Characters of text in a part, and in a block of texts that is divided at once.
+#: Characters of text in a part, and in a block of texts that is worked on at once.
 PART = 3 << 20
 BLOCK = 1 << 20
 #: Words remembered by a task, words given to the library at once, and links made at once.
@@ -81,43 +82,88 @@ class Vocabularies:
         #: of each vocabulary: all words' ids end to end, and how many each word has
         self.ids = [np.zeros(0, np.int32)] * 2
         self.many = [np.zeros(0, np.int64)] * 2
+        #: all words' groups end to end: how many A ids and B ids each has; and how many groups a word has
+        self.sizes = [np.zeros(0, np.int32)] * 2
+        self.groups = np.zeros(0, np.int64)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def learn(self, words: set[str]) -> None:
-        """Encode those of the words that have not been met before."""
-        fresh = sorted(w for w in words if w not in self.known)
+        """Encode and divide those of the words that have not been met before."""
+        fresh = [w for w in words if w not in self.known]
         # A takes words that begin and end with no white space in one text, cut again by their bytes
-        joined = [w for w in fresh if not w[0].isspace() and not w[-1].isspace()]
         apart = [w for w in fresh if w[0].isspace() or w[-1].isspace()]
-        lumps = [joined[i : i + LUMP] for i in range(0, len(joined), LUMP)] + [[w] for w in apart]
-        texts = ["".join(f" {w}" for w in lump) for lump in lumps]
+        lonely = set(apart)
+        joined = [w for w in fresh if w not in lonely] if apart else fresh
+        words = joined + apart
+        data = [f" {w}".encode() for w in words]
+        length = np.fromiter(map(len, data), np.int64, len(data))
+        cuts = [*range(0, len(joined), LUMP), *range(len(joined), len(words) + 1)]
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        texts = [" " + " ".join(words[lo:hi]) for lo, hi in spans]
         a_ids, a_many = [], []
-        for lump, found in zip(lumps, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        for (lo, hi), found in zip(spans, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.int32)
-            ends, bounds = np.cumsum(self.a_long[ids]), np.cumsum([len(w.encode()) + 1 for w in lump])
+            ends, bounds = np.cumsum(self.a_long[ids]), np.cumsum(length[lo:hi])
             at = np.searchsorted(ends, bounds)
             if at[-1] != len(ids) - 1 or (ends[at] != bounds).any():
                 raise ValueError("A does not begin a token at every word")
             a_ids.append(ids)
             a_many.append(np.diff(at, prepend=-1))
-        words = joined + apart
         found = self.b.encode(words, num_threads=1)
-        for w, ids in zip(words, found, strict=True):
-            number = self.known[w] = len(self.known)
-            if b"".join(map(self.b_bytes.__getitem__, ids)) != b" " + w.encode():
-                self.wrong.add(number)
-        b_many = np.fromiter(map(len, found), np.int64, len(found))
-        b_ids = np.fromiter(chain.from_iterable(found), np.int32, b_many.sum())
-        self.ids = [np.concatenate([self.ids[0], *a_ids]), np.concatenate([self.ids[1], b_ids])]
-        self.many = [np.concatenate([self.many[0], *a_many]), np.concatenate([self.many[1], b_many])]
+        many = [np.concatenate([np.zeros(0, np.int64), *a_many]), np.fromiter(map(len, found), np.int64, len(found))]
+        ids = [np.concatenate([np.zeros(0, np.int32), *a_ids]), np.fromiter(chain.from_iterable(found), np.int32, many[1].sum())]
+        wrong = self._differing(data, length, found, ids[1], many[1])
+        begin = len(self.known)
+        self.known.update(zip(words, range(begin, begin + len(words)), strict=True))
+        self.wrong.update((begin + wrong).tolist())
+        sizes, groups = self._divided(ids, many, wrong)
+        self.ids, self.many, self.sizes = (
+            [np.concatenate(x) for x in zip(old, new, strict=True)]
+            for old, new in ((self.ids, ids), (self.many, many), (self.sizes, sizes))
+        )
+        self.groups = np.concatenate([self.groups, groups])
+
+    def _differing(self, data: list[bytes], length: np.ndarray, found: list, ids: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """The places of the words whose bytes B does not keep; all words are compared at once as long as none differs."""
+        total = np.r_[0, np.cumsum(self.b_long[ids])]
+        ends = np.cumsum(many)
+        same = (total[ends] - total[ends - many] == length).all()
+        if same and b"".join(map(self.b_bytes.__getitem__, ids.tolist())) == b"".join(data):
+            return np.zeros(0, np.int64)
+        differ = (b"".join(map(self.b_bytes.__getitem__, x)) != w for w, x in zip(data, found, strict=True))
+        return np.flatnonzero(np.fromiter(differ, bool, len(data)))
+
+    def _divided(self, ids: list, many: list, wrong: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """The groups of words, whose tokens begin and end together: A ids and B ids in each, and groups a word.
+
+        A word that B does not keep has none.
+        """
+        right = np.ones(len(many[0]), bool)
+        right[wrong] = False
+        a, b = (x[np.repeat(right, n)] for x, n in zip(ids, many, strict=True))
+        a_first, b_first = (np.r_[0, np.cumsum(n[right])] for n in many)
+        a_cuts, b_cuts = common_ends(np.cumsum(self.a_long[a]), np.cumsum(self.b_long[b]), a_first, b_first)
+        groups = np.zeros(len(right), np.int64)
+        groups[right] = np.diff(np.searchsorted(a_cuts, a_first, "right"))
+        return [np.diff(x, prepend=0).astype(np.int32) for x in (a_cuts, b_cuts)], groups
 
     def tokens(self, words: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """The words' ids end to end, and how many each has."""
-        many = self.many[side]
-        first, n = (np.cumsum(many) - many)[words], many[words]
-        return self.ids[side][np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+        at, n = _gathered(self.many[side], words)
+        return self.ids[side][at], n
+
+    def cuts(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many A tokens, and B tokens, there are up to the end of each group of the words end to end."""
+        at, _ = _gathered(self.groups, words)
+        return tuple(np.cumsum(x[at], dtype=np.int64) for x in self.sizes)
+
+
+def _gathered(many: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the words' values, of which each has so `many`, end to end; and how many each has."""
+    first, n = (np.cumsum(many) - many)[words], many[words]
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
 def byte_level(library) -> list[bytes]:
@@ -238,7 +284,7 @@ class _Part:
     def __init__(self, vocabularies: Vocabularies, digest: bool):
         self.v, self.digest = vocabularies, digest
         self.keys, self.size = [], 0
-        self.held, self.held_size = [], 0  # (text, words) of stretches yet to be divided
+        self.held, self.held_size = [], 0  # (text, words) of stretches yet to be worked on
         self.counts = [], [], [], []  # of each text: A tokens, B tokens, groups, links
         self.shown = []  # of each text: its groups, or their hash so far
         self.pairs, self.times = [], []
@@ -259,7 +305,7 @@ class _Part:
         self.size += 64 + len(text or "")
 
     def settle(self) -> None:
-        """Divide the stretches at hand."""
+        """Put together the groups of the stretches at hand; words not met before are divided first."""
         held, v = self.held, self.v
         self.held, self.held_size = [], 0
         if len(v.known) > REMEMBERED:
@@ -276,7 +322,7 @@ class _Part:
         words = np.concatenate([words for _, words in held])
         (a, n), (b, m) = v.tokens(words, 0), v.tokens(words, 1)
         a_first, b_first = np.r_[0, np.cumsum(n)[last - 1]], np.r_[0, np.cumsum(m)[last - 1]]
-        a_cuts, b_cuts = common_ends(np.cumsum(v.a_long[a]), np.cumsum(v.b_long[b]), a_first, b_first)
+        a_cuts, b_cuts = v.cuts(words)
         at = np.searchsorted(a_cuts, a_first, "right")  # the first group of each stretch
         na, nb = np.diff(a_cuts, prepend=0), np.diff(b_cuts, prepend=0)
         made = np.r_[0, np.cumsum(na * nb)]

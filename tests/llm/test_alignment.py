@@ -127,3 +127,18 @@ def test_long_prose(spark, paths):
     found, _ = op.align_tokenizers(frame(spark, rows), *paths)
     true, _, _ = brute(rows, paths)
     assert sorted(tuple(r) for r in found.collect()) == sorted(true)
+
+
+def test_a_word_is_divided_once(paths, monkeypatch):
+    """However often a word comes in a task's texts, also where B does not keep a word beside it."""
+    divided = []
+    known = op.common_ends
+    monkeypatch.setattr(op, "common_ends", lambda a, b, *first: divided.append(len(first[0]) - 1) or known(a, b, *first))
+    v = op.Vocabularies(open(paths[0], encoding="utf-8").read(), open(paths[1], "rb").read())
+    part = op._Part(v, digest=False)
+    for i in range(40):
+        part.add(i, "the same seven unusual words again and again " * 50 + f"alignment{i % 4}")
+        part.settle()
+    part.add(40, "the ▁ words")
+    part.settle()
+    assert sum(divided) == 7 + 4 and part.wrong == {40}
