@@ -133,10 +133,14 @@ def lines_from(bronze: DataFrame) -> DataFrame:
 def write_hour_files(lines: DataFrame, root: str) -> None:
     """Land the lines as gzip parts, one folder per hour named like an hourly file.
 
-    Rows are dealt out by hour and by block of positions, so a normal hour is one part
-    and an hour with very many rows is written by several tasks.
+    Rows are dealt out by hour, so an hour is one part; one of more than ROWS_PER_PART rows is dealt out by
+    block of positions as well and written by several tasks. Without the count, every hour of a long table
+    would be cut into as many small parts as the table has blocks.
     """
+    sizes = lines.groupBy("source_file").agg(F.count("*").alias("n"))
+    large = [r.source_file for r in sizes.where(F.col("n") > ROWS_PER_PART).collect()]
     block = F.floor(F.col("row_pos") / ROWS_PER_PART)
+    block = F.when(F.col("source_file").isNull() | F.col("source_file").isin(large), block).otherwise(0)
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         lines.repartition(tasks, "source_file", block)

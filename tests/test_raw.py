@@ -1,9 +1,11 @@
 import gzip
 import json
+from collections import Counter
 
 from events_cases import NOW, event, write_hour
 from pyspark.sql import functions as F
 
+from cairnlake import fixtures
 from cairnlake.sources import raw
 
 
@@ -133,3 +135,21 @@ def test_first_lines_read_no_more_hours_than_needed(spark, tmp_path):
     assert ids(30)[0] == in_order
     assert len(ids(100)[0]) == 40
     assert raw.first_lines(spark, str(tmp_path / "raw" / "2024-01-02-0.json.gz"), 3).count() == 3
+
+
+def test_a_landed_hour_is_one_part_unless_it_is_large(spark, tmp_path, monkeypatch):
+    """However far apart the positions of its rows lie; a large hour is cut by position."""
+    hours = [("2024-01-01-0.json.gz", 3), ("2024-01-01-1.json.gz", 9)]
+    rows = [(f"{h} {i}", h, i * 70_000_000) for h, n in hours for i in range(n)]
+    lines = spark.createDataFrame(rows, "value STRING, source_file STRING, row_pos BIGINT")
+    parts = {}
+    for limit in (5_000_000, 5):
+        monkeypatch.setattr(fixtures, "ROWS_PER_PART", limit)
+        root = f"{tmp_path}/{limit}"
+        fixtures.write_hour_files(lines, root)
+        found = raw.list_files(spark, root).collect()
+        parts[limit] = Counter(r.source_file for r in found)
+        read = raw.read_lines(spark, [r.path for r in found]).select("value", "source_file")
+        assert sorted(map(tuple, read.collect())) == sorted((v, h) for v, h, _ in rows)
+    assert parts[5_000_000] == {h: 1 for h, _ in hours}
+    assert parts[5][hours[0][0]] == 1 and parts[5][hours[1][0]] > 1
