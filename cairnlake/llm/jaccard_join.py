@@ -25,8 +25,8 @@ Document frequencies are counted by sorted fingerprints between parts and shards
 sets are one node from then on. Candidates are not all pairs of a posting: in a round each posting has
 one centre, verified against its nodes of other components, and connected components are contracted;
 the first centre is the entry of least reach, as the source of a group of copies has, the next ones are
-drawn by hash, until a round finds no link. Postings that then still hold several components are joined
-with themselves by size class and the classes that each entry's reach admits, and the pairs left there
+drawn by hash, until a round finds no link. A centre leaves its posting, as it has met all of it. Postings that
+then still hold several components are joined with themselves by size class and the classes that each entry's reach admits, and the pairs left there
 are verified too. So no link between components is lost, and a group of thousands of near copies costs
 a star.
 """
@@ -50,6 +50,8 @@ PERCENT = 75
 FREQUENT = 16
 #: Sizes of one class differ by less than this factor.
 CLASS = 1.05
+#: Components are found anew once one in so many of the known links is not yet in them.
+FEW = 20
 SHARD_BYTES = 12 << 20
 
 _ROWS = "kind int, node long, n int, ref long, reach int, items array<bigint>"
@@ -152,15 +154,19 @@ def _links(docs, key, text, words, percent):
     # rounds of stars: each posting's centre against its nodes of other components
     first = F.struct("reach", "node", "n")
     left = postings.withColumn("component", F.col("node"))
-    links, tried, number = None, None, 0
+    links, tried, number, known, fresh = None, None, 0, 0, 0
     while True:
         pairs, found = _star(left, first, sets, percent)
         links = found if links is None else links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if number and found.isEmpty():
+        many = found.count()
+        if number and not many:
             break
-        number += 1
-        left = _open(left.drop("component"), components(links))  # a posting once closed stays so
+        number, known, fresh = number + 1, known + many, fresh + many
+        # components that lag behind their links only leave more to verify; few links are not worth a walk over all
+        contracted = fresh * FEW >= known
+        left = _open(left, first, components(links) if contracted else None)  # a posting once closed stays so
+        fresh = 0 if contracted else fresh
         first = F.struct(F.xxhash64("node", F.lit(number)).alias("drawn"), "reach", "node", "n")
 
     # what is left between components
@@ -181,12 +187,18 @@ def _star(left: DataFrame, first: Column, sets: DataFrame, percent: int) -> tupl
     return tried, written(_verified(tried, sets, percent), "links")
 
 
-def _open(postings: DataFrame, known: DataFrame) -> DataFrame:
-    """Postings that hold several components."""
-    left = postings.join(known, "node", "left")
-    left = left.select("signature", "node", "n", "reach", F.coalesce("component", "node").alias("component"))
-    several = left.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return written(left.join(several.where("lo < hi").select("signature"), "signature", "left_semi"), "open")
+def _open(postings: DataFrame, first: Column, known: DataFrame | None) -> DataFrame:
+    """Postings that hold several components, each without its centre (the least by `first`).
+
+    The centre has met all nodes of the posting, so nothing is left to find for it there.
+    """
+    if known is not None:
+        left = postings.drop("component").join(known, "node", "left")
+        postings = left.select("signature", "node", "n", "reach", F.coalesce("component", "node").alias("component"))
+    least, most = F.min("component").alias("lo"), F.max("component").alias("hi")
+    several = postings.groupBy("signature").agg(least, most, F.min(first).alias("c"), F.count("*").alias("size"))
+    several = several.where("lo < hi and size > 2").select("signature", F.col("c.node").alias("centre"))
+    return written(postings.join(several, "signature").where("node <> centre").drop("centre"), "open")
 
 
 def _meeting(left: DataFrame, percent: int) -> DataFrame:

@@ -92,3 +92,15 @@ def test_components_of_long_paths(spark):
     rng.shuffle(edges)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {55: 55, 60: 55}
+
+
+def test_a_centre_leaves_its_posting(spark, monkeypatch):
+    """Each text shares a half with each of two others: every posting holds two texts, which the first star settles."""
+    rng = random.Random(5)
+    blocks = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(40)) for _ in range(12)]
+    rows = [(i, f"{blocks[i]} {blocks[i - 1]}") for i in range(12)]
+    left = []
+    known = op._meeting
+    monkeypatch.setattr(op, "_meeting", lambda postings, percent: left.append(postings.count()) or known(postings, percent))
+    assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
+    assert left == [0]
