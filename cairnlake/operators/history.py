@@ -41,8 +41,9 @@ def version_history(committed: DataFrame, bucket_size: int = 4096) -> DataFrame:
 
     The running sums are taken inside buckets of consecutive versions, then moved up by the total of
     the earlier buckets, which are summed in buckets of buckets in turn: no window holds more than
-    `bucket_size` rows, whatever the length of the history.
+    `bucket_size` rows, whatever the length of the history (two at least: buckets of one row never get fewer).
     """
+    bucket_size = max(2, bucket_size)
     numbered = committed.withColumn("position", F.col("batch_seq"))
     largest = committed.agg(F.max("batch_seq")).first()[0] or 0
     before = _sums_before(numbered.select("position", "added_rows", F.lit(1).alias("n")), largest, bucket_size)
