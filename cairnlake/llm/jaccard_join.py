@@ -25,17 +25,19 @@ Document frequencies are counted by sorted fingerprints between parts and shards
 sets are one node from then on. Candidates are not all pairs of a posting: in a round each posting has
 one centre, verified against its nodes of other components, and connected components are contracted;
 the first centre is the entry of least reach, as the source of a group of copies has, the next ones are
-drawn by hash, until a round finds no link. A centre leaves its posting, as it has met all of it. Postings that
-then still hold several components are joined with themselves by size class and the classes that each entry's reach admits, and the pairs left there
-are verified too. So no link between components is lost, and a group of thousands of near copies costs
-a star.
+drawn by hash, until a round finds few links. A centre leaves its posting, as it has met all of it, and so does
+an entry whose reach admits no size that the posting has. Postings that then still hold several components are
+joined with themselves by size class and the classes that each entry's reach admits. Pairs meet there only if
+few enough bits of their sketches differ: a token turns over one bit of its set's sketch, so two sets differ in
+as many tokens at least. What meets is verified too. So no link between components is lost, a group of
+thousands of near copies costs a star, and of a template's many altered texts only those near the limit meet.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +52,10 @@ PERCENT = 75
 FREQUENT = 16
 #: Sizes of one class differ by less than this factor.
 CLASS = 1.05
-#: Components are found anew once one in so many of the known links is not yet in them.
+#: Rounds end when one finds no link for one in so many of the components still in open postings.
 FEW = 20
+#: Longs of a set's sketch.
+SKETCH = 8
 SHARD_BYTES = 12 << 20
 
 _ROWS = "kind int, node long, n int, ref long, reach int, items array<bigint>"
@@ -154,23 +158,20 @@ def _links(docs, key, text, words, percent):
     # rounds of stars: each posting's centre against its nodes of other components
     first = F.struct("reach", "node", "n")
     left = postings.withColumn("component", F.col("node"))
-    links, tried, number, known, fresh = None, None, 0, 0, 0
-    while True:
+    links, tried, number, waiting = None, None, 0, 1
+    while waiting:
         pairs, found = _star(left, first, sets, percent)
         links = found if links is None else links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
         many = found.count()
-        if number and not many:
+        if number and many * FEW <= waiting:
             break
-        number, known, fresh = number + 1, known + many, fresh + many
-        # components that lag behind their links only leave more to verify; few links are not worth a walk over all
-        contracted = fresh * FEW >= known
-        left = _open(left, first, components(links) if contracted else None)  # a posting once closed stays so
-        fresh = 0 if contracted else fresh
+        left = _open(left, first, components(links) if many else None, percent)  # a posting once closed stays so
+        number, waiting = number + 1, left.agg(F.approx_count_distinct("component")).first()[0]
         first = F.struct(F.xxhash64("node", F.lit(number)).alias("drawn"), "reach", "node", "n")
 
     # what is left between components
-    rest = _meeting(left, percent).join(tried, ["a", "b"], "left_anti")
+    rest = _meeting(_sketched(left, sets), percent).join(tried, ["a", "b"], "left_anti")
     rest = written(rest, "pairs")
     return members, links.unionByName(written(_verified(rest, sets, percent), "links"))
 
@@ -187,28 +188,33 @@ def _star(left: DataFrame, first: Column, sets: DataFrame, percent: int) -> tupl
     return tried, written(_verified(tried, sets, percent), "links")
 
 
-def _open(postings: DataFrame, first: Column, known: DataFrame | None) -> DataFrame:
+def _open(postings: DataFrame, first: Column, known: DataFrame | None, percent: int) -> DataFrame:
     """Postings that hold several components, each without its centre (the least by `first`).
 
-    The centre has met all nodes of the posting, so nothing is left to find for it there.
+    The centre has met all nodes of the posting, so nothing is left to find for it there. Entries leave too
+    that could only be similar to sets shorter than any of the posting, or that are longer than all its
+    entries admit.
     """
     if known is not None:
         left = postings.drop("component").join(known, "node", "left")
         postings = left.select("signature", "node", "n", "reach", F.coalesce("component", "node").alias("component"))
+    longest = _longest(F.col("n"), F.col("reach"), percent)
     least, most = F.min("component").alias("lo"), F.max("component").alias("hi")
-    several = postings.groupBy("signature").agg(least, most, F.min(first).alias("c"), F.count("*").alias("size"))
-    several = several.where("lo < hi and size > 2").select("signature", F.col("c.node").alias("centre"))
-    return written(postings.join(several, "signature").where("node <> centre").drop("centre"), "open")
+    bounds = F.min("n").alias("shortest"), F.max(longest).alias("longest")
+    several = postings.groupBy("signature").agg(least, most, *bounds, F.min(first).alias("c"), F.count("*").alias("size"))
+    several = several.where("lo < hi and size > 2").select("signature", "shortest", "longest", F.col("c.node").alias("centre"))
+    left = postings.join(several, "signature").where("node <> centre and n <= longest").where(longest >= F.col("shortest"))
+    return written(left.select(*postings.columns), "open")
 
 
 def _meeting(left: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a posting's nodes of different components that each other's sizes and reaches admit.
+    """Pairs (a, b) of a posting's nodes of different components that each other's sizes, reaches and sketches admit.
 
     Sizes fall into classes of CLASS; an entry is told under each class that its partner may be of, so
     those that admit no common pair of classes never meet.
     """
-    n, reach = F.col("n"), F.col("reach")
-    most = F.floor((100 + percent) * (n - reach) / percent) - n
+    n = F.col("n")
+    most = _longest(n, F.col("reach"), percent)
     least = F.ceil(percent * n / 100)
     told = left.where(most >= least).withColumn("own", _class(n))
     told = told.withColumn("partner", F.explode(F.sequence(_class(least), _class(most))))
@@ -216,10 +222,20 @@ def _meeting(left: DataFrame, percent: int) -> DataFrame:
     same = [("signature", "signature"), ("own", "partner"), ("partner", "own")]
     same = reduce(and_, [F.col(f"x.{p}") == F.col(f"y.{q}") for p, q in same])
     may = _may_link(F.col("x.n"), F.col("x.reach"), F.col("y.n"), F.col("y.reach"), percent)
-    met = x.join(y, same & (F.col("x.component") < F.col("y.component")) & may)
+    # for each bit in which sketches differ, one of the sets has a token that the other lacks
+    apart = [F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH)]
+    near = (100 + percent) * reduce(add, apart) <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    met = x.join(y, same & (F.col("x.component") < F.col("y.component")) & may & near)
     return _pairs(met, F.col("x.node"), F.col("y.node"))
 
 
+def _sketched(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """`left` with each node's sketch s0, s1, ...: a token of its set turns over one of 64 * SKETCH bits."""
+    mine = sets.join(left.select("node").distinct(), "node", "left_semi")
+    bits = "aggregate(filter(items, t -> pmod(t >> 6, {n}) = {i}), 0L, (s, t) -> s ^ shiftleft(1L, int(t & 63)))"
+    return left.join(mine.select("node", *(F.expr(bits.format(n=SKETCH, i=i)).alias(f"s{i}") for i in range(SKETCH))), "node")
+
+
 def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
@@ -228,6 +244,11 @@ def _class(size: Column) -> Column:
     return F.floor(F.log(size.cast("double")) / math.log(CLASS))
 
 
+def _longest(n: Column, reach: Column, percent: int) -> Column:
+    """The most tokens of a set that one of n tokens could be similar to, if that lacks `reach` of them."""
+    return F.floor((100 + percent) * (n - reach) / percent) - n
+
+
 def _may_link(n, reach, m, other, percent) -> Column:
     """Could sets of n and m tokens be similar that lack so much of each other?"""
     common = F.least(n - reach, m - other)
@@ -235,6 +256,8 @@ def _may_link(n, reach, m, other, percent) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    # sets that no pair names are not shuffled
+    sets = sets.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("s"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("t"))
     common = F.size(F.array_intersect("s", "t"))

@@ -104,3 +104,22 @@ def test_a_centre_leaves_its_posting(spark, monkeypatch):
     monkeypatch.setattr(op, "_meeting", lambda postings, percent: left.append(postings.count()) or known(postings, percent))
     assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
     assert left == [0]
+
+
+def test_altered_texts_of_a_template_seldom_meet(spark, monkeypatch):
+    """Each text loses other words of the template: most pairs are below 0.75 though each of them shares many signatures."""
+    base = prose(400, 150)
+    rows = [(i, altered(base, 600 + i, 0.01 + 0.0004 * i)) for i in range(120)]
+    met, pairs = [], op._pairs
+    monkeypatch.setattr(op, "_pairs", lambda r, a, b: met.append(r.count()) or pairs(r, a, b))
+    assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
+    assert met[-1] <= len(rows) // 4  # after the stars
+
+
+def test_an_entry_that_admits_no_size_of_its_posting_leaves(spark, monkeypatch):
+    """Texts of about one size, with so many words of their own that only shorter ones could be alike."""
+    rows, left = template(60, 90, 20), []
+    known = op._meeting
+    monkeypatch.setattr(op, "_meeting", lambda postings, percent: left.append(postings.count()) or known(postings, percent))
+    assert found(op.similar_documents(frame(spark, rows))) == brute(rows)
+    assert left == [0]
