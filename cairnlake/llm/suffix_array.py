@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: A bucket costs a few numpy calls, an element of the plain scan about a microsecond.
+#: A bucket costs a few numpy calls: with fewer symbols than this for each, sorting them is cheaper.
 SYMBOLS_PER_CALL = 120
 
 
@@ -13,16 +13,18 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 
     Suffixes are classified as smaller or larger than their right neighbour; substrings between
     leftmost-smaller positions are sorted by induction and named; the string of names, a third as
-    long or less, is sorted by recursion; and all suffixes are induced from that in two scans.
+    long or less, is sorted by recursion; and all suffixes are induced from that in two scans. Short
+    strings over many symbols, as those of names are, are sorted by ranks of doubling length.
     """
     n = len(t)
     if n < 3:
         return np.arange(n - 1, -1, -1)
     t = t.astype(np.int32)
+    if (int(t.max()) + 1) * SYMBOLS_PER_CALL >= n:
+        return _doubled(t)
     rises = _smaller(t)
     lms = np.flatnonzero(rises[1:] & ~rises[:-1]) + 1
-    induce = _induce_waves if (int(t.max()) + 1) * SYMBOLS_PER_CALL < n else _induce_scan
-    ordered = induce(t, rises, lms)
+    ordered = _induce_waves(t, rises, lms)
     marked = np.zeros(n, bool)
     marked[lms] = True
     ordered = ordered[marked[ordered]]
@@ -31,7 +33,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         place = np.empty(n, np.int32)
         place[ordered] = names
         ordered = lms[suffix_array(place[lms])]
-    return induce(t, rises, ordered)
+    return _induce_waves(t, rises, ordered)
 
 
 def _smaller(t: np.ndarray) -> np.ndarray:
@@ -123,40 +125,39 @@ def _induce_waves(t: np.ndarray, rises: np.ndarray, lms: np.ndarray) -> np.ndarr
     return sa
 
 
-def _induce_scan(t: np.ndarray, rises: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """Both scans, entry by entry, for short strings over many symbols."""
-    n, k = len(t), int(t.max()) + 1
-    size = np.bincount(t, minlength=k)
-    end = np.cumsum(size)
-    order, symbol, counts, place = _grouped(t[lms], k)
-    seeded = np.full(n, -1, np.int64)
-    seeded[end[symbol] - counts[symbol] + place] = lms[order]
-    sa = seeded.tolist()
-    # the symbol to the left where that suffix is larger (smaller), else -1
-    left = np.r_[np.int32(0), t[:-1]]
-    goes = np.r_[True, rises[:-1]]
-    larger = np.where(goes, -1, left)
-    larger[0] = -1
-    larger = larger.tolist()
-    head = (end - size).tolist()
-    for i in sa:  # entries written meanwhile are met in their turn; -1 stands where none is yet
-        if i >= 0:
-            c = larger[i]
-            if c >= 0:
-                sa[head[c]] = i - 1
-                head[c] += 1
-    smaller = np.where(goes, left, -1)
-    smaller[0] = -1
-    smaller = smaller.tolist()
-    tail = (end - 1).tolist()
-    for at in range(n - 1, -1, -1):
-        i = sa[at]
-        c = smaller[i]
-        if c >= 0:
-            sa[tail[c]] = i - 1
-            tail[c] -= 1
-    sa[0] = n - 1
-    return np.array(sa, np.int32)
+def _doubled(t: np.ndarray) -> np.ndarray:
+    """The suffix array by ranks of the first 2, 4, 8 ... times as many symbols as fit into 63 bits.
+
+    A rank is the first place of its group in the array; groups of one are settled, and only the
+    others are sorted again, by the rank of what follows.
+    """
+    n = len(t)
+    bits = int(t.max()).bit_length()
+    ahead = max(1, 63 // bits)
+    padded = np.zeros(n + ahead, np.int64)
+    padded[:n] = t
+    key = padded[:n].copy()
+    for k in range(1, ahead):
+        key <<= bits
+        key |= padded[k : k + n]
+    sa = np.empty(n, np.int64)
+    rank = np.empty(n, np.int64)
+    open_, found = np.arange(n), np.arange(n)
+    while True:
+        order = np.argsort(key)
+        found, key = found[order], key[order]
+        fresh = np.ones(len(key) + 1, bool)
+        fresh[1:-1] = key[1:] != key[:-1]
+        begin = np.flatnonzero(fresh)
+        sa[open_] = found
+        rank[found] = np.repeat(open_[begin[:-1]], np.diff(begin))
+        several = ~(fresh[:-1] & fresh[1:])
+        open_, found = open_[several], found[several]
+        if not len(open_):
+            return sa.astype(np.int32)
+        # the last symbol is unique: what is not settled goes on beyond the symbols compared
+        key = rank[found] << 32 | rank[found + ahead]
+        ahead *= 2
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:

@@ -9,9 +9,10 @@ strings of one anchor begin in a short run of places, so one *fragment* of at mo
 Pass 1: parts send the anchors' fingerprints, sorted and delta-coded; shards answer which of them
 several documents have. All others are settled: none of their strings occurs elsewhere.
 Pass 2: fragments of the shared anchors go to shards by anchor, once for each part and content, with
-the smallest document that has it. A shard builds the suffix array of its distinct fragments by
-induced sorting and their permuted common prefixes; suffixes that share LENGTH bytes are equal
-strings, and those of a larger document than the smallest in their group are marked.
+the smallest document that has it. A shard builds suffix arrays of its distinct fragments, those of
+an anchor in the same one, by induced sorting, and their permuted common prefixes; suffixes that
+share LENGTH bytes are equal strings, and those of a larger document than the smallest in their
+group are marked.
 Pass 3: parts receive a bit for each string they sent, and cut the bytes which marked strings cover.
 
 An anchor of more than HOT documents (a passage in a third of the corpus, with other text around it)
@@ -35,7 +36,16 @@ SEED = 24
 #: Text for each shard, and the documents from which on an anchor is split.
 SHARD_BYTES = 2 << 20
 HOT = 4096
-CHUNK = 512 << 10
+#: Text that is hashed at a time, so that its arrays stay in the processor's cache; fragments likewise.
+CHUNK = 64 << 10
+BLOCK = 8192
+#: Bytes of different fragments in one suffix array.
+SORTED_BYTES = 256 << 10
+#: A fragment has at most 2 * (SEED + 31) - SEED bytes; so many words of 8 hold it.
+WORDS = -(-(SEED + 62) // 8)
+PAD = 8 * WORDS
+#: Up to so many parts and shards are of the least size, further ones up to 4 and 8 times as large.
+UNITS = 128
 NO_KEY = np.iinfo(np.int64).max
 
 KEPT = "n_bytes long, n_removed long, n_spans long, kept binary"
@@ -56,22 +66,18 @@ def drop_earlier_strings(
     if not SEED < length <= SEED + 31:
         raise ValueError(f"length must be from {SEED + 1} to {SEED + 31}")
     size = P.text_bytes(docs, text)
-    shards = max(1, math.ceil(size / SHARD_BYTES))
-    documents = P.packed_parts(docs.select(F.col(key).cast("long").alias(key), text), key, text, P.part_count(size))
+    parts, shards = _units(P.part_count(size), 4), _units(math.ceil(size / SHARD_BYTES), 8)
+    documents = P.packed_parts(docs.select(F.col(key).cast("long").alias(key), text), key, text, parts)
     by_part = documents.groupBy("part")
 
     def anchors(group, table):
+        data, bounds = _text(P.unpacked(table).column("text"))
         f, row = [], []
-        for lo, data, bounds in P.chunks(P.unpacked(table).column("text"), CHUNK):
-            found = _runs(data, bounds, length)
-            f.append(found[2])
-            row.append(found[3] + lo)
-        f, row = _joined(f, np.uint64), _joined(row, np.int64)
-        order = np.lexsort((row, f))
-        f, row = f[order], row[order]
-        fresh = np.ones(len(f), bool)
-        fresh[1:] = (f[1:] != f[:-1]) | (row[1:] != row[:-1])
-        f = f[fresh]
+        for lo, hi in _blocks(bounds):
+            first, _, own = _runs(data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], length)
+            f.append(own)
+            row.append(np.searchsorted(bounds[lo : hi + 1], first + bounds[lo], "right") + (lo - 1))
+        f = _one_a_row(_joined(f, np.uint64), _joined(row, np.int64), len(bounds) - 1)
         at = P.cuts(f)
         times, f = np.diff(at), f[at[:-1]] if len(f) else f
         out = {
@@ -100,20 +106,22 @@ def drop_earlier_strings(
         if not left.num_rows:
             return P.sent(0, {})
         rows = P.unpacked(left)
-        found = _fragments(rows, *_known(right), length)
-        f, docs_, sizes, data, at = found["route"], found["least"], found["size"], found["data"], found["at"]
+        data, bounds = _text(rows.column("text"))
+        found = _fragments(data, bounds, _keys(rows), *_known(right), length)
+        route, least, sizes, at = found["route"], found["least"], found["size"], found["at"]
         out = {}
-        for shard, s in P.by_shard(P.shard_of(f, shards)):
-            own = _gather(data, at[s], sizes[s])
-            out[shard] = P.pack(sizes[s].astype(np.uint8), docs_[s].view(np.uint64), own, P.deltas(f[s] >> np.uint64(24)))
+        for shard, s in P.by_shard(P.shard_of(route << np.uint64(24), shards)):
+            own = _bytes(data, at[s], sizes[s])
+            out[shard] = P.pack(sizes[s].astype(np.uint8), least[s].view(np.uint64), own, P.deltas(route[s]))
         return P.sent(group[0].as_py(), out)
 
     def match(group, table):
         held = P.received(table, "part")
+        data = np.concatenate([*(a[2] for _, a in held), np.zeros(PAD, np.uint8)])
         masks = _matched(
             np.concatenate([a[0] for _, a in held]).astype(np.int64),
             np.concatenate([a[1] for _, a in held]).view(np.int64),
-            np.concatenate([a[2] for _, a in held]),
+            data,
             np.concatenate([P.undelta(a[3]) for _, a in held]),
             length,
         )
@@ -128,11 +136,11 @@ def drop_earlier_strings(
             return _SCHEMA.empty_table()
         rows = P.unpacked(left)
         masks = [a[1] for _, a in P.received(right, "shard") if len(a[0])]
-        found = _fragments(rows, *_known(right), length)
-        mask = (np.concatenate(masks) if masks else np.zeros(0, np.uint32))[found["group"]]
-        later = found["doc"] > found["least"][found["group"]]
-        mask = np.where(later, np.uint32(0xFFFFFFFF), mask)
-        return _cut(rows, found, mask, length)
+        data, bounds = _text(rows.column("text"))
+        found = _fragments(data, bounds, _keys(rows), *_known(right), length)
+        mask = _joined(masks, np.uint32)[found["group"]]
+        mask[found["doc"] > found["least"][found["group"]]] = 0xFFFFFFFF
+        return _cut(rows.column("key"), data, bounds, found, mask, length)
 
     reply = by_part.applyInArrow(anchors, P.SENT).groupBy("shard").applyInArrow(shared, P.SENT)
     asked = by_part.cogroup(reply.groupBy("part")).applyInArrow(fragments, P.SENT)
@@ -150,10 +158,105 @@ def _joined(arrays: list, kind) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
-def _gather(data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _units(least: int, most: int) -> int:
+    """How many parts or shards are made of `least` of the least size, each of at most `most` of these.
+
+    Every part sends to every shard, so the messages grow with the square of their numbers: a larger
+    table has larger ones as long as memory allows, and more of them from there on.
+    """
+    return max(1, min(least, max(UNITS, math.ceil(least / most))))
+
+
+def _text(column) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' bytes end to end and PAD zeros; where each row begins and the last ends."""
+    pieces, bounds, total = [], [np.zeros(1, np.int64)], 0
+    for _, data, own in P.chunks(column, 1 << 60):
+        pieces.append(data)
+        bounds.append(total + own[1:])
+        total += len(data)
+    return np.concatenate([*pieces, np.zeros(PAD, np.uint8)]), np.concatenate(bounds)
+
+
+def _keys(rows: pa.Table) -> np.ndarray:
+    return rows.column("key").fill_null(NO_KEY).to_numpy().astype(np.int64)
+
+
+def _blocks(bounds: np.ndarray):
+    """Ranges of rows with CHUNK bytes at most, or one row."""
+    lo = 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + CHUNK, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def _one_a_row(f: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """The fingerprints in order, each as often as rows have it."""
+    if rows <= 1 << 24:
+        both = np.sort(f << np.uint64(24) | row.astype(np.uint64))
+        fresh = np.ones(len(both), bool)
+        fresh[1:] = both[1:] != both[:-1]
+        return both[fresh] >> np.uint64(24)
+    order = np.lexsort((row, f))
+    f, row = f[order], row[order]
+    fresh = np.ones(len(f), bool)
+    fresh[1:] = (f[1:] != f[:-1]) | (row[1:] != row[:-1])
+    return f[fresh]
+
+
+def _pieces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """data[at:at+PAD] of each place, a row of bytes for each. PAD bytes follow the places."""
+    every = np.ndarray(len(data) - PAD + 1, f"V{PAD}", data, strides=(1,))
+    return every[at].view(np.uint8).reshape(-1, PAD)
+
+
+def _bytes(data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """data[at:at+size] of all pairs, end to end."""
-    before = np.cumsum(sizes) - sizes
-    return data[np.repeat(at - before, sizes) + np.arange(int(sizes.sum()))]
+    return _pieces(data, at)[np.arange(PAD) < sizes[:, None]]
+
+
+#: By a fragment's size: the bits of its words that are its own.
+_OWN = np.where(np.arange(PAD) < np.arange(PAD + 1)[:, None], 255, 0).astype(np.uint8).view("<u8")
+_HASHES = ((0xD1342543DE82EF95, 0xA24BAED4963EE407), (0x9E3779B97F4A7C15, 0xF1357AEA2E62A9C5))
+
+
+def _content(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two 64-bit hashes of data[at:at+size] for every pair, over as many words as any fragment can have."""
+    out = [np.empty(len(at), np.uint64) for _ in _HASHES]
+    words = -(-(2 * length - SEED) // 8)
+    for lo in range(0, len(at), BLOCK):
+        size = sizes[lo : lo + BLOCK]
+        piece = _pieces(data, at[lo : lo + BLOCK]).view("<u8")
+        piece &= _OWN[size]
+        piece = np.ascontiguousarray(piece[:, :words].T)
+        for h, (first, by) in zip(out, _HASHES, strict=True):
+            x = size.astype(np.uint64) * np.uint64(first)
+            for word in piece:
+                x ^= word
+                x *= np.uint64(by)
+                x ^= x >> np.uint64(32)
+            h[lo : lo + BLOCK] = P.mix(x)
+    return out
+
+
+def _alike(route: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by rising route in which equal (route, h1, h2) are neighbours; which of it are new.
+
+    It depends on the values alone: where 24 bits of h2 do not tell two contents of a route apart,
+    all bits are sorted by.
+    """
+    order = np.argsort(route << np.uint64(24) | h2 >> np.uint64(40))
+    for again in (False, True):
+        if again:
+            order = np.lexsort((h2, h1, route))
+        a, b, c = route[order], h1[order], h2[order]
+        same = (a[1:] == a[:-1]) & (c[1:] >> np.uint64(40) == c[:-1] >> np.uint64(40))
+        equal = same & (b[1:] == b[:-1]) & (c[1:] == c[:-1])
+        if (same == equal).all():
+            break
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = ~equal
+    return order, fresh
 
 
 def _known(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -163,97 +266,97 @@ def _known(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return f, _joined([np.unpackbits(a[2], count=len(a[1])).astype(bool) for a in held], bool)
 
 
-def _runs(data: np.ndarray, bounds: np.ndarray, length: int):
-    """First place, number of places, anchor's fingerprint (40 bits) and row of each run of strings."""
+def _places(known: np.ndarray):
+    """A function that finds 40-bit values in the sorted `known`: (place, whether it is there) of each.
+
+    It steps on from where values with the same upper bits begin, one step on average.
+    """
+    drop = np.uint64(40 - min(24, len(known).bit_length()))
+    begin = np.searchsorted(known, np.arange(1 << (40 - int(drop)), dtype=np.uint64) << drop)
+    ending = np.r_[known, np.iinfo(np.uint64).max]
+
+    def places(f):
+        at = begin[f >> drop]
+        below = ending[at] < f
+        while below.any():
+            at += below
+            below = ending[at] < f
+        return at, ending[at] == f
+
+    return places
+
+
+def _runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place, number of places and anchor's fingerprint (40 bits) of each run of strings."""
     n = len(data)
-    none = np.zeros(0, np.int64)
     if n < length:
-        return none, none, none.astype(np.uint64), none
-    h, width = P.byte_table()[data], 1
-    pieces = {}
-    base = np.uint64(0xD1342543DE82EF95)
-    power = base
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        while 2 * width <= SEED:
-            pieces[width] = (h, power)
-            h = h[:-width] * power + h[width:]
-            width, power = 2 * width, power * power
-        for step in sorted(pieces, reverse=True):
-            if width + step <= SEED:
-                tail, by = pieces[step]
-                h = h[: n - width - step + 1] * by + tail[width : n - step + 1]
-                width += step
-    h = P.mix(h)
-    least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+        # three words of 8 bytes, each spread by itself, make a piece
+        word = np.ndarray(n - 7, "<u8", np.ascontiguousarray(data), strides=(1,)) * np.uint64(0xD1342543DE82EF95)
+        spare = word >> np.uint64(32)
+        word ^= spare
+        m = n - SEED + 1
+        h = word[:m].copy()
+        for k, by in ((8, 0xA24BAED4963EE407), (16, 0xF1357AEA2E62A9C5)):
+            np.multiply(word[k : k + m], np.uint64(by), out=spare[:m])
+            h += spare[:m]
+        np.right_shift(h, np.uint64(29), out=spare[:m])
+        h ^= spare[:m]
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+    least = h & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(m, dtype=np.uint64)
     span, width = length - SEED + 1, 1
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-    sizes = np.diff(bounds)
-    room = np.repeat(bounds[1:], sizes)[: len(least)] - np.arange(len(least))
-    begin = np.flatnonzero(room >= length)
-    anchor = (least[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    while width < span:  # by turns in two arrays
+        step = min(width, span - width)
+        least, spare = np.minimum(least[:-step], least[step:], out=spare[: len(least) - step]), least
+        width += step
+    anchor = least.astype(np.uint32)
+    # a string that begins less than its length before a row's end is none
+    ends = bounds[1:-1]
+    none = (ends[:, None] - np.arange(1, length)).reshape(-1)
+    anchor[none[(none >= 0) & (none < len(anchor))]] = 0xFFFFFFFF
     at = P.cuts(anchor)
-    if not len(begin):
-        return none, none, none.astype(np.uint64), none
-    first = begin[at[:-1]]
-    f = P.mix(h[anchor[at[:-1]]] + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(24)
-    return first, np.diff(at), f, np.searchsorted(bounds, first, "right") - 1
+    first, count = at[:-1], np.diff(at)
+    own = anchor[first]
+    some = own != 0xFFFFFFFF
+    f = P.mix(h[own[some]] + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(24)
+    return first[some], count[some], f
 
 
-def _fragments(rows: pa.Table, known: np.ndarray, split: np.ndarray, length: int) -> dict:
+def _fragments(
+    data: np.ndarray, bounds: np.ndarray, keys: np.ndarray, known: np.ndarray, split: np.ndarray, length: int
+) -> dict:
     """The fragments of a part's shared anchors.
 
-    group, doc, start, chunk: of each fragment; route, least, size, at: of each group of equal ones,
-    by rising route; data: the bytes that `at` points into.
+    group, doc, start, count: of each fragment, by rising start; route (40 bits), least, size, at: of
+    each group of equal ones, by rising route.
     """
-    keys = rows.column("key").fill_null(NO_KEY).to_numpy().astype(np.int64)
-    got: dict[str, list] = {k: [] for k in ("route", "h1", "h2", "doc", "start", "size", "at", "chunk")}
-    pieces, total = [], 0
-    for number, (lo, data, bounds) in enumerate(P.chunks(rows.column("text"), CHUNK)):
-        first, count, f, row = _runs(data, bounds, length)
-        if not len(known) or not len(f):
-            continue
-        at = np.minimum(np.searchsorted(known, f), len(known) - 1)
-        hit = known[at] == f
-        first, count, f, row, hot = first[hit], count[hit], f[hit], row[hit], split[at[hit]]
-        if not len(f):
-            continue
+    got: dict[str, list] = {k: [] for k in ("route", "h1", "h2", "doc", "start", "count")}
+    place_of = _places(known)
+    for lo, hi in _blocks(bounds) if len(known) else ():
+        first, count, f = _runs(data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], length)
+        at, hit = place_of(f)
+        first, count, f, hot = first[hit] + bounds[lo], count[hit], f[hit], split[at[hit]]
         if hot.any():  # one fragment for each string
             times = np.where(hot, count, 1)
             place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-            first, row, hot, f = np.repeat(first, times) + place, np.repeat(row, times), np.repeat(hot, times), np.repeat(f, times)
+            first, hot, f = np.repeat(first, times) + place, np.repeat(hot, times), np.repeat(f, times)
             count = np.where(hot, 1, np.repeat(count, times))
-        size = count + length - 1
-        values = P.byte_table()[data]
-        h1 = P.range_hash(values, first, first + size, 0)
-        h2 = P.range_hash(values, first, first + size, 1)
-        bytes_ = _gather(data, first, size)
-        for k, v in (
-            ("route", np.where(hot, h1, f << np.uint64(24))), ("h1", h1), ("h2", h2), ("doc", keys[lo + row]),
-            ("start", first), ("size", size), ("at", total + np.cumsum(size) - size), ("chunk", np.full(len(f), number)),
-        ):
+        h1, h2 = _content(data, first, count + length - 1, length)
+        route = np.where(hot, h1 >> np.uint64(24), f)
+        doc = keys[np.searchsorted(bounds[lo : hi + 1], first, "right") + (lo - 1)]
+        for k, v in (("route", route), ("h1", h1), ("h2", h2), ("doc", doc), ("start", first), ("count", count)):
             got[k].append(v)
-        pieces.append(bytes_)
-        total += len(bytes_)
     out = {k: _joined(v, np.uint64 if k in ("route", "h1", "h2") else np.int64) for k, v in got.items()}
-    out["data"] = _joined(pieces, np.uint8)
-    order = np.lexsort((out["h2"], out["h1"], out["route"]))
-    fresh = np.ones(len(order), bool)
-    for k in ("route", "h1", "h2"):
-        v = out[k][order]
-        fresh[1:] &= v[1:] == v[:-1]
-    fresh[1:] = ~fresh[1:]
+    order, fresh = _alike(out["route"], out.pop("h1"), out.pop("h2"))
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(fresh) - 1
     lead = order[fresh]
-    least = np.full(len(lead), NO_KEY, np.int64)
-    np.minimum.at(least, group, out["doc"])
+    least = np.minimum.reduceat(out["doc"][order], np.flatnonzero(fresh)) if len(order) else out["doc"]
     return {
-        "group": group, "doc": out["doc"], "start": out["start"], "chunk": out["chunk"], "count": out["size"] - length + 1,
-        "route": out["route"][lead], "least": least, "size": out["size"][lead], "at": out["at"][lead], "data": out["data"],
+        "group": group, "doc": out["doc"], "start": out["start"], "count": out["count"],
+        "route": out["route"][lead], "least": least, "size": out["count"][lead] + length - 1, "at": out["start"][lead],
     }
 
 
@@ -261,36 +364,43 @@ def _matched(size: np.ndarray, doc: np.ndarray, data: np.ndarray, route: np.ndar
     """For each fragment a bit for each of its strings: does a smaller document have it?
 
     Fragments that are equal in whole are one before they are sorted, and where an anchor has no other
-    fragment left, its strings have nothing to be compared with.
+    fragment left, its strings have nothing to be compared with. The others are sorted SORTED_BYTES
+    at a time; those of an anchor stay together.
     """
     at = np.cumsum(size) - size
-    values = P.byte_table()[data]
-    h1 = P.range_hash(values, at, at + size, 0)
-    h2 = P.range_hash(values, at, at + size, 1)
-    order = np.lexsort((doc, h2, h1))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
-    lead = order[fresh]  # of equal fragments, that of the smallest document
+    order, fresh = _alike(route, *_content(data, at, size, length))
+    lead = order[fresh]
     group = np.cumsum(fresh) - 1
-    _, anchor, contents = np.unique(route[lead], return_inverse=True, return_counts=True)
-    several = contents[anchor] > 1
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(fresh))
+    begins = P.cuts(route[lead])
+    contents = np.diff(begins)
     mask = np.zeros(len(lead), np.uint32)
-    mask[several] = _smaller_strings(size[lead][several], at[lead][several], doc[lead][several], data, length)
+    several = np.flatnonzero(np.repeat(contents > 1, contents))
+    ends = np.cumsum(contents[contents > 1])  # of the anchors, in `several`
+    sofar = np.cumsum(size[lead[several]])
+    lo = 0
+    while lo < len(several):
+        full = np.searchsorted(sofar, (sofar[lo - 1] if lo else 0) + SORTED_BYTES)
+        hi = int(ends[min(np.searchsorted(ends, full, "right"), len(ends) - 1)])
+        own = several[lo:hi]
+        mask[own] = _smaller_strings(size[lead[own]], at[lead[own]], least[own], data, length)
+        lo = hi
     out = np.empty(len(size), np.uint32)
-    out[order] = np.where(doc[order] > doc[lead][group], np.uint32(0xFFFFFFFF), mask[group])
+    out[order] = np.where(doc[order] > least[group], np.uint32(0xFFFFFFFF), mask[group])
     return out
 
 
 def _smaller_strings(sizes, at, docs, data, length) -> np.ndarray:
     """For different fragments data[at:at+size]: which strings does one of a smaller document have?"""
     mask = np.zeros(len(sizes), np.uint32)
-    if not len(sizes):
-        return mask
-    t = np.ones(int(sizes.sum()) + len(sizes) + 1, np.int32)
-    t[-1] = 0
     begin = np.cumsum(sizes + 1) - sizes - 1
-    place = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    t[place] = _gather(data, at, sizes).astype(np.int32) + 2
+    rows = np.ones((len(sizes), PAD + 1), np.int32)
+    rows[:, :PAD] = _pieces(data, at)
+    rows[:, :PAD] += 2
+    rows[np.arange(len(sizes)), sizes] = 1
+    t = np.zeros(int(sizes.sum()) + len(sizes) + 1, np.int32)
+    t[:-1] = rows[np.arange(PAD + 1) <= sizes[:, None]]
+    del rows
     # symbols in use only, in their order: fewer buckets
     used = np.zeros(258, bool)
     used[t] = True
@@ -298,59 +408,63 @@ def _smaller_strings(sizes, at, docs, data, length) -> np.ndarray:
 
     sa = suffix_array(t)
     shared = permuted_prefixes(t, sa, length)
-    owner = np.zeros(len(t), np.int64)
-    owner[begin[1:]] = 1
-    owner = np.cumsum(owner)
-    offset = np.arange(len(t)) - begin[owner]
-    whole = offset <= sizes[owner] - length
-    whole[-1] = False
-    ranked = sa[whole[sa]]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    offset = np.arange(len(t) - 1) - np.repeat(begin, sizes + 1)
+    whole = np.zeros(len(t), bool)
+    whole[:-1] = offset <= np.repeat(sizes - length, sizes + 1)
+    ranks = np.flatnonzero(whole[sa])
+    ranked = sa[ranks]
     # a string and the next one in order are equal if no suffix between them breaks the common prefix
-    breaks = np.cumsum(shared[sa] < length)[whole[sa]]
-    fresh_run = np.ones(len(ranked), bool)
-    fresh_run[1:] = breaks[1:] != breaks[:-1]
-    if len(ranked):
-        first = np.flatnonzero(fresh_run)
-        own = docs[owner[ranked]]
-        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.r_[first, len(ranked)]))
-        hit = ranked[own > least]
-        np.bitwise_or.at(mask, owner[hit], np.uint32(1) << offset[hit].astype(np.uint32))
+    breaks = np.cumsum(shared[sa] < length)[ranks]
+    first = P.cuts(breaks)
+    own = docs[owner[ranked]]
+    least = np.repeat(np.minimum.reduceat(own, first[:-1]), np.diff(first))
+    hit = ranked[own > least]
+    np.bitwise_or.at(mask, owner[hit], np.uint32(1) << offset[hit].astype(np.uint32))
     return mask
 
 
-def _cut(rows: pa.Table, found: dict, mask: np.ndarray, length: int) -> pa.Table:
-    n_bytes, n_removed, n_spans, kept = [], [], [], []
-    order = np.argsort(found["chunk"], kind="stable")
-    chunk = found["chunk"][order]
-    for number, (_, data, bounds) in enumerate(P.chunks(rows.column("text"), CHUNK)):
-        own = order[np.searchsorted(chunk, number) : np.searchsorted(chunk, number + 1)]
-        cover = np.zeros(len(data) + 1, np.int32)
-        for bit in range(int(found["count"][own].max(initial=0))):
-            hit = own[(mask[own] >> np.uint32(bit) & 1).astype(bool) & (found["count"][own] > bit)]
-            np.add.at(cover, found["start"][hit] + bit, 1)
-            np.add.at(cover, found["start"][hit] + bit + length, -1)
+def _cut(keys, data: np.ndarray, bounds: np.ndarray, found: dict, mask: np.ndarray, length: int) -> pa.Table:
+    n_removed, n_spans, kept = [], [], []
+    start, count = found["start"], found["count"]
+    for lo, hi in _blocks(bounds):
+        base = bounds[lo]
+        text, own = data[base : bounds[hi]], bounds[lo : hi + 1] - base
+        s = slice(*np.searchsorted(start, (base, bounds[hi])))
+        all_ = (np.uint64(1) << count[s].astype(np.uint64)) - np.uint64(1)
+        bits = (mask[s] & all_).astype(np.uint32)
+        whole = bits == all_
+        some = ~whole & (bits > 0)
+        # where marked strings begin, and where they end; no two runs share a place of either kind
+        cover = np.zeros(len(text) + 1, np.int32)
+        cover[start[s][whole] - base] += 1
+        cover[start[s][whole] + count[s][whole] + length - 1 - base] -= 1
+        single = np.unpackbits(bits[some].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        row, bit = np.nonzero(single)
+        place = start[s][some][row] + bit - base
+        cover[place] += 1
+        cover[place + length] -= 1
         gone = np.cumsum(cover[:-1]) > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
-        edges = bounds[:-1][(bounds[:-1] < len(data)) & (np.diff(bounds) > 0)]
+        edges = own[:-1][(own[:-1] < len(text)) & (np.diff(own) > 0)]
         begins[edges] = gone[edges]
-        out = data[~gone]
-        at = np.r_[0, np.cumsum(~gone)][bounds]
-        n_bytes.append(np.diff(bounds))
-        n_removed.append(np.diff(bounds) - np.diff(at))
-        n_spans.append(np.diff(np.r_[0, np.cumsum(begins)][bounds]))
+        out = text[~gone]
+        at = np.r_[0, np.cumsum(~gone)][own]
+        n_removed.append(np.diff(own) - np.diff(at))
+        n_spans.append(np.diff(np.r_[0, np.cumsum(begins)][own]))
         kept.append(
             pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
         )
     return pa.table(
         {
-            "key": rows.column("key").cast(pa.int64()),
-            "n_bytes": pa.array(_joined(n_bytes, np.int64)),
+            "key": keys.cast(pa.int64()),
+            "n_bytes": pa.array(np.diff(bounds)),
             "n_removed": pa.array(_joined(n_removed, np.int64)),
             "n_spans": pa.array(_joined(n_spans, np.int64)),
             "kept": pa.chunked_array(kept, pa.binary()),
         }
-    )
+    ).combine_chunks()
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
